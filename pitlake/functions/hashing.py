@@ -30,7 +30,14 @@ def content_hash(df: DataFrame, fields: Mapping[str, str]) -> Column:
     for name in sorted(fields):
         c = F.col(fields[name])
         parts.append((double_text(c) if types[fields[name]] in ("double", "float") else c).alias(name))
-    body = F.to_json(F.struct(*parts), {"ignoreNullFields": "false", "dateFormat": "yyyy-MM-dd"})
+    body = F.to_json(
+        F.struct(*parts),
+        {
+            "ignoreNullFields": "false",
+            "dateFormat": "yyyy-MM-dd",
+            "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+        },
+    )
     return F.sha2(body, 256)
 
 

@@ -23,7 +23,9 @@ BAR_VALUES = [
 ACTION_KEY = ["ticker", "action_type", "ex_date"]
 ACTION_VALUES = ["ratio", "cash_amount", "declared_date", "confidence", "source_set"]
 
-STATUSES = ("unchanged", "revised", "reopened", "new")
+VERSION_COLUMNS = [
+    "payload_hash", "knowledge_time", "valid_from", "valid_to", "is_current", "revision_seq",
+]
 
 
 def last_per_key(incoming: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -114,27 +116,33 @@ def merge_history(
     return apply_classified(existing, classified, keys, values), change_counts(classified)
 
 
-def apply_classified(
-    existing: DataFrame, classified: DataFrame, keys: Sequence[str], values: Sequence[str]
+def touched_versions(
+    current: DataFrame, classified: DataFrame, keys: Sequence[str], values: Sequence[str]
 ) -> DataFrame:
-    """Closed versions untouched, revised ones closed at their detection time, new ones opened."""
+    """What a merge writes: current versions, those it closes among them, and those it opens.
+
+    Together with the closed versions already stored this is the new state.
+    """
     keys = list(keys)
     closures = classified.filter("status = 'revised'").select(
         *keys, F.col("opens_at").alias("_closed_at")
     )
-    shape = [*keys, *values, "payload_hash", "knowledge_time", "valid_from", "valid_to",
-             "is_current", "revision_seq"]
     still = (
-        existing.filter("is_current")
-        .join(closures, keys, "left")
+        current.join(closures, keys, "left")
         .withColumn("is_current", F.col("_closed_at").isNull())
         .withColumn("valid_to", F.coalesce("_closed_at", "valid_to"))
-        .select(*shape)
+        .select(*keys, *values, *VERSION_COLUMNS)
     )
-    return (
-        existing.filter("NOT is_current").select(*shape)
-        .unionByName(still)
-        .unionByName(opened(classified, keys, values))
+    return still.unionByName(opened(classified, keys, values))
+
+
+def apply_classified(
+    existing: DataFrame, classified: DataFrame, keys: Sequence[str], values: Sequence[str]
+) -> DataFrame:
+    """Closed versions untouched, revised ones closed at their detection time, new ones opened."""
+    closed = existing.filter("NOT is_current").select(*keys, *values, *VERSION_COLUMNS)
+    return closed.unionByName(
+        touched_versions(existing.filter("is_current"), classified, keys, values)
     )
 
 

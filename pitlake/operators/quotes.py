@@ -25,8 +25,24 @@ def _stand(until: Column, since: Column) -> Column:
     return F.greatest(until - since, F.lit(0)).cast("double")
 
 
+QUOTE_BAR = [
+    "ticker", "minute_ts", "bid_close", "ask_close", "bid_twm", "ask_twm", "n_quotes",
+]
+
+
+def bucket_of(ts: Column, bucket_seconds: int) -> Column:
+    """Start of the bucket an instant falls in."""
+    us = F.unix_micros(ts)
+    return F.timestamp_micros(us - F.pmod(us, F.lit(bucket_seconds * 1_000_000)))
+
+
 def quote_bars(quotes: DataFrame, sessions: DataFrame, bucket_seconds: int = 60) -> DataFrame:
-    """(ticker, minute_ts, bid_close, ask_close, bid_twm, ask_twm, n_quotes).
+    """(ticker, minute_ts, bid_close, ask_close, bid_twm, ask_twm, n_quotes)."""
+    return session_quote_bars(quotes, sessions, bucket_seconds).select(*QUOTE_BAR)
+
+
+def session_quote_bars(quotes: DataFrame, sessions: DataFrame, bucket_seconds: int) -> DataFrame:
+    """Quote bars with their session_date.
 
     quotes: (ticker, session_date, ts, pos, bid, ask), `pos` breaking ties of equal `ts`.
     sessions: (session_date, close_utc). Sessions without a row are skipped.
@@ -94,6 +110,7 @@ def quote_bars(quotes: DataFrame, sessions: DataFrame, bucket_seconds: int = 60)
         .withColumn("all_w", F.greatest(F.col("w") + F.col("tail"), F.lit(1.0)))
     )
     return final.select(
+        "session_date",
         "ticker",
         F.timestamp_micros("bucket").alias("minute_ts"),
         F.col("bid").alias("bid_close"),

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pitlake import schemas
@@ -20,6 +21,8 @@ from pitlake.operators import (
 from pitlake.plans import fixtures as fx
 from pitlake.plans.oracle import OHLCV, VOTE_OUT, as_text, day, rnd, us, with_ctes
 from pitlake.plans.present import present
+from pitlake.sources import actions, daily, edgar, minute
+from pitlake.sources import listings as listing_source
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -268,7 +271,7 @@ def _letters(spark, d):
     conflicts = voting.vote_bars(fx.observations(spark, d)).filter("verdict = 'conflict'")
     day_no = F.dayofmonth("bar_date")
     # numbering rows needs one order over all letters; they are few beside the bars
-    order = F.row_number().over(fx_window("ticker", "bar_date")).cast("bigint")
+    order = F.row_number().over(W.orderBy("ticker", "bar_date")).cast("bigint")
     return conflicts.select(
         order.alias("id"), "ticker", "bar_date",
         F.lit("j10_vote_seal").alias("job_name"), F.lit(None).cast("string").alias("source"),
@@ -281,12 +284,6 @@ def _letters(spark, d):
     )
 
 
-def fx_window(*order: str):
-    from pyspark.sql import Window
-
-    return Window.orderBy(*order)
-
-
 @query(
     f"""SELECT v.ticker || ':' || CAST(v.bar_date AS VARCHAR) AS request_key, 'vote_conflict' AS error_class,
           'j10_vote_seal' AS job_name, epoch_us(TIMESTAMP '2002-02-01') AS first_seen
@@ -487,7 +484,31 @@ def upsert_bars(spark, d):
     return state.select("ticker", "bar_date", "close", "grade", "source_set", "single_source")
 
 
-@query()
+_ROW_BITS = "CAST('0x' || substr(h, 1, 15) AS BIGINT)"
+
+
+@query(
+    f"""SELECT name AS table_name, count(*) AS n_rows,
+          sha256(CAST(count(*) AS VARCHAR) || '|' || CAST(sum({_ROW_BITS}) AS VARCHAR) || '|' || CAST(bit_xor({_ROW_BITS}) AS VARCHAR)) AS digest
+        FROM (
+          SELECT 'bars_daily' AS name, sha256(
+            '{{"bar_date":"' || CAST(bar_date AS VARCHAR) || '","close":"' || format('{{:.6f}}', close)
+            || '","grade":"' || grade || '","high":"' || format('{{:.6f}}', high)
+            || '","knowledge_time":"' || strftime(valid_from, '%Y-%m-%dT%H:%M:%S.%fZ')
+            || '","low":"' || format('{{:.6f}}', low) || '","open":"' || format('{{:.6f}}', open)
+            || '","payload_hash":"h-' || CAST(revision_seq AS VARCHAR) || '","single_source":'
+            || CASE WHEN single_source THEN 'true' ELSE 'false' END || ',"source_set":"' || source_set
+            || '","ticker":"' || ticker || '","volume":"' || format('{{:.6f}}', volume) || '"}}') AS h
+          FROM bars WHERE is_current
+          UNION ALL
+          SELECT 'corporate_actions', sha256(
+            '{{"action_type":"' || action_type || '","cash_amount":' || coalesce('"' || format('{{:.6f}}', cash_amount) || '"', 'null')
+            || ',"confidence":"single_source","ex_date":"' || CAST(ex_date AS VARCHAR) || '","knowledge_time":"'
+            || strftime(timezone('UTC', timezone('America/New_York', known + INTERVAL '23:59:59')), '%Y-%m-%dT%H:%M:%S.%fZ')
+            || '","payload_hash":"a-' || CAST(coalesce(ratio, cash_amount) AS VARCHAR) || '","ratio":'
+            || coalesce('"' || format('{{:.6f}}', ratio) || '"', 'null') || ',"ticker":"' || ticker || '"}}')
+          FROM actions WHERE is_current) GROUP BY name"""
+)
 def state_fingerprint(spark, d):
     return fingerprint.state_fingerprint(fx.bars(spark, d), fx.actions(spark, d))
 
@@ -726,7 +747,10 @@ def parity_worst(spark, d):
     return parity.parity_worst(_parity(spark, d).unionByName(older))
 
 
-@query()
+@query(
+    f"""SELECT ticker, {day('bar_date')}, {rnd(*OHLCV)} FROM live_bars WHERE bar_date >= DATE '2001-06-30' - 600
+        ORDER BY sha256('2001-06-30|' || ticker || '|' || CAST(bar_date AS VARCHAR)), ticker, live_bars.bar_date LIMIT 25"""
+)
 def parity_sample(spark, d):
     return parity.parity_sample(fx.bars(spark, d), "2001-06-30")
 
@@ -905,3 +929,223 @@ def insert_or_ignore(spark, d):
         fx.minutes(spark, d), batch, ["ticker", "minute_ts"], ["at", "event_id"]
     )
     return fresh.select("ticker", "minute_ts", "close")
+
+
+# --- payload parsing ------------------------------------------------------------------------
+# Payload texts are written by Spark from the tables: one per ticker and month, so a payload holds at
+# most a month of days.
+
+
+def _monthly(rows: DataFrame, dataset: str, source: str, line: Column, order: str) -> DataFrame:
+    month = F.date_format(order, "yyyy-MM")
+    return (
+        rows.groupBy("ticker", month.alias("month"))
+        .agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), line.alias("line")))).alias("ls"))
+        .select(
+            F.concat_ws(":", F.lit(dataset), F.lit(source), "ticker", "month").alias("landing_key"),
+            F.lit(dataset).alias("dataset"),
+            F.concat_ws(":", "ticker", "month").alias("request_key"),
+            "ticker",
+            F.transform("ls", lambda x: x["line"]).alias("lines"),
+            "month",
+        )
+    )
+
+
+def _csv_payloads(spark, d):
+    """Daily CSV payloads; August has a column renamed away, some months omit volume."""
+    month = F.substring("month", 6, 2)
+    line = F.concat_ws(
+        ",", F.col("bar_date").cast("string"), *[F.col(c).cast("string") for c in ("px", "px", "px", "px")],
+        F.when(F.month("bar_date") != 11, F.col("vol").cast("string")),
+    )
+    head = (
+        F.when(month == "08", "Day,Open,High,Low,Close,Volume")
+        .when(month == "11", "Date,Open,High,Low,Close")
+        .otherwise("Date,Open,High,Low,Close,Volume")
+    )
+    return _monthly(fx.base(spark, d), "stooq_daily", "stooq", line, "bar_date").withColumn(
+        "text", F.concat_ws("\n", head, F.array_join("lines", "\n"), F.lit(""))
+    )
+
+
+@query(
+    f"""SELECT upper(ticker) AS ticker, {day('bar_date')}, {rnd('close')},
+          round(CASE WHEN month(bar_date) <> 11 THEN volume END, 6) + 0e0 AS volume
+        FROM (SELECT ticker, bar_date, px AS close, vol AS volume FROM base WHERE month(bar_date) <> 8)"""
+)
+def parse_csv_bars(spark, d):
+    return daily.parse_csv_bars(_csv_payloads(spark, d)).good.select(
+        "ticker", "bar_date", "close", "volume"
+    )
+
+
+@query(
+    """SELECT DISTINCT 'stooq_daily:stooq:' || ticker || ':' || strftime(bar_date, '%Y-%m') AS landing_key,
+         'schema_drift' AS error_class, 'missing columns Date' AS detail FROM base WHERE month(bar_date) = 8"""
+)
+def drift_rejects(spark, d):
+    return daily.parse_csv_bars(_csv_payloads(spark, d)).rejects
+
+
+@query(f"SELECT upper(ticker) AS ticker, {day('bar_date')}, {rnd('px')}, {rnd('vol')} FROM base WHERE month(bar_date) <> 8")
+def parse_json_bars(spark, d):
+    """Daily JSON payloads; August payloads hold a row without a close."""
+    px, close = F.col("px"), F.when(F.month("bar_date") != 8, F.col("px"))
+    stamp = F.date_format(F.col("bar_date").cast("timestamp") + F.expr("INTERVAL 20 HOURS"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    line = F.to_json(
+        F.struct(stamp.alias("t"), px.alias("o"), px.alias("h"), px.alias("l"), close.alias("c"), F.col("vol").alias("v"))
+    )
+    payloads = _monthly(fx.base(spark, d), "alpaca_daily", "alpaca_iex", line, "bar_date").withColumn(
+        "text", F.concat(F.lit('{"bars":['), F.array_join("lines", ","), F.lit("]}"))
+    )
+    return daily.parse_json_bars(payloads).good.select(
+        "ticker", "bar_date", F.col("close").alias("px"), F.col("volume").alias("vol")
+    )
+
+
+@query(
+    f"SELECT ticker, {us('ts')}, {rnd('bid', 'ask')} FROM quotes WHERE bid > 0 AND ask > 0 AND day(session_date) <> 9",
+    stamps=("ts",),
+)
+def parse_quote_ticks(spark, d):
+    """Tick payloads per name and day as record fragments; on the ninth one record has no time."""
+    broken = (F.dayofmonth("session_date") == 9) & (F.col("pos") % 5 == 0)
+    record = F.to_json(
+        F.struct(
+            F.when(~broken, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")).alias("t"),
+            F.col("bid").alias("bp"), F.col("ask").alias("ap"),
+        )
+    )
+    fragments = fx.quotes(spark, d).select(
+        F.concat_ws(":", F.lit("quote_ticks:alpaca_iex"), "ticker", F.col("session_date").cast("string")).alias("landing_key"),
+        "ticker", "pos",
+        # every fragment opens an envelope here: a file would do so once
+        F.concat(F.lit('{"quotes":['), F.rtrim(record, F.lit("}"))).alias("fragment"),
+    )
+    return minute.parse_quote_fragments(fragments).good.select("ticker", "ts", "bid", "ask")
+
+
+@query(
+    f"""SELECT upper(ticker) AS ticker, action_type, {day('ex_date')}, {rnd('ratio', 'cash_amount')}
+        FROM actions WHERE is_current AND NOT (action_type = 'dividend' AND month(ex_date) = 10)"""
+)
+def parse_actions(spark, d):
+    """Action payloads per ticker, kind and month; October dividends lack their amount."""
+    live = fx.actions(spark, d).filter("is_current")
+    amount = F.when(F.month("ex_date") != 10, F.col("cash_amount"))
+    split = F.struct(
+        F.col("ex_date").cast("string").alias("execution_date"), F.lit(1).alias("split_from"),
+        F.col("ratio").alias("split_to"),
+    )
+    paid = F.struct(F.col("ex_date").cast("string").alias("ex_dividend_date"), amount.alias("cash_amount"))
+    payloads = None
+    for kind, dataset, body in (("split", actions.SPLITS, split), ("dividend", actions.DIVIDENDS, paid)):
+        part = _monthly(
+            live.filter(F.col("action_type") == kind), dataset, "polygon", F.to_json(body), "ex_date"
+        )
+        payloads = part if payloads is None else payloads.unionByName(part)
+    payloads = payloads.withColumn(
+        "text", F.concat(F.lit('{"status":"OK","results":['), F.array_join("lines", ","), F.lit("]}"))
+    )
+    return actions.parse_actions(payloads, now()).good.select(
+        "ticker", "action_type", "ex_date", "ratio", "cash_amount"
+    )
+
+
+@query(
+    f"""SELECT source, {day('snapshot_date')}, ticker, exchange, is_etf FROM (
+          SELECT DISTINCT source, snapshot_date, ticker,
+                 CASE WHEN source = 'nasdaqlisted' THEN 'NASDAQ' ELSE 'N' END AS exchange,
+                 CAST(substr(ticker, 2) AS BIGINT) % 4 = 0 AS is_etf
+          FROM snapshots WHERE CAST(substr(ticker, 2) AS BIGINT) % 6 <> 0)""",
+    bools=("is_etf",),
+)
+def parse_directories(spark, d):
+    """Directory payloads per kind and date, cut into parts of the ticker space.
+
+    A real file lists a market's names once; parts keep a payload bounded however many names there are.
+    """
+    n = F.substring("ticker", 2, 18).cast("bigint")
+    nasdaq = F.col("source") == "nasdaqlisted"
+    test, etf = F.when(n % 6 == 0, "Y").otherwise("N"), F.when(n % 4 == 0, "Y").otherwise("N")
+    line = F.when(nasdaq, F.concat_ws("|", "ticker", F.lit("Name"), F.lit("Q"), test, F.lit("N"), etf)).otherwise(
+        F.concat_ws("|", "ticker", F.lit("Name"), F.lit("N"), "ticker", etf, test)
+    )
+    head = F.when(nasdaq, "Symbol|Security Name|Market Category|Test Issue|Financial Status|ETF").otherwise(
+        "ACT Symbol|Security Name|Exchange|CQS Symbol|ETF|Test Issue"
+    )
+    key = F.concat_ws(":", "source", F.col("snapshot_date").cast("string"))
+    payloads = (
+        fx.snapshots(spark, d)
+        .groupBy("source", "snapshot_date", F.floor(n / 1000).alias("part"))
+        .agg(F.array_join(F.collect_list(line), "\n").alias("body"))
+        .select(
+            F.concat_ws(":", F.lit("symbol_dirs:nasdaqtrader"), key, "part").alias("landing_key"),
+            key.alias("request_key"),
+            F.concat_ws("\n", head, "body", F.lit("File Creation Time: 0101200000:00|||||")).alias("text"),
+        )
+    )
+    return listing_source.parse_directories(payloads).good.select(
+        "source", "snapshot_date", "ticker", "exchange", "is_etf"
+    )
+
+
+@query(f"SELECT upper(ticker) AS ticker, {day('termination_date')}, position FROM delisted WHERE position % 7 <> 0")
+def parse_delisted(spark, d):
+    """Delisted-list payloads in parts of a thousand positions; some rows lack their date."""
+    line = F.to_json(
+        F.struct(
+            "ticker",
+            F.when(F.col("position") % 7 != 0, F.concat(F.col("termination_date").cast("string"), F.lit("T00:00:00Z"))).alias("delisted_utc"),
+            "position",
+        )
+    )
+    payloads = (
+        fx.delisted(spark, d)
+        .groupBy(F.floor(F.col("position") / 1000).alias("part"))
+        .agg(F.array_sort(F.collect_list(F.struct("position", line.alias("line")))).alias("ls"))
+        .select(
+            F.concat_ws(":", F.lit("polygon_delisted:polygon"), "part").alias("landing_key"),
+            F.concat(
+                F.lit('{"complete":true,"results":['),
+                F.array_join(F.transform("ls", lambda x: x["line"]), ","), F.lit("]}"),
+            ).alias("text"),
+            F.transform("ls", lambda x: x["position"]).alias("positions"),
+        )
+    )
+    rows = listing_source.parse_delisted(payloads).good
+    # a payload's own positions count from zero: map them back to the list's
+    at = F.get("positions", F.col("position").cast("int"))
+    return rows.join(payloads.select("landing_key", "positions"), "landing_key").select(
+        "ticker", "termination_date", at.alias("position")
+    )
+
+
+@query("SELECT ticker, cik, sic, industry FROM submissions")
+def parse_submissions(spark, d):
+    payloads = fx.submissions(spark, d).select(
+        F.concat(F.lit("edgar_submissions:edgar:"), "request_key").alias("landing_key"), "request_key",
+        F.to_json(F.struct("sic", F.col("industry").alias("sicDescription"))).alias("text"),
+    )
+    parts = F.split("request_key", ":", 2)
+    return edgar.parse_submissions(payloads).good.select(
+        parts[0].alias("ticker"), parts[1].alias("cik"), "sic", "industry"
+    )
+
+
+@query("SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS ticker, 100000 + s_suppkey AS cik FROM supplier")
+def parse_cik_map(spark, d):
+    """Ticker-to-CIK maps in parts of a thousand companies."""
+    s = F.col("s_suppkey")
+    entry = F.struct((F.lit(100000) + s).alias("cik_str"), F.concat(F.lit("s"), s).alias("ticker"), F.lit("t").alias("title"))
+    payloads = (
+        fx.table(spark, d, "supplier")
+        .groupBy(F.floor(s / 1000).alias("part"))
+        .agg(F.map_from_entries(F.collect_list(F.struct(s.cast("string"), entry))).alias("m"))
+        .select(
+            F.concat_ws(":", F.lit("edgar_company_tickers:edgar"), "part").alias("landing_key"),
+            F.to_json("m").alias("text"),
+        )
+    )
+    return edgar.parse_cik_map(payloads).good.select("ticker", "cik")
