@@ -58,8 +58,12 @@ def _inside(at: Column) -> Column:
 def lookup_step(
     facts: DataFrame, steps: DataFrame, key: str, at: str, how: str = "left"
 ) -> DataFrame:
-    """Join every fact to the one interval that holds its `at`; interval bounds are dropped."""
-    side = steps.withColumnRenamed(key, "_step_key")
+    """Join every fact to the one interval that holds its `at`; interval bounds are dropped.
+
+    The interval side gets a shuffle stage of its own. It is small, and its measured size is what lets
+    adaptive execution broadcast it, or split the facts of a hot key when it cannot.
+    """
+    side = steps.withColumnRenamed(key, "_step_key").repartition("_step_key", "step_from")
     joined = facts.join(side, (F.col(key) == F.col("_step_key")) & _inside(F.col(at)), how)
     return joined.drop("_step_key", "step_from", "step_to")
 

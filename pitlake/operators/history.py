@@ -1,8 +1,7 @@
 """SCD-2 history as pure functions over a table partitioned by `is_current`.
 
-A merge never rewrites closed versions: incoming rows meet only current ones (one row per key), the
-closed partition is read just for keys that lost their current row, and the result separates what to
-append from what to replace.
+A merge never rewrites closed versions: they pass through, contributing only the highest sequence of
+each key, and the rows a merge writes are separate from the ones it leaves.
 """
 
 from __future__ import annotations
@@ -40,67 +39,91 @@ def require_columns(incoming: DataFrame, keys: Sequence[str], values: Sequence[s
         raise ValueError(f"incoming frame is missing {missing}")
 
 
-def classify(
+def merge_pass(
     existing: DataFrame,
     incoming: DataFrame,
     keys: Sequence[str],
     values: Sequence[str],
     revision_knowledge: Column | None = None,
 ) -> DataFrame:
-    """Incoming rows with `status`, the sequence they would open at and when that opens.
+    """Current and incoming rows of one merge with what becomes of each (`status`).
 
-    new: no history, opens at 1 with its own knowledge. unchanged: same hash as the current row.
-    revised: other hash, opens after it at the detection time. reopened: history without a current
-    row, opens after the highest closed sequence at the detection time.
+    kept, closed: current versions, the latter revised by an incoming row. new: no history, opens at 1
+    with its own knowledge. unchanged: same hash as the current version. revised: other hash, opens
+    after it at the detection time. reopened: history without a current version, opens after the
+    highest closed sequence at the detection time.
+
+    Incoming rows, current versions and one sequence per closed key meet in a single exchange on the
+    key; a key has at most three rows there.
     """
     require_columns(incoming, keys, values)
     keys = list(keys)
-    current = existing.filter("is_current").select(
-        *keys, F.col("payload_hash").alias("_hash"), F.col("revision_seq").alias("_seq")
-    )
-    matched = incoming.select(*keys, *values, "payload_hash", "knowledge_time").join(
-        current, keys, "left"
-    )
-    orphans = matched.filter("_seq IS NULL").select(*keys)
-    closed = (
+    shape = [*keys, *values, *VERSION_COLUMNS]
+    current = existing.filter("is_current").select(*shape, F.lit("kept").alias("status"))
+    past = (
         existing.filter("NOT is_current")
-        .select(*keys, "revision_seq")
-        .join(orphans, keys, "left_semi")
         .groupBy(*keys)
-        .agg(F.max("revision_seq").alias("_closed_seq"))
+        .agg(F.max("revision_seq").alias("revision_seq"))
+        .withColumn("status", F.lit("past"))
     )
-    status = (
-        F.when(F.col("_hash") == F.col("payload_hash"), "unchanged")
-        .when(F.col("_seq").isNotNull(), "revised")
-        .when(F.col("_closed_seq").isNotNull(), "reopened")
-        .otherwise("new")
+    arrived = incoming.select(*keys, *values, "payload_hash", "knowledge_time").withColumn(
+        "status", F.lit("incoming")
     )
-    detected = F.col("knowledge_time") if revision_knowledge is None else revision_knowledge
+    rows = current.unionByName(arrived, allowMissingColumns=True).unionByName(
+        past, allowMissingColumns=True
+    )
+    w = W.partitionBy(*keys)
+    seen = rows.withColumns(
+        {
+            "_now": F.max(F.expr("IF(status = 'kept', payload_hash, NULL)")).over(w),
+            "_next": F.max(F.expr("IF(status = 'incoming', payload_hash, NULL)")).over(w),
+            "_at": F.max(F.expr("IF(status = 'incoming', knowledge_time, NULL)")).over(w),
+            "_seq": F.max("revision_seq").over(w),
+        }
+    ).filter("status <> 'past'")
+    status = F.expr(
+        """CASE WHEN status = 'kept' AND _now <> _next THEN 'closed'
+                WHEN status = 'kept' THEN 'kept'
+                WHEN _now = payload_hash THEN 'unchanged'
+                WHEN _now IS NOT NULL THEN 'revised'
+                WHEN _seq IS NOT NULL THEN 'reopened'
+                ELSE 'new' END"""
+    )
+    detected = F.col("_at") if revision_knowledge is None else revision_knowledge
+    opens = F.expr("status IN ('new', 'revised', 'reopened')")
+    opens_at = F.when(F.col("status") == "new", F.col("knowledge_time")).when(opens, detected)
     return (
-        matched.join(closed, keys, "left")
-        .withColumn("status", status)
-        .withColumn(
-            "opens_at",
-            F.when(F.col("status") == "new", F.col("knowledge_time")).otherwise(detected),
+        seen.withColumn("status", status)
+        .withColumns(
+            {
+                "knowledge_time": F.coalesce(opens_at, F.col("knowledge_time")),
+                "valid_from": F.coalesce(opens_at, F.col("valid_from")),
+                "valid_to": F.when(F.col("status") == "closed", detected).otherwise(F.col("valid_to")),
+                "is_current": F.col("status") != "closed",
+                "revision_seq": F.when(opens, F.coalesce("_seq", F.lit(0)) + 1)
+                .otherwise(F.col("revision_seq")).cast("int"),
+            }
         )
-        .withColumn(
-            "revision_seq",
-            (F.coalesce("_seq", "_closed_seq", F.lit(0)) + 1).cast("int"),
-        )
-        .drop("_hash", "_seq", "_closed_seq")
+        .select(*shape, "status")
     )
 
 
-def opened(classified: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """The versions a merge appends."""
-    return classified.filter("status <> 'unchanged'").select(
-        *keys, *values, "payload_hash",
-        F.col("opens_at").alias("knowledge_time"),
-        F.col("opens_at").alias("valid_from"),
-        F.lit(None).cast("timestamp").alias("valid_to"),
-        F.lit(True).alias("is_current"),
-        "revision_seq",
-    )
+def touched_versions(passed: DataFrame) -> DataFrame:
+    """What a merge writes: every current version, and the ones it closed.
+
+    Together with the versions closed before this is the new state.
+    """
+    return passed.filter("status <> 'unchanged'").drop("status")
+
+
+def change_counts() -> list[Column]:
+    """Aggregates over a merge pass; inserted counts every version written."""
+    status = F.col("status")
+    return [
+        F.count_if(status == "closed").alias("revised"),
+        F.count_if(status.isin("new", "revised", "reopened")).alias("inserted"),
+        F.count_if(status == "unchanged").alias("unchanged"),
+    ]
 
 
 def merge_history(
@@ -111,49 +134,9 @@ def merge_history(
     revision_knowledge: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(new state, counts). Keys absent from `incoming` stay as they are."""
-    keys = list(keys)
-    classified = classify(existing, incoming, keys, values, revision_knowledge)
-    return apply_classified(existing, classified, keys, values), change_counts(classified)
-
-
-def touched_versions(
-    current: DataFrame, classified: DataFrame, keys: Sequence[str], values: Sequence[str]
-) -> DataFrame:
-    """What a merge writes: current versions, those it closes among them, and those it opens.
-
-    Together with the closed versions already stored this is the new state.
-    """
-    keys = list(keys)
-    closures = classified.filter("status = 'revised'").select(
-        *keys, F.col("opens_at").alias("_closed_at")
-    )
-    still = (
-        current.join(closures, keys, "left")
-        .withColumn("is_current", F.col("_closed_at").isNull())
-        .withColumn("valid_to", F.coalesce("_closed_at", "valid_to"))
-        .select(*keys, *values, *VERSION_COLUMNS)
-    )
-    return still.unionByName(opened(classified, keys, values))
-
-
-def apply_classified(
-    existing: DataFrame, classified: DataFrame, keys: Sequence[str], values: Sequence[str]
-) -> DataFrame:
-    """Closed versions untouched, revised ones closed at their detection time, new ones opened."""
+    passed = merge_pass(existing, incoming, keys, values, revision_knowledge)
     closed = existing.filter("NOT is_current").select(*keys, *values, *VERSION_COLUMNS)
-    return closed.unionByName(
-        touched_versions(existing.filter("is_current"), classified, keys, values)
-    )
-
-
-def change_counts(classified: DataFrame) -> DataFrame:
-    """One row (revised, inserted, unchanged); inserted counts every version written."""
-    status = F.col("status")
-    return classified.agg(
-        F.count_if(status == "revised").alias("revised"),
-        F.count_if(status != "unchanged").alias("inserted"),
-        F.count_if(status == "unchanged").alias("unchanged"),
-    )
+    return closed.unionByName(touched_versions(passed)), passed.agg(*change_counts())
 
 
 def with_bar_knowledge(bars: DataFrame) -> DataFrame:
@@ -162,7 +145,7 @@ def with_bar_knowledge(bars: DataFrame) -> DataFrame:
 
 
 def stamp_bars(bars: DataFrame) -> DataFrame:
-    """Hash and knowledge stamp: what `classify` needs beside keys and values."""
+    """Hash and knowledge stamp: what a merge needs beside keys and values."""
     return with_bar_knowledge(with_bar_hash(bars))
 
 

@@ -8,7 +8,7 @@ in place. Only what Spark's own reader and writer offer is used, so any file sys
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pitlake import schemas
@@ -91,24 +91,16 @@ class Lake:
         return self.read(name, ddl)
 
     def merge(self, name: str, incoming: DataFrame, revision_knowledge: Column | None) -> dict[str, int]:
-        """SCD-2 merge into a history table; returns the change counts.
-
-        The classified rows are stored first: they feed both the counts and the new version, and the
-        written table carries no lineage.
-        """
+        """SCD-2 merge into a history table; returns the change counts, observed during the write."""
         keys, values = HISTORY_TABLES[name]
-        existing = self.read(name)
+        counts = Observation()
+        passed = history.merge_pass(self.read(name), incoming, keys, values, revision_knowledge)
         version = self.version(name) + 1
-        staged = f"{self.root}/staging/{name}/version={version}"
-        history.classify(existing, incoming, keys, values, revision_knowledge).write.mode(
-            "overwrite"
-        ).parquet(staged)
-        classified = self.spark.read.parquet(staged)
-        history.touched_versions(existing.filter("is_current"), classified, keys, values).write.mode(
+        history.touched_versions(passed.observe(counts, *history.change_counts())).write.mode(
             "overwrite"
         ).partitionBy("is_current").parquet(f"{self.root}/tables/{name}/version={version}")
         self._commit(name, version)
-        return history.change_counts(classified).first().asDict()
+        return dict(counts.get)
 
 
 def publish(

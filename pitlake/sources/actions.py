@@ -32,11 +32,15 @@ def parse_actions(payloads: DataFrame, written_at: Column) -> Parsed:
     is_split = F.col("dataset") == SPLITS
     body = F.from_json("text", _BODY)
     keys = F.json_object_keys("text")
-    results = payloads.select(
+    opened = payloads.select(
         "landing_key", "dataset", F.upper("ticker").alias("ticker"),
         keys.isNull().alias("not_json"),
         (~F.array_contains(keys, "status")).alias("no_status"),
-        F.explode_outer(body["results"]).alias("r"),
+        body["results"].alias("results"),
+    )
+    results = opened.select(
+        "landing_key", "dataset", "ticker", "not_json", "no_status",
+        F.explode_outer("results").alias("r"),
     )
     to, frm = F.col("r.split_to").try_cast("double"), F.col("r.split_from").try_cast("double")
     rows = results.select(

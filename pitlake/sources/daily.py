@@ -34,14 +34,22 @@ def parse_csv_bars(payloads: DataFrame) -> Parsed:
     names = (*CSV_REQUIRED, "Volume")
     head = F.transform(F.split(first_line(F.col("text")), ","), F.trim)
     missing = F.array_join(F.array_except(F.array(*[F.lit(c) for c in CSV_REQUIRED]), head), ",")
-    lines = payloads.select(
+    # what is known per payload is settled in a projection of its own, below the generator
+    headed = payloads.select(
         "landing_key", F.upper("ticker").alias("ticker"), missing.alias("missing"),
         *[F.array_position(head, c).alias(f"at_{c}") for c in names],
-        F.posexplode(F.split(F.ltrim("text"), r"\r?\n")).alias("pos", "line"),
+        F.split(F.ltrim("text"), r"\r?\n").alias("lines"),
     )
+    lines = headed.select(
+        "landing_key", "ticker", "missing", *[f"at_{c}" for c in names],
+        F.posexplode("lines").alias("pos", "line"),
+    )
+    # a generator of one row: its cells are never evaluated twice, whatever is filtered later
+    cells = F.struct(*[cell(F.split("line", ","), F.col(f"at_{c}")).alias(f"raw_{c}") for c in names])
     raw = lines.select(
-        "landing_key", "ticker", "missing", ((F.col("pos") > 0) & (F.trim("line") != "")).alias("data"),
-        *[cell(F.split("line", ","), F.col(f"at_{c}")).alias(f"raw_{c}") for c in names],
+        "landing_key", "ticker", "missing",
+        ((F.col("pos") > 0) & (F.trim("line") != "")).alias("data"),
+        F.inline(F.array(cells)),
     )
     typed = {c: F.col(f"raw_{c}").try_cast("date" if c == "Date" else "double") for c in names}
     unreadable = any_of(*[F.col(f"raw_{c}").isNotNull() & typed[c].isNull() for c in names])
@@ -72,11 +80,14 @@ def parse_json_bars(payloads: DataFrame) -> Parsed:
     fields = {"o": "open", "h": "high", "l": "low", "c": "close", "v": "volume"}
     body = F.from_json("text", "bars array<struct<t string, o string, h string, l string, c string, v string>>")
     keys = F.json_object_keys("text")
-    bars = payloads.select(
+    opened = payloads.select(
         "landing_key", F.upper("ticker").alias("ticker"),
         keys.isNull().alias("not_json"),
         (~F.array_contains(keys, "bars")).alias("no_bars"),
-        F.explode_outer(body["bars"]).alias("b"),
+        body["bars"].alias("bars"),
+    )
+    bars = opened.select(
+        "landing_key", "ticker", "not_json", "no_bars", F.explode_outer("bars").alias("b")
     )
     at = F.col("b.t").try_cast("timestamp")
     values = {name: F.col(f"b.{key}").try_cast("double") for key, name in fields.items()}

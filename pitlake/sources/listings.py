@@ -43,12 +43,15 @@ def parse_directories(payloads: DataFrame) -> Parsed:
         "symbol": symbol, "name": F.lit("Security Name"), "test": F.lit("Test Issue"),
         "etf": F.lit("ETF"), "exchange": F.lit("Exchange"),
     }
-    lines = named.select(
+    headed = named.select(
         "landing_key", "source", "snapshot_date", "head",
         F.size(head).alias("width"),
         F.array_join(F.array_except(needed, head), ",").alias("missing"),
         *[F.array_position(head, c).alias(f"at_{k}") for k, c in columns.items()],
-        F.posexplode(F.split("text", r"\r?\n")).alias("pos", "line"),
+        F.split("text", r"\r?\n").alias("lines"),
+    )
+    lines = headed.select(
+        *[c for c in headed.columns if c != "lines"], F.posexplode("lines").alias("pos", "line")
     )
     parts = F.split("line", r"\|")
     footer = F.lower("line").contains("file creation time")
@@ -99,10 +102,13 @@ def parse_delisted(payloads: DataFrame) -> Parsed:
     Rows lacking either value are skipped; a date that cannot be read is drift.
     """
     body = F.from_json("text", "results array<struct<ticker string, delisted_utc string>>")
-    results = payloads.select(
+    opened = payloads.select(
         "landing_key",
         F.json_object_keys("text").isNull().alias("not_json"),
-        F.posexplode_outer(body["results"]).alias("position", "r"),
+        body["results"].alias("results"),
+    )
+    results = opened.select(
+        "landing_key", "not_json", F.posexplode_outer("results").alias("position", "r")
     )
     filled = (F.col("r.ticker") != "") & (F.col("r.delisted_utc") != "")
     rows = results.select(
