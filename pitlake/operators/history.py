@@ -48,10 +48,10 @@ def merge_pass(
 ) -> DataFrame:
     """Current and incoming rows of one merge with what becomes of each (`status`).
 
-    kept, closed: current versions, the latter revised by an incoming row. new: no history, opens at 1
-    with its own knowledge. unchanged: same hash as the current version. revised: other hash, opens
-    after it at the detection time. reopened: history without a current version, opens after the
-    highest closed sequence at the detection time.
+    Current versions: absent (no incoming row), unchanged (same hash) or closed (other hash). Incoming
+    rows: same as the current version, revised (opens after it at the detection time), reopened
+    (history without a current version: opens after the highest closed sequence at the detection
+    time) or new (no history: opens at 1 with its own knowledge).
 
     Incoming rows, current versions and one sequence per closed key meet in a single exchange on the
     key; a key has at most three rows there.
@@ -82,9 +82,10 @@ def merge_pass(
         }
     ).filter("status <> 'past'")
     status = F.expr(
-        """CASE WHEN status = 'kept' AND _now <> _next THEN 'closed'
-                WHEN status = 'kept' THEN 'kept'
-                WHEN _now = payload_hash THEN 'unchanged'
+        """CASE WHEN status = 'kept' AND _next IS NULL THEN 'absent'
+                WHEN status = 'kept' AND _now = _next THEN 'unchanged'
+                WHEN status = 'kept' THEN 'closed'
+                WHEN _now = payload_hash THEN 'same'
                 WHEN _now IS NOT NULL THEN 'revised'
                 WHEN _seq IS NOT NULL THEN 'reopened'
                 ELSE 'new' END"""
@@ -109,15 +110,15 @@ def merge_pass(
 
 
 def touched_versions(passed: DataFrame) -> DataFrame:
-    """What a merge writes: every current version, and the ones it closed.
+    """What a merge writes: every current version, and the ones it closed, with their status.
 
     Together with the versions closed before this is the new state.
     """
-    return passed.filter("status <> 'unchanged'").drop("status")
+    return passed.filter("status <> 'same'")
 
 
 def change_counts() -> list[Column]:
-    """Aggregates over a merge pass; inserted counts every version written."""
+    """Aggregates over a merge pass or what it wrote; inserted counts every version opened."""
     status = F.col("status")
     return [
         F.count_if(status == "closed").alias("revised"),
@@ -136,7 +137,8 @@ def merge_history(
     """(new state, counts). Keys absent from `incoming` stay as they are."""
     passed = merge_pass(existing, incoming, keys, values, revision_knowledge)
     closed = existing.filter("NOT is_current").select(*keys, *values, *VERSION_COLUMNS)
-    return closed.unionByName(touched_versions(passed)), passed.agg(*change_counts())
+    touched = touched_versions(passed)
+    return closed.unionByName(touched.drop("status")), touched.agg(*change_counts())
 
 
 def with_bar_knowledge(bars: DataFrame) -> DataFrame:

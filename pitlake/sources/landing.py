@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitlake.sources.drift import SCHEMA_DRIFT
+
 FILE_NAME = r"([^/]+)\.([0-9a-f]{16})\.([A-Za-z0-9.]+)$"
 SLUG_UNSAFE = "[^A-Za-z0-9_-]+"
 
@@ -26,6 +28,8 @@ def _request_key(slug: Column, digest: Column) -> Column:
         F.regexp_replace(slug, "^([^_]+)_", "$1:"),
         F.regexp_replace(slug, "^([^_]+)_([^_]+)_", "$1.$2:"),
         F.regexp_replace(slug, "^([^_]+)_history_", "$1:history:"),
+        F.regexp_replace(slug, "^([^_]+)_([^_]+)_history_", "$1.$2:history:"),
+        F.regexp_replace(slug, "^(.+)_([^_]+)$", "$1:$2"),
         slug,
     ]
     return F.coalesce(*[F.when(F.substring(F.sha2(g, 256), 1, 16) == digest, g) for g in guesses])
@@ -48,12 +52,17 @@ def _describe(files: DataFrame, dataset: str) -> DataFrame:
 
 
 def scan_text(spark: SparkSession, root: str, dataset: str) -> DataFrame:
-    """One row per payload with its whole text; `.gz` payloads are decoded by extension."""
-    files = spark.read.option("wholetext", True).option("basePath", f"{root}/{dataset}").text(
-        f"{root}/{dataset}"
+    """One row per payload with its whole text; `.gz` payloads are decoded by extension.
+
+    Spark's file sources pass over zero-byte files: `empty_payloads` finds those in the manifest.
+    """
+    files = spark.read.option("basePath", f"{root}/{dataset}").text(
+        f"{root}/{dataset}", wholetext=True
     )
     return _describe(
-        files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"), "date", "source"),
+        files.select(
+            F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"), "date", "source"
+        ),
         dataset,
     )
 
@@ -98,6 +107,31 @@ def scan_records(spark: SparkSession, root: str, dataset: str) -> DataFrame:
     )
 
 
+def empty_payloads(manifest: DataFrame) -> DataFrame:
+    """Rejects for payloads landed without content."""
+    return manifest.filter("n_bytes = 0").select(
+        F.concat_ws(":", "dataset", "source", "request_key").alias("landing_key"),
+        F.lit(SCHEMA_DRIFT).alias("error_class"), F.lit("empty payload").alias("detail"),
+    )
+
+
+def keyed_by_manifest(payloads: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Request keys from the manifest by path, for names whose key a slug cannot give back."""
+    known = manifest.select("path", F.col("request_key").alias("_key"))
+    key = F.coalesce("_key", "request_key")
+    return (
+        payloads.join(known, "path", "left")
+        .withColumns(
+            {
+                "request_key": key,
+                "ticker": F.upper(F.split_part(key, F.lit(":"), F.lit(1))),
+                "landing_key": F.concat_ws(":", "dataset", "source", key),
+            }
+        )
+        .drop("_key")
+    )
+
+
 def build_manifest(spark: SparkSession, root: str, dataset: str, written_at: Column) -> DataFrame:
     """The manifest of a dataset from its files: hash, size and knowledge time per payload.
 
