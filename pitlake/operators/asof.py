@@ -85,16 +85,23 @@ def last_before(
         F.col(request_at).alias("_due"),
     )
     credited = lookup_step(facts.select(key, fact_at, value), spans, key, fact_at, "inner")
-    newest = credited.groupBy(key, F.col("_due").alias(request_at)).agg(
-        F.max_by(value, fact_at).alias("_value"), F.max(fact_at).alias("_seen")
+    # every request takes part, so one without facts of its own is there to inherit the earlier value
+    blank = wanted.select(
+        key, F.col(request_at).alias("_due"),
+        *[F.lit(None).cast(credited.schema[c].dataType).alias(c) for c in (fact_at, value)],
+    )
+    newest = (
+        credited.select(key, "_due", fact_at, value)
+        .unionByName(blank)
+        .groupBy(key, F.col("_due").alias(request_at))
+        .agg(F.max_by(value, fact_at).alias("_value"), F.max(fact_at).alias("_seen"))
     )
     carried = W.partitionBy(key).orderBy(request_at).rowsBetween(
         W.unboundedPreceding, W.currentRow
     )
     held = F.when(F.col("_seen").isNotNull(), F.struct(F.col("_value").alias("v")))
     return (
-        wanted.join(newest, [key, request_at], "left")
-        .withColumn("_held", F.last(held, ignorenulls=True).over(carried))
+        newest.withColumn("_held", F.last(held, ignorenulls=True).over(carried))
         .filter(F.col("_held").isNotNull())
         .select(key, request_at, F.col("_held.v").alias(value))
     )

@@ -74,22 +74,23 @@ def union_by_authority(delisted: DataFrame, diff: DataFrame) -> DataFrame:
 def terminal_returns(grave: DataFrame, bars: DataFrame) -> DataFrame:
     """Adds terminal_return: the simple return of the last servable bar up to termination.
 
-    Only bars of dead tickers are ordered; a ticker has one bar per calendar day at most.
+    Only the last two bars of a dead ticker matter: the rank filter drops the others before the
+    shuffle.
     """
     ends = grave.select("ticker", "termination_date")
     prices = servable(bars).select("ticker", "bar_date", "close")
-    w = W.partitionBy("ticker").orderBy("bar_date")
-    returns = (
-        prices.join(ends.select("ticker"), "ticker", "left_semi")
-        .withColumn("ret", F.try_divide("close", F.lag("close").over(w)) - 1.0)
-    )
-    last = (
-        returns.join(ends, "ticker")
+    newest_first = W.partitionBy("ticker").orderBy(F.desc("bar_date"))
+    last_two = (
+        prices.join(ends, "ticker")
         .filter("bar_date <= termination_date")
-        .groupBy("ticker")
-        .agg(F.max_by("ret", "bar_date").alias("terminal_return"))
+        .withColumn("_rn", F.row_number().over(newest_first))
+        .filter("_rn <= 2")
+    )
+    last, before = F.max_by("close", "bar_date"), F.min_by("close", "bar_date")
+    returns = last_two.groupBy("ticker").agg(
+        F.when(F.count("*") == 2, F.try_divide(last, before) - 1.0).alias("terminal_return")
     )
-    return grave.join(last, "ticker", "left")
+    return grave.join(returns, "ticker", "left")
 
 
 def with_first_seen(grave: DataFrame, previous: DataFrame, now: Column) -> DataFrame:

@@ -172,8 +172,8 @@ def iex_only_keys(observations: DataFrame) -> DataFrame:
     """Keys only IEX reported: counted, never canonized."""
     return (
         observations.groupBy(*KEY)
-        .agg(F.min("source").alias("_lo"), F.max("source").alias("_hi"))
-        .filter((F.col("_lo") == "alpaca_iex") & (F.col("_hi") == "alpaca_iex"))
+        .agg(F.bool_and(F.col("source") == "alpaca_iex").alias("_only"))
+        .filter("_only")
         .select(*KEY)
     )
 

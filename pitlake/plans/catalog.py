@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pitlake import schemas
@@ -267,11 +266,11 @@ def vote_audit(spark, d):
 
 
 def _letters(spark, d):
-    """Letters of every conflict, half of them resolved, numbered along the key order."""
+    """Letters of every conflict, half of them resolved, numbered by day and ticker."""
     conflicts = voting.vote_bars(fx.observations(spark, d)).filter("verdict = 'conflict'")
     day_no = F.dayofmonth("bar_date")
-    # numbering rows needs one order over all letters; they are few beside the bars
-    order = F.row_number().over(W.orderBy("ticker", "bar_date")).cast("bigint")
+    number = F.substring("ticker", 7, 9).cast("bigint")
+    order = F.date_diff("bar_date", F.lit("1995-01-01").cast("date")) * 1000 + number
     return conflicts.select(
         order.alias("id"), "ticker", "bar_date",
         F.lit("j10_vote_seal").alias("job_name"), F.lit(None).cast("string").alias("source"),

@@ -360,7 +360,7 @@ CTES = {
                'landing/yf_daily/' || ticker || '/' || CAST(bar_date AS VARCHAR) AS path
         FROM base WHERE k % 5 <> 0""",
     "letters": """
-        SELECT row_number() OVER (ORDER BY ticker, bar_date) AS id, ticker, bar_date,
+        SELECT date_diff('day', DATE '1995-01-01', bar_date) * 1000 + CAST(substr(ticker, 7) AS BIGINT) AS id, ticker, bar_date,
                ticker || ':' || CAST(bar_date AS VARCHAR) AS request_key,
                TIMESTAMP '2002-01-01' + to_days(CAST(day(bar_date) AS INTEGER)) AS first_seen,
                CASE WHEN day(bar_date) % 2 = 0 THEN TIMESTAMP '2002-03-01' END AS resolved_at
