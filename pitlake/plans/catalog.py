@@ -19,9 +19,13 @@ from pitlake.operators import (
 )
 from pitlake.plans import fixtures as fx
 from pitlake.plans.oracle import OHLCV, VOTE_OUT, as_text, day, rnd, us, with_ctes
+from pitlake.plans.lake import Lake
 from pitlake.plans.present import present
+from pitlake.plans.scratch import scratch, staged
 from pitlake.sources import actions, daily, edgar, minute
+from pitlake.sources import events as event_store
 from pitlake.sources import listings as listing_source
+from pitlake.streaming import market
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1148,3 +1152,117 @@ def parse_cik_map(spark, d):
         )
     )
     return edgar.parse_cik_map(payloads).good.select("ticker", "cik")
+
+
+# --- streaming ------------------------------------------------------------------------------
+# Each runs a stream over the table's files until they are used up and returns what it left behind.
+
+
+def _event_stream(spark, d):
+    return (
+        spark.readStream.schema(fx.TABLES["events"])
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(d)
+    )
+
+
+def _drain(writer):
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
+@query(
+    f"""SELECT ticker, {us('minute_ts')}, {rnd('bid_close', 'ask_close')}, n_quotes FROM (
+          SELECT ticker, date_trunc('minute', ts) AS minute_ts, arg_max(bid, (ts, pos)) AS bid_close,
+                 arg_max(ask, (ts, pos)) AS ask_close, count(*) AS n_quotes
+          FROM quotes WHERE bid > 0 AND ask > 0 GROUP BY 1, 2)
+        WHERE minute_ts + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM quotes WHERE bid > 0 AND ask > 0) - INTERVAL 10 MINUTE""",
+    stamps=("minute_ts",),
+)
+def stream_quote_buckets(spark, d):
+    root = scratch(spark, "buckets")
+    stream = market.minute_buckets(fx.quotes_of(_event_stream(spark, d)))
+    _drain(
+        stream.writeStream.format("parquet").option("path", f"{root}/out")
+        .option("checkpointLocation", f"{root}/checkpoint")
+    )
+    return spark.read.schema(stream.schema).parquet(f"{root}/out")
+
+
+@query(
+    "SELECT DISTINCT event_type AS ticker, epoch_us(date_trunc('hour', ts)) AS minute_ts FROM events",
+    stamps=("minute_ts",),
+)
+def stream_first_minutes(spark, d):
+    root = scratch(spark, "minutes")
+    rows = _event_stream(spark, d).select(
+        F.col("event_type").alias("ticker"),
+        F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("minute_ts"), "value",
+    )
+    stream = market.first_minutes(rows)
+    _drain(
+        stream.writeStream.format("parquet").option("path", f"{root}/out")
+        .option("checkpointLocation", f"{root}/checkpoint")
+    )
+    return spark.read.schema(stream.schema).parquet(f"{root}/out").select("ticker", "minute_ts")
+
+
+@query(_QUOTE_OUT + "quote_bars_minute", stamps=("minute_ts",))
+def stream_quote_twm(spark, d):
+    root = scratch(spark, "weights")
+    lake = Lake(spark, root)
+    run = market.weighted_touched(lake, staged(fx.quote_sessions(spark, d), "sessions"))
+    _drain(
+        market.start_each_batch(fx.quotes_of(_event_stream(spark, d)), run, f"{root}/checkpoint")
+    )
+    return lake.read("live_quote_bars", market.LIVE_BARS).select(*quotes.QUOTE_BAR)
+
+
+@query(
+    f"SELECT ticker, {day('bar_date')}, {rnd('close', digits=8)}, grade, single_source FROM screened_latest",
+    digits=8, bools=("single_source",),
+)
+def stream_votes(spark, d):
+    """Bar events arriving as files, re-voted per ticker into canonical history."""
+    root = scratch(spark, "votes")
+    lake = Lake(spark, root)
+    rows = fx.bar_events(spark, d).withColumns(
+        {
+            "event_id": F.uuid(), "vendor_adjusted": F.lit(False), "reversal_factor": F.lit(1.0),
+            "landing_key": F.lit("k"),
+        }
+    )
+    rows.select(*schemas.names(schemas.BAR_EVENTS)).write.parquet(f"{root}/arriving")
+    stream = market.parquet_stream(spark, f"{root}/arriving", schemas.BAR_EVENTS)
+    _drain(market.start_each_batch(stream, market.vote_touched(lake), f"{root}/checkpoint"))
+    return lake.read("bars_daily").filter("is_current").select(
+        "ticker", "bar_date", "close", "grade", "single_source"
+    )
+
+
+# --- staged plans ---------------------------------------------------------------------------
+
+
+@query(f"SELECT ticker, {day('effective_date')}, {rnd(*OHLCV, digits=4)} FROM pit", digits=4)
+def pit_adjusted_staged(spark, d):
+    """Point-in-time bars with the factor intervals stored first, as a night publishes them.
+
+    The planner reads their size from storage and broadcasts them when small: bars are not shuffled.
+    """
+    bars = fx.bars(spark, d)
+    steps = adjust.cumulative_factors(adjust.adjustment_factors(bars, fx.actions(spark, d)))
+    return adjust.adjust_with(bars, staged(steps, "steps"))
+
+
+@query(
+    f"""SELECT ticker, {day('bar_date')}, source, open, knowledge_time, reversal_factor FROM (
+          SELECT ticker, bar_date, 'stooq' AS source, round(open * f, 4) + 0e0 AS open,
+                 epoch_us(timezone('America/New_York', bar_date + INTERVAL '23:59:59')) AS knowledge_time,
+                 round(f, 4) + 0e0 AS reversal_factor FROM reversal)""",
+    digits=4, stamps=("knowledge_time",),
+)
+def bar_envelope(spark, d):
+    """Vendor bars made raw and wrapped as events, without the random id."""
+    current = fx.bars(spark, d).filter("is_current").select("ticker", "bar_date", *OHLCV)
+    raw = adjust.reverse_splits(current, adjust.current_splits(fx.actions(spark, d)))
+    wrapped = event_store.bar_envelope(raw.withColumn("landing_key", F.lit("k")), "stooq", True, now())
+    return wrapped.select("ticker", "bar_date", "source", "open", "knowledge_time", "reversal_factor")

@@ -226,9 +226,14 @@ def action_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quote ticks of the events table."""
+    return quotes_of(table(spark, sf_dir, "events"))
+
+
+def quotes_of(events: DataFrame) -> DataFrame:
     """Quote ticks: one name per event type; some tied on the hour, some with an empty side."""
     at = F.col("ts").cast("timestamp")
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.col("event_type").alias("ticker"),
         F.to_date("ts").alias("session_date"),
         F.when(F.col("event_id") % 4 == 0, F.date_trunc("hour", at)).otherwise(at).alias("ts"),
