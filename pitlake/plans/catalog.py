@@ -376,8 +376,9 @@ def _merge_nights(spark, d):
         schemas.empty(spark, schemas.BARS_DAILY), _night(spark, d, 1), history.BAR_KEY,
         history.BAR_VALUES,
     )
+    # the first night is stored before the second reads it, as in a lake
     return history.merge_history(
-        first, _night(spark, d, 2), history.BAR_KEY, history.BAR_VALUES, now()
+        staged(first, "night"), _night(spark, d, 2), history.BAR_KEY, history.BAR_VALUES, now()
     )
 
 
@@ -791,9 +792,14 @@ def _universe(spark, d):
                  CASE WHEN count(*) FILTER (WHERE s_suppkey % 8 = 1) > 0 THEN 'warn' ELSE 'info' END FROM supplier)"""
 )
 def gap_ledger(spark, d):
+    # read twice: by the coverage and by the share of unknown reasons
+    dead = staged(graveyard_union(spark, d), "graveyard")
+    covered = listings.coverage(
+        dead, fx.bars(spark, d), fx.snapshots(spark, d), fx.TRADE_DATE, now()
+    )
     metrics = gaps.gap_metrics(
-        _hybrid(spark, d), fx.bars(spark, d), _coverage(spark, d),
-        graveyard_union(spark, d).withColumn("termination_reason", F.lit("unknown")),
+        _hybrid(spark, d), fx.bars(spark, d), covered,
+        dead.withColumn("termination_reason", F.lit("unknown")),
         _universe(spark, d), _sectors(spark, d), _parity(spark, d), _health(spark, d),
     )
     return gaps.gap_ledger(metrics, now()).drop("description", "updated_at")

@@ -15,6 +15,7 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # call sites are not recorded for every column expression: plans build several times faster
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

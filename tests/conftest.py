@@ -16,7 +16,6 @@ from pitlake.session import build_session  # noqa: E402
 def spark():
     session = build_session(
         "tests", "local[4]", spark__sql__shuffle__partitions="4", spark__driver__memory="4g",
-        spark__sql__session__localRelationCacheThreshold="0",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
