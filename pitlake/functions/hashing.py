@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 
 def double_text(c: Column) -> Column:
-    finite = F.format_string("%.6f", F.round(c, 6) + F.lit(0.0))
+    # a decimal prints its six places many times faster than a format string, up to its range
+    finite = F.when(F.abs(c) < 1e30, c.cast("decimal(38,6)").cast("string")).otherwise(
+        F.format_string("%.6f", c)
+    )
     return (
         F.when(c.isNull(), F.lit(None).cast("string"))
         .when(F.isnan(c), F.lit("NaN"))

@@ -120,6 +120,7 @@ def test_hash_ignores_noise_and_sees_changes(spark):
     assert h(0.3) == h(0.1 + 0.2)
     assert h(0.0) == h(-0.0)
     assert h(1.0) != h(1.00001)
+    assert len({h(1e300), h(-1e300), h(1e29), h(1e-9)}) == 4
     assert len({h(float("nan")), h(float("inf")), h(float("-inf")), h(None), h(0.0)}) == 5
     degraded = with_bar_hash(bar(spark, 1.0).withColumn("grade", F.lit("degraded"))).first().payload_hash
     good = with_bar_hash(bar(spark, 1.0).withColumn("grade", F.lit("good"))).first().payload_hash
