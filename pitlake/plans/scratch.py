@@ -9,10 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's `spark.checkpoint.dir`; a local one where that is unset."""
+    """A fresh folder under the `spark.checkpoint.dir` of the session.
+
+    Where that is unset, a session that runs in one process gets a folder of its own; on a cluster
+    there is no folder that every executor sees, so the caller has to name one.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    if not shared:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
