@@ -21,6 +21,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -302,7 +303,7 @@ def chunks(batch: pa.RecordBatch, sizes: np.ndarray, most: int) -> Iterator[pa.R
 
 
 def text_sizes(column: pa.Array) -> np.ndarray:
-    return np.asarray(pa.compute.fill_null(pa.compute.binary_length(column), 0))
+    return np.asarray(pc.fill_null(pc.binary_length(column), 0))
 
 
 def _with(batch: pa.RecordBatch, names: list[str], *more: pa.Array) -> pa.RecordBatch:
@@ -335,10 +336,10 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
         table = vocabulary(path)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(ids))
-            counts = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(column), 0))
+            counts = np.asarray(pc.fill_null(pc.list_value_length(column), 0))
             for part in chunks(batch, counts, CHUNK_CHARS):
                 column = part.column(part.schema.get_field_index(ids))
-                counts = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(column), 0), np.int64)
+                counts = np.asarray(pc.fill_null(pc.list_value_length(column), 0), np.int64)
                 tokens = np.asarray(column.flatten(), np.int64)
                 raw = table.decode(tokens)
                 size = table.starts[tokens + 1] - table.starts[tokens]
