@@ -32,8 +32,9 @@ NONE = np.int32(1 << 30)
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Pieces longer than this are merged one by one.
 LONG = 64
-CHUNK_CHARS = 4_000_000
-CACHE_PIECES = 400_000
+#: Characters or ids worked on at a time, and pieces remembered by a worker.
+CHUNK_CHARS = 1_000_000
+CACHE_PIECES = 150_000
 
 
 def _class(first: str) -> str:

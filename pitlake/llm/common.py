@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Python workers of a one-process session find this package wherever the session was started.
+
+    On a cluster the package comes with `--py-files` or is installed.
+    """
+    environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body` of a value that is computed once, however often the body names it."""
     return F.transform(F.array(value), body)[0]

@@ -3,24 +3,56 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pitlake.llm import bpe
-from pitlake.llm.common import table
-
-import public_tokenizers
+from pitlake.llm import bpe, exact, quality, simhash
+from pitlake.llm.common import reach_workers, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 BPE_PATTERN = public_tokenizers.PATTERN
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(table(spark, sf_dir, "documents"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), BPE_FILE, BPE_PATTERN)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op7_byte_bpe": op7_byte_bpe,
+def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.report(table(spark, sf_dir, "documents"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _registered(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        reach_workers(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES: dict[str, Query] = {
+    q.__name__: _registered(q) for q in (
+        op1_simhash, op7_byte_bpe, op9_exact_dedup, op10_quality,
+    )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_exact_dedup": r"""
+        WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') t FROM documents),
+        g AS (SELECT t, min(doc_id) keep_id, count(*) group_size FROM n GROUP BY t)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
+        FROM n JOIN g USING (t)""",
+}
