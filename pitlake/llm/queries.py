@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pitlake.llm import bpe, exact, quality, simhash
+from pitlake.llm import bpe, exact, quality, rules, simhash
 from pitlake.llm.common import reach_workers, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -19,6 +19,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table(spark, sf_dir, "documents"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged(table(spark, sf_dir, "documents"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), BPE_FILE, BPE_PATTERN)
 
@@ -45,11 +49,12 @@ def _registered(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {
     q.__name__: _registered(q) for q in (
-        op1_simhash, op7_byte_bpe, op9_exact_dedup, op10_quality,
+        op1_simhash, op2_quality_rules, op7_byte_bpe, op9_exact_dedup, op10_quality,
     )
 }
 
 ORACLES: dict[str, str] = {
+    "op2_quality_rules": rules.ORACLE,
     "op9_exact_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') t FROM documents),
         g AS (SELECT t, min(doc_id) keep_id, count(*) group_size FROM n GROUP BY t)
