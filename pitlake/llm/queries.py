@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pitlake.llm import bpe, exact, quality, rules, simhash
+from pitlake.llm import bpe, chat, exact, html, mixing, quality, rules, simhash, warc
 from pitlake.llm.common import reach_workers, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -23,10 +23,26 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(table(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(table(spark, sf_dir, "pages"))
+
+
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.report(table(spark, sf_dir, "pages"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), BPE_FILE, BPE_PATTERN)
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.report(table(spark, sf_dir, "conversations"), BPE_FILE, BPE_PATTERN)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.report(table(spark, sf_dir, "documents"))
 
@@ -49,12 +65,14 @@ def _registered(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {
     q.__name__: _registered(q) for q in (
-        op1_simhash, op2_quality_rules, op7_byte_bpe, op9_exact_dedup, op10_quality,
+        op1_simhash, op2_quality_rules, op3_warc, op4_main_text, op6_mixing,
+        op7_byte_bpe, op8_chat, op9_exact_dedup, op10_quality,
     )
 }
 
 ORACLES: dict[str, str] = {
     "op2_quality_rules": rules.ORACLE,
+    "op3_warc": warc.ORACLE,
     "op9_exact_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') t FROM documents),
         g AS (SELECT t, min(doc_id) keep_id, count(*) group_size FROM n GROUP BY t)
