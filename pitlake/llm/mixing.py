@@ -235,5 +235,5 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     mixture = mix(docs, known_domains(docs, labels))
     return mixture.fitted().select(
         "doc_id", F.col("tokens").cast("long").alias("tokens"),
-        F.map_from_arrays(F.lit(mixture.classifier.domains), "posterior").alias("posterior"), "rate", "copies",
+        F.to_json(F.map_from_arrays(F.lit(mixture.classifier.domains), "posterior")).alias("posterior"), "rate", "copies",
     )

@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pitlake.llm import bpe, chat, exact, html, mixing, quality, rules, simhash, warc
+from pitlake.llm import bpe, chat, exact, html, mixing, quality, repeats, rules, simhash, warc
 from pitlake.llm.common import reach_workers, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -31,6 +31,10 @@ def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.report(table(spark, sf_dir, "pages"))
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -65,8 +69,8 @@ def _registered(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {
     q.__name__: _registered(q) for q in (
-        op1_simhash, op2_quality_rules, op3_warc, op4_main_text, op6_mixing,
-        op7_byte_bpe, op8_chat, op9_exact_dedup, op10_quality,
+        op1_simhash, op2_quality_rules, op3_warc, op4_main_text, op5_repeats,
+        op6_mixing, op7_byte_bpe, op8_chat, op9_exact_dedup, op10_quality,
     )
 }
 
