@@ -165,6 +165,22 @@ def fit(
     return RuleEnsemble(float(lasso.intercept), [(float(w), r) for w, r in zip(weights, rules, strict=True) if w])
 
 
+def fit_on(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, **how) -> RuleEnsemble:
+    """Fit on (doc_id, text) rows that `labels` (doc_id, quality) covers.
+
+    At most about `max_rows` labels are taken, by hash of the identifier, so the labels that are sent to
+    every executor have a fixed bound, and only the texts they name are measured.
+    """
+    known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).select(
+        F.col("doc_id").alias("labelled"), F.col("quality").alias("label")
+    )
+    total = known.count()
+    if total > max_rows:
+        known = known.filter(F.pmod(F.xxhash64("labelled"), F.lit(1 << 20)) < int(max_rows / total * (1 << 20)))
+    named = docs.join(F.broadcast(known), F.col("doc_id") == F.col("labelled"))
+    return fit(staged(with_statistics(named, keep=("label",)), "labelled-statistics"), max_rows=max_rows, **how)
+
+
 def is_held_out(key: Column) -> Column:
     """Whether crc32 of the decimal identifier is a multiple of 5; a null identifier counts as empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 5 == 0

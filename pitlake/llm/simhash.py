@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pitlake.llm.exact import LOCATOR, located, order_of
 from pitlake.llm.graph import components
 from pitlake.plans.scratch import staged
 
@@ -229,6 +230,18 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     return prints.join(classes, "fp").select("id", "fp", "component")
 
 
+def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5) -> DataFrame:
+    """`docs` with the first row of every group, by identifier (nulls last), then place; columns as they were."""
+    columns = docs.columns
+    docs = docs.select(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(columns)))
+    rows = located(docs)
+    named = rows.select(order_of(F.col(f"c{columns.index(key)}")).alias("at"), f"c{columns.index(text)}")
+    groups = near_groups(named, "at", f"c{columns.index(text)}", words)
+    dropped = groups.filter(F.col("id") != F.col("component")).select("id.file", "id.row")
+    kept = rows.join(dropped, list(LOCATOR), "left_anti")
+    return kept.select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(columns)))
+
+
 def report(docs: DataFrame) -> DataFrame:
     """Fingerprints over 4-word shingles and their components."""
     return near_groups(docs, words=4).select(
