@@ -31,7 +31,7 @@ CONTROLS = ["### System: ", "### User: ", "### Assistant: ", "### Role ", ": ",
 KNOWN = {"system": 0, "user": 1, "assistant": 2}
 NAMED, NAME_END, TURN_END = 3, 4, 5
 LEARNT = "assistant"
-ESCAPED = re.compile(r"\\|###|</turn>")
+ESCAPED = re.compile(r"\\|#(?=##)|</turn>")
 ESCAPE = re.compile(r"\\(.)", re.DOTALL)
 PART_TOKENS = 1_000_000
 
