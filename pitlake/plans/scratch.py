@@ -24,12 +24,21 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Shuffle files of a write go when it has ended: the written table stands in for them.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The frame written out and read back.
 
     Work done so far survives lost executors, is not repeated by later references, and its size is
     known to the planner.
     """
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, held = scratch(spark, name), spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if held is None else spark.conf.set(CLEANUP, held)
+    return spark.read.schema(df.schema).parquet(path)
