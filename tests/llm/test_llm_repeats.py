@@ -49,22 +49,20 @@ def test_shards_and_long_anchors_in_process(monkeypatch):
         monkeypatch.setattr(repeats, "SHARD_BYTES", shard)
         monkeypatch.setattr(repeats, "LONG_BYTES", long)
         docs = pa.RecordBatch.from_pydict({"doc": [r[0] for r in rows], "text": [r[1] for r in rows]})
-        placed = pa.Table.from_batches(list(repeats.find_anchors(iter([docs])))).sort_by("anchor")
-        again = pa.Table.from_batches(list(repeats.met_again(iter(placed.to_batches(max_chunksize=7)))))
-        n = {}
-        for a in placed.column("anchor").to_pylist():
-            n[a] = n.get(a, 0) + 1
-        assert sorted(again.column("anchor").to_pylist()) == sorted(a for a, c in n.items() for _ in range(c) if c > 1)
+        order = [(c, "ascending") for c in repeats.FOUND.fieldNames()]
+        found = pa.Table.from_batches(list(repeats.find_anchors(iter([docs])))).sort_by(order)
+        told = [r for b in repeats.sort_out(iter(found.to_batches(max_chunksize=7))) for r in b.to_pylist()]
+        marks = [r for r in told if r["anchor"] is None]
         by_doc = {}
-        for r in again.to_pylist():
-            by_doc.setdefault(r["doc"], []).append(r)
+        for r in told:
+            if r["anchor"] is not None:
+                by_doc.setdefault(r["doc"], []).append(r)
         joined = pa.RecordBatch.from_pydict({
             "doc": list(by_doc), "text": [dict(rows)[d] for d in by_doc],
             **{c: [[r[c] for r in own] for own in by_doc.values()] for c in ("anchor", "start", "n")},
         })
-        cut = [b for b in repeats.cut_contexts(iter([joined]))]
-        marks = [r for b in cut for r in b.to_pylist() if r["body"] is None]
-        bodies = pa.Table.from_batches(cut).filter(pa.compute.is_valid(pa.compute.field("body"))).sort_by("anchor")
+        cut = list(repeats.cut_contexts(iter([joined])))
+        bodies = pa.Table.from_batches(cut).sort_by("anchor")
         out = [r for b in repeats.compare(iter(bodies.to_batches(max_chunksize=11))) for r in b.to_pylist()]
         marks += [r for r in out if r["body"] is None]
         left = [r for r in out if r["body"] is not None]

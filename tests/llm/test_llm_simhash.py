@@ -114,6 +114,21 @@ def test_nulls_ties_and_clashing_columns(documents):
     assert simhash.near_groups(documents([])).count() == 0
 
 
+def test_similar_texts_are_found_and_others_left(spark, documents):
+    random.seed(12)
+    words = ["".join(random.choice("abcdefghij") for _ in range(4)) for _ in range(3000)]
+    rows, base = [], [random.choices(words, k=400) for _ in range(30)]
+    for i, own in enumerate(base):
+        rows.append((10 * i, " ".join(own)))
+        for k in range(1, 4):  # similarity about 0.9
+            near = list(own)
+            for at in random.sample(range(400), 4):
+                near[at] = "changed"
+            rows.append((10 * i + k, " ".join(near)))
+    got = {r.id: r.component for r in simhash.similar_groups(documents(rows)).collect()}
+    assert len({r for r in got.values()}) == 30 and all(c == i // 10 * 10 for i, c in got.items())
+
+
 def test_every_near_pair_shares_a_list():
     random.seed(9)
     for _ in range(2000):
