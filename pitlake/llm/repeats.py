@@ -6,9 +6,9 @@ identifier or before it in the same document; strings never cross documents.
 1. Every window of WIDTH bytes has an anchor, the first of its grams with the least hash, which depends on
    nothing but its bytes. Neighbouring windows with the same gram for anchor form a context. Equal windows have equal anchors,
    so only contexts whose anchor occurs again can repeat anything.
-2. Those contexts are cut from the texts. Equal ones collapse to the first of them, before they are
-   shuffled and again after; all windows of the others repeat.
-3. Different contexts of one anchor meet in a shard. A shard of about SHARD_BYTES is put in suffix order
+2. A context travels as anchor, 64-bit digest of its windows and place. Of contexts equal in both hashes
+   all windows repeat but those of the first.
+3. Where an anchor has different contexts, the first of each is cut from its text; they meet in a shard. A shard of about SHARD_BYTES is put in suffix order
    and kept as the runs of its Burrows-Wheeler transform with a sample at the head of each run: the
    suffix there, its predecessor in the order, and how far the two agree. From the samples alone the
    matching statistics of all other positions follow in text order, each one less than the position
@@ -44,6 +44,7 @@ LONG_BYTES = 4 << 20
 LAST = (1 << 63) - 1
 
 U64 = np.uint64
+FOUND = T.StructType([T.StructField(n, T.LongType()) for n in ("anchor", "digest", "doc", "place")])
 PLACED = T.StructType([T.StructField(n, T.LongType()) for n in ("anchor", "doc", "start", "n")])
 CONTEXTS = T.StructType([*PLACED.fields, T.StructField("body", T.BinaryType())])
 
@@ -70,64 +71,84 @@ def sliding_min(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(h[: len(h) - rest], h[rest:]) if rest else h
 
 
-def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor, first window and number of windows of each context of a text."""
+#: Weights of the parts of a window, and of the windows of a context, in its digest.
+PARTS = [U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
+WEIGHTS = np.cumprod(np.full(WIDTH, 0x2545F4914F6CDD1D, U64))
+
+
+def window_digests(grams: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the WIDTH bytes from each position on, from the hashes of the grams in them."""
+    n = len(grams) - (WIDTH - GRAM)
+    at = [*range(0, WIDTH - GRAM, GRAM), WIDTH - GRAM]
+    mixed = sum(grams[o : o + n] * w for o, w in zip(at, PARTS, strict=True))
+    return (mixed ^ (mixed >> U64(29))) * PARTS[1]
+
+
+def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor, digest, first window and number of windows of each context of a text."""
     if len(raw) < WIDTH:
         none = np.zeros(0, np.int64)
-        return none, none, none
+        return none, none, none, none
     grams = gram_hashes(raw, GRAM)
     least = sliding_min(grams, WIDTH - GRAM + 1)
     # another gram: the value differs, or the one that was least stood at the start of the window before
     moves = (least[1:] != least[:-1]) | (grams[: len(least) - 1] == least[:-1])
     starts = np.concatenate([[0], np.flatnonzero(moves) + 1])
-    return least[starts].view(np.int64), starts, np.diff(np.append(starts, len(least)))
+    size = np.diff(np.append(starts, len(least)))
+    within = np.arange(len(least)) - np.repeat(starts, size)
+    digest = np.add.reduceat(window_digests(grams) * WEIGHTS[within], starts)
+    return least[starts].view(np.int64), digest.view(np.int64), starts, size
 
 
 def raw_text(value: pa.Scalar) -> bytes:
     return (value.as_py() or "").encode("utf-8", "replace")
 
 
-def _placed(*columns: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=PLACED.fieldNames())
+def _longs(schema: T.StructType, *columns: np.ndarray | pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=schema.fieldNames())
 
 
 def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, text) to contexts without their bytes."""
+    """(doc, text) to contexts without their bytes; a place is the first window and, in 8 bits, how many."""
     for batch in batches:
         held, count = [], 0
         for k, doc in enumerate(batch.column(0).to_pylist()):
-            found = anchors(np.frombuffer(raw_text(batch.column(1)[k]), np.uint8))
-            held.append((found[0], np.full(len(found[0]), doc), found[1], found[2]))
-            count += len(found[0])
+            anchor, digest, start, n = anchors(np.frombuffer(raw_text(batch.column(1)[k]), np.uint8))
+            held.append((anchor, digest, np.full(len(anchor), doc), start << 8 | n))
+            count += len(anchor)
             if count > 50_000:
-                yield _placed(*map(np.concatenate, zip(*held, strict=True)))
+                yield _longs(FOUND, *map(np.concatenate, zip(*held, strict=True)))
                 held, count = [], 0
         if held:
-            yield _placed(*map(np.concatenate, zip(*held, strict=True)))
+            yield _longs(FOUND, *map(np.concatenate, zip(*held, strict=True)))
 
 
-def met_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by anchor, those whose anchor has another row. One row is carried, never a group."""
-    before, last = None, None
+def sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts sorted by all columns to windows that repeat (no anchor), and the contexts whose bytes have
+    to be compared (with anchor). One row is carried from batch to batch, never a group."""
+    first = np.zeros((0, 4), np.int64)  # of the current equal contexts
+    told = False  # whether its bytes have been asked for
     for batch in batches:
         if not batch.num_rows:
             continue
-        keys = np.asarray(batch.column(0))
-        same = np.zeros(len(keys), bool)
-        equal = keys[1:] == keys[:-1]
-        same[1:] |= equal
-        same[:-1] |= equal
-        goes_on = last is not None and last[0] == keys[0]
-        if goes_on:
-            same[0] = True
-            if not before:
-                yield _placed(*(np.array([x]) for x in last))
-        # the last row waits for what follows, unless it is known to have another
-        known = bool(same[-1])
-        last = tuple(c[-1].as_py() for c in batch.columns)
-        before = known
-        if same.any():
-            yield batch.filter(pa.array(same))
+        rows = np.concatenate([first, np.stack([np.asarray(c) for c in batch.columns], axis=1)])
+        fresh = np.append(True, (rows[1:, :2] != rows[:-1, :2]).any(axis=1))
+        heads = np.flatnonzero(fresh)
+        own = rows[heads[np.cumsum(fresh) - 1]]
+        repeats = rows[(own[:, 2:] != rows[:, 2:]).any(axis=1)]
+        if len(repeats):
+            yield _longs(
+                PLACED, pa.nulls(len(repeats), pa.int64()), repeats[:, 2], repeats[:, 3] >> 8, repeats[:, 3] & 255
+            )
+        heads = rows[heads]
+        same = heads[1:, 0] == heads[:-1, 0]
+        asked = np.append(False, same) | np.append(same, False)
+        asked_before = np.zeros(len(heads), bool)
+        asked_before[0] = told and len(first) > 0
+        ask = heads[asked & ~asked_before]
+        if len(ask):
+            yield _longs(PLACED, ask[:, 0], ask[:, 2], ask[:, 3] >> 8, ask[:, 3] & 255)
+        first, told = heads[-1:], bool(asked[-1] or asked_before[-1])
 
 
 def _contexts(rows: list[tuple[int, int, int, int, bytes | None]]) -> pa.RecordBatch:
@@ -139,28 +160,20 @@ def _contexts(rows: list[tuple[int, int, int, int, bytes | None]]) -> pa.RecordB
 
 
 def cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, text, anchors, places) to contexts with their bytes. Of equal contexts in a batch, later ones
-    come without bytes: all their windows repeat."""
+    """(doc, text, anchors, starts, counts) to contexts with their bytes."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 1000):
-            part = batch.slice(at, 1000)
-            first: dict[tuple[int, bytes], tuple[int, int, int]] = {}
-            repeats = []
-            for k, doc in enumerate(part.column(0).to_pylist()):
-                raw = raw_text(part.column(1)[k])
-                places = zip(part.column(2)[k].as_py(), part.column(3)[k].as_py(), part.column(4)[k].as_py(), strict=True)
-                for anchor, start, n in places:
-                    body = raw[start : start + n + WIDTH - 1]
-                    if len(body) < n + WIDTH - 1:
-                        continue  # of another row with this identifier
-                    here, key = (doc, start, n), (anchor, body)
-                    there = first.setdefault(key, here)
-                    if there is not here and there != here:
-                        first[key] = min(here, there)
-                        repeats.append((anchor, *max(here, there), None))
-            rows = [(a, *where, body) for (a, body), where in first.items()] + repeats
-            if rows:
+        rows = []
+        for k, doc in enumerate(batch.column(0).to_pylist()):
+            raw = raw_text(batch.column(1)[k])
+            for anchor, start, n in zip(*(batch.column(c)[k].as_py() for c in (2, 3, 4)), strict=True):
+                body = raw[start : start + n + WIDTH - 1]
+                if len(body) == n + WIDTH - 1:  # else it is of another row with this identifier
+                    rows.append((anchor, doc, start, n, body))
+            if len(rows) > 20_000:
                 yield _contexts(rows)
+                rows = []
+        if rows:
+            yield _contexts(rows)
 
 
 def suffix_order(symbols: np.ndarray) -> np.ndarray:
@@ -320,7 +333,7 @@ def window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 half = gram_hashes(raw, 64, salt)
                 far = half[WIDTH - 64 :]
                 pair.append(((half[: len(far)] * U64(0xD6E8FEB86659FD93)) ^ (far + (far >> U64(31)))).view(np.int64)[:n])
-            yield _placed(*pair, np.full(n, batch.column(1)[k].as_py()), batch.column(2)[k].as_py() + np.arange(n))
+            yield _longs(PLACED, *pair, np.full(n, batch.column(1)[k].as_py()), batch.column(2)[k].as_py() + np.arange(n))
 
 
 def long_anchors(contexts: DataFrame) -> DataFrame:
@@ -335,21 +348,18 @@ def long_anchors(contexts: DataFrame) -> DataFrame:
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """(doc, start, n): windows of `docs` (doc, text) that also start earlier."""
-    found = (
-        docs.mapInArrow(find_anchors, PLACED).repartition("anchor").sortWithinPartitions("anchor")
-        .mapInArrow(met_again, PLACED)
-    )
-    places = found.groupBy("doc").agg(F.collect_list(F.struct("anchor", "start", "n")).alias("p")).select(
-        "doc", *(F.col(f"p.{c}").alias(c) for c in ("anchor", "start", "n"))
-    )
-    cut = staged(docs.join(places, "doc").select("doc", "text", "anchor", "start", "n").mapInArrow(
-        cut_contexts, CONTEXTS
-    ), "contexts")
+    found = docs.mapInArrow(find_anchors, FOUND).repartition("anchor").sortWithinPartitions(*FOUND.fieldNames())
+    sorted_out = staged(found.mapInArrow(sort_out, PLACED), "contexts")
+    places = sorted_out.filter("anchor IS NOT NULL").groupBy("doc").agg(
+        F.collect_list(F.struct("anchor", "start", "n")).alias("p")
+    ).select("doc", *(F.col(f"p.{c}").alias(c) for c in ("anchor", "start", "n")))
+    cut = docs.join(places, "doc").select("doc", "text", "anchor", "start", "n").mapInArrow(cut_contexts, CONTEXTS)
     compared = staged(
-        cut.filter("body IS NOT NULL").repartition("anchor").sortWithinPartitions("anchor")
-        .mapInArrow(compare, CONTEXTS), "compared",
+        cut.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(compare, CONTEXTS), "compared"
+    )
+    marks = sorted_out.filter("anchor IS NULL").select("doc", "start", "n").unionByName(
+        compared.filter("body IS NULL").select("doc", "start", "n")
     )
-    marks = cut.unionByName(compared).filter("body IS NULL").select("doc", "start", "n")
     long = compared.filter("body IS NOT NULL")
     return marks if long.isEmpty() else marks.unionByName(long_anchors(long))
 
