@@ -134,26 +134,47 @@ def factor_trail(requests: DataFrame, factors: DataFrame) -> DataFrame:
 def pit_audit(bars: DataFrame, factors: DataFrame, requests: DataFrame) -> DataFrame:
     """Per requested bar: raw close, cumulative factor, adjusted close, and the look-ahead check.
 
-    `no_lookahead` is true when every applied factor was known by the end of the bar's day.
+    Counts and products come from intervals, so a bar meets one row however many factors its ticker has.
+    `no_lookahead` is true when the newest applied factor was known by the end of the bar's day.
     """
     asked = requests.select("ticker", "bar_date").distinct()
     raw = servable(bars).select("ticker", "bar_date", F.col("close").alias("raw_close"))
-    applied = F.col("applied")
-    seen = factor_trail(asked, factors).groupBy("ticker", "bar_date").agg(
-        F.count("*").alias("n_factors"),
-        F.count_if(applied).alias("n_applied"),
-        F.exp(F.sum(F.when(applied, F.ln("factor")))).alias("_cum"),
-        F.bool_and(~applied | (F.col("known_date") <= F.col("bar_date"))).alias("_clean"),
+    active = factors.filter("knowledge_time IS NOT NULL").select(
+        "ticker", F.greatest("ex_date", exchange_date("knowledge_time")).alias("active_from"),
+        F.ln("factor").alias("log"), F.lit(1).alias("n"),
     )
-    cum = F.coalesce("_cum", F.lit(1.0))
+    steps = running_steps(active, "ticker", "active_from", ["log", "n"]).withColumn("newest", F.col("step_from"))
+    totals = factors.groupBy("ticker").agg(F.count("*").alias("n_factors"))
+    cum = F.coalesce(F.exp("log"), F.lit(1.0))
     return (
-        asked.join(raw, ["ticker", "bar_date"], "left")
-        .join(seen, ["ticker", "bar_date"], "left")
+        lookup_step(asked, steps, "ticker", "bar_date")
+        .join(raw, ["ticker", "bar_date"], "left")
+        .join(totals, "ticker", "left")
         .select(
             "ticker", "bar_date", "raw_close", cum.alias("cum_factor"),
             (F.col("raw_close") * cum).alias("adjusted_close"),
             F.coalesce("n_factors", F.lit(0)).alias("n_factors"),
-            F.coalesce("n_applied", F.lit(0)).alias("n_applied"),
-            F.coalesce("_clean", F.lit(True)).alias("no_lookahead"),
+            F.coalesce("n", F.lit(0)).alias("n_applied"),
+            F.coalesce(F.col("newest") <= F.col("bar_date"), F.lit(True)).alias("no_lookahead"),
         )
     )
+
+
+def served_lookahead(served: DataFrame, bars: DataFrame, factors: DataFrame, tolerance: float = 1e-9) -> DataFrame:
+    """Served bars whose close is not the raw close times the factors known by that day.
+
+    The product is taken pair by pair from the trail, apart from the intervals that served the bars: a
+    factor that leaked in early, or went missing, shows.
+    """
+    raw = servable(bars).select("ticker", "bar_date", F.col("close").alias("raw_close"))
+    known = factor_trail(raw, factors).filter("applied").groupBy("ticker", "bar_date").agg(
+        F.exp(F.sum(F.ln("factor"))).alias("_product")
+    )
+    due = raw.join(known, ["ticker", "bar_date"], "left").select(
+        "ticker", F.col("bar_date").alias("effective_date"),
+        (F.col("raw_close") * F.coalesce("_product", F.lit(1.0))).alias("due_close"),
+    )
+    off = F.abs(F.col("close") - F.col("due_close")) > tolerance * F.abs(F.col("due_close"))
+    return served.select("ticker", "effective_date", "close").join(
+        due, ["ticker", "effective_date"], "left"
+    ).filter(F.coalesce(off, F.col("close").isNotNull() | F.col("due_close").isNotNull()))

@@ -1,6 +1,6 @@
 """A fingerprint of canonical state that does not depend on row order.
 
-Each row is hashed where it lies; only three numbers per table travel to the final aggregate.
+Each row is hashed where it lies; only a few numbers per table travel to the final aggregate.
 """
 
 from __future__ import annotations
@@ -23,15 +23,19 @@ ACTION_STATE = [
 
 
 def table_fingerprint(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
-    """(table_name, n_rows, digest) over `columns`: count, sum and xor of 60-bit row prefixes."""
+    """(table_name, n_rows, digest) over `columns`: count, and sum and xor of all 256 bits of the row hashes.
+
+    A hash is eight lanes of 32 bits, so that sums stay exact.
+    """
     row = content_hash(df, {c: c for c in columns})
-    bits = F.conv(F.substring(row, 1, 15), 16, 10).cast("bigint")
-    total = F.coalesce(F.sum(bits.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
-    mixed = F.coalesce(F.bit_xor(bits), F.lit(0))
-    return df.agg(F.count("*").alias("n_rows"), total.alias("_s"), mixed.alias("_x")).select(
+    lanes = [F.conv(F.substring(row, 8 * k + 1, 8), 16, 10).cast("bigint") for k in range(8)]
+    sums = [F.coalesce(F.sum(x.cast("decimal(20,0)")), F.lit(0)).cast("decimal(30,0)").alias(f"_s{k}") for k, x in enumerate(lanes)]
+    mixed = [F.coalesce(F.bit_xor(x), F.lit(0)).alias(f"_x{k}") for k, x in enumerate(lanes)]
+    told = ["n_rows", *(f"_s{k}" for k in range(8)), *(f"_x{k}" for k in range(8))]
+    return df.agg(F.count("*").alias("n_rows"), *sums, *mixed).select(
         F.lit(name).alias("table_name"),
         "n_rows",
-        F.sha2(F.concat_ws("|", F.col("n_rows"), F.col("_s"), F.col("_x")), 256).alias("digest"),
+        F.sha2(F.concat_ws("|", *told), 256).alias("digest"),
     )
 
 

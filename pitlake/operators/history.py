@@ -45,16 +45,19 @@ def merge_pass(
     keys: Sequence[str],
     values: Sequence[str],
     revision_knowledge: Column | None = None,
+    order: Sequence[str] = ("knowledge_time", "payload_hash"),
 ) -> DataFrame:
     """Current and incoming rows of one merge with what becomes of each (`status`).
 
+    Of several incoming rows with one key only the last under `order` counts.
+
     Current versions: absent (no incoming row), unchanged (same hash) or closed (other hash). Incoming
     rows: same as the current version, revised (opens after it at the detection time), reopened
     (history without a current version: opens after the highest closed sequence at the detection
     time) or new (no history: opens at 1 with its own knowledge).
 
     Incoming rows, current versions and one sequence per closed key meet in a single exchange on the
-    key; a key has at most three rows there.
+    key; beside repeated incoming rows, a key has at most three there.
     """
     require_columns(incoming, keys, values)
     keys = list(keys)
@@ -66,12 +69,15 @@ def merge_pass(
         .agg(F.max("revision_seq").alias("revision_seq"))
         .withColumn("status", F.lit("past"))
     )
-    arrived = incoming.select(*keys, *values, "payload_hash", "knowledge_time").withColumn(
-        "status", F.lit("incoming")
-    )
+    arrived = incoming.select(
+        *keys, *values, "payload_hash", "knowledge_time", F.struct(*order).alias("_order")
+    ).withColumn("status", F.lit("incoming"))
+    # one exchange on the key serves both windows
     rows = current.unionByName(arrived, allowMissingColumns=True).unionByName(
         past, allowMissingColumns=True
-    )
+    ).repartition(*keys)
+    last = W.partitionBy(*keys, "status").orderBy(F.desc_nulls_last("_order"))
+    rows = rows.withColumn("_rank", F.row_number().over(last)).filter("status <> 'incoming' OR _rank = 1")
     w = W.partitionBy(*keys)
     seen = rows.withColumns(
         {
@@ -117,6 +123,11 @@ def touched_versions(passed: DataFrame) -> DataFrame:
     return passed.filter("status <> 'same'")
 
 
+def changed_versions(passed: DataFrame) -> DataFrame:
+    """The versions that a merge closed or opened, with their status."""
+    return passed.filter("status IN ('closed', 'new', 'revised', 'reopened')")
+
+
 def change_counts() -> list[Column]:
     """Aggregates over a merge pass or what it wrote; inserted counts every version opened."""
     status = F.col("status")

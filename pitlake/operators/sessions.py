@@ -20,11 +20,11 @@ def with_half_day(sessions: DataFrame) -> DataFrame:
     return sessions.withColumn("is_half_day", half_day(F.col("close_utc")))
 
 
-def latest_completed(sessions: DataFrame, now: Column) -> DataFrame:
-    """One row: the newest session closed at or before `now`, null when none is within ten days."""
+def latest_completed(sessions: DataFrame, now: Column, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
+    """One row: the newest session closed at or before `now`, null when none is within `lookback_days`."""
     today = F.to_date(now)
     recent = sessions.filter(
-        F.col("session_date").between(F.date_sub(today, LOOKBACK_DAYS), today)
+        F.col("session_date").between(F.date_sub(today, lookback_days), today)
         & (F.col("close_utc") <= now)
     )
     return recent.agg(F.max("session_date").alias("session_date"))
@@ -37,12 +37,9 @@ def sessions_between(sessions: DataFrame, start: str, end: str) -> DataFrame:
 
 
 def previous_sessions(sessions: DataFrame, reference: str, n: int) -> DataFrame:
-    """The last `n` session dates up to `reference`, within a window wide enough to hold them."""
-    day = F.lit(reference).cast("date")
-    window = sessions.filter(
-        F.col("session_date").between(F.date_sub(day, max(2 * n + 10, 15)), day)
-    )
-    return window.select("session_date").orderBy(F.desc("session_date")).limit(n)
+    """The last `n` session dates up to `reference`; `n` is the size of the report."""
+    past = sessions.filter(F.col("session_date") <= F.lit(reference).cast("date"))
+    return past.select("session_date").orderBy(F.desc("session_date")).limit(n)
 
 
 def sessions_within(sessions: DataFrame, reference: str, days: int) -> DataFrame:

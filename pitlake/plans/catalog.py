@@ -132,24 +132,36 @@ def pit_audit(spark, d):
 @query(
     f"""SELECT b.ticker, {day('b.bar_date')}, {day('f.ex_date')}, factor_type, round(factor, 6) + 0e0 AS factor,
           f.ex_date <= b.bar_date AND known <= b.bar_date AS applied
-        FROM live_bars b JOIN factors f ON f.ticker = b.ticker WHERE b.k % 10 = 0""",
+        FROM live_bars b JOIN factors f ON f.ticker = b.ticker""",
     bools=("applied",),
 )
 def factor_trail(spark, d):
-    # the requests an operator asks about: an input table, here the bars of round order keys
+    # the requests an operator asks about: an input table, here every servable bar
     bars = fx.bars(spark, d)
     factors = adjust.adjustment_factors(bars, fx.actions(spark, d))
-    asked = adjust.servable(bars).filter("k % 10 = 0").select("ticker", "bar_date")
+    asked = adjust.servable(bars).select("ticker", "bar_date")
     return adjust.factor_trail(asked, factors).drop("knowledge_time", "known_date")
 
 
 @query(
-    """SELECT count(*) AS n_bars, count(*) AS n_clean FROM (SELECT DISTINCT ticker, bar_date FROM bars)"""
+    """SELECT count(*) AS n_bars,
+          count(*) FILTER (WHERE p.close IS NOT DISTINCT FROM due OR abs(p.close - due) <= 1e-6 * abs(due)) AS n_clean
+        FROM pit p JOIN (
+          SELECT b.ticker, b.bar_date, b.close * coalesce(exp(sum(ln(factor)) FILTER (
+                   WHERE f.ex_date <= b.bar_date AND known <= b.bar_date)), 1e0) AS due
+          FROM (SELECT ticker, bar_date, close FROM live_bars) b LEFT JOIN factors f ON f.ticker = b.ticker
+          GROUP BY b.ticker, b.bar_date, b.close) r ON r.ticker = p.ticker AND r.bar_date = p.effective_date"""
 )
 def no_lookahead(spark, d):
-    return pit_audit(spark, d).agg(
-        F.count("*").alias("n_bars"), F.count_if("no_lookahead").alias("n_clean")
+    """The served frame against the product of factors known by each day."""
+    bars = fx.bars(spark, d)
+    factors = staged(adjust.adjustment_factors(bars, fx.actions(spark, d)), "factors")
+    served = adjust.adjust_with(bars, adjust.cumulative_factors(factors))
+    leaks = adjust.served_lookahead(served, bars, factors, 1e-6)
+    seen = served.select(F.lit(1).alias("bar"), F.lit(0).alias("leak")).unionByName(
+        leaks.select(F.lit(0).alias("bar"), F.lit(1).alias("leak"))
     )
+    return seen.agg(F.sum("bar").alias("n_bars"), (F.sum("bar") - F.sum("leak")).alias("n_clean"))
 
 
 @query(f"SELECT ticker, {day('bar_date')}, {rnd('close', 'volume')}, grade FROM live_bars")
@@ -277,7 +289,7 @@ def _letters(spark, d):
     order = F.date_diff("bar_date", F.lit("1995-01-01").cast("date")) * 1000 + number
     return conflicts.select(
         order.alias("id"), "ticker", "bar_date",
-        F.lit("j10_vote_seal").alias("job_name"), F.lit(None).cast("string").alias("source"),
+        F.lit("vote_and_seal").alias("job_name"), F.lit(None).cast("string").alias("source"),
         F.concat_ws(":", "ticker", F.col("bar_date").cast("string")).alias("request_key"),
         F.lit(None).cast("string").alias("payload_path"),
         F.lit(deadletters.VOTE_CONFLICT).alias("error_class"), F.lit("seen").alias("detail"),
@@ -289,7 +301,7 @@ def _letters(spark, d):
 
 @query(
     f"""SELECT v.ticker || ':' || CAST(v.bar_date AS VARCHAR) AS request_key, 'vote_conflict' AS error_class,
-          'j10_vote_seal' AS job_name, epoch_us(TIMESTAMP '2002-02-01') AS first_seen
+          'vote_and_seal' AS job_name, epoch_us(TIMESTAMP '2002-02-01') AS first_seen
         FROM voted v WHERE verdict = 'conflict'
           AND NOT EXISTS (SELECT 1 FROM letters l WHERE l.ticker = v.ticker AND l.bar_date = v.bar_date
                           AND l.resolved_at IS NULL)""",
@@ -488,12 +500,14 @@ def upsert_bars(spark, d):
     return state.select("ticker", "bar_date", "close", "grade", "source_set", "single_source")
 
 
-_ROW_BITS = "CAST('0x' || substr(h, 1, 15) AS BIGINT)"
+def _lanes(fold: str) -> str:
+    lane = "CAST('0x' || substr(h, {at}, 8) AS BIGINT)"
+    return " || '|' || ".join(f"CAST({fold}({lane.format(at=8 * k + 1)}) AS VARCHAR)" for k in range(8))
 
 
 @query(
     f"""SELECT name AS table_name, count(*) AS n_rows,
-          sha256(CAST(count(*) AS VARCHAR) || '|' || CAST(sum({_ROW_BITS}) AS VARCHAR) || '|' || CAST(bit_xor({_ROW_BITS}) AS VARCHAR)) AS digest
+          sha256(CAST(count(*) AS VARCHAR) || '|' || {_lanes('sum')} || '|' || {_lanes('bit_xor')}) AS digest
         FROM (
           SELECT 'bars_daily' AS name, sha256(
             '{{"bar_date":"' || CAST(bar_date AS VARCHAR) || '","close":"' || format('{{:.6f}}', close)
@@ -1010,25 +1024,38 @@ def parse_json_bars(spark, d):
 
 @query(
     f"""SELECT ticker, {us('ts')}, {rnd('bid', 'ask')} FROM quotes WHERE bid > 0 AND ask > 0
+          AND day(session_date) NOT IN (10, 11, 12, 13)
           AND (ticker, session_date) NOT IN (
             SELECT (ticker, session_date) FROM quotes WHERE day(session_date) = 9 AND pos % 5 = 0)""",
     stamps=("ts",),
 )
 def parse_quote_ticks(spark, d):
-    """Tick payloads per name and day as record fragments; on the ninth every fifth id has no time."""
-    broken = (F.dayofmonth("session_date") == 9) & (F.col("pos") % 5 == 0)
+    """Tick payloads per name and day. On the ninth every fifth id has no time; on the days after, payloads
+    break off before the end, inside the list and inside a record, or hold a nested object."""
+    day_of = F.dayofmonth("session_date")
+    broken = (day_of == 9) & (F.col("pos") % 5 == 0)
     record = F.to_json(
         F.struct(
             F.when(~broken, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")).alias("t"),
             F.col("bid").alias("bp"), F.col("ask").alias("ap"),
         )
     )
-    fragments = fx.quotes(spark, d).select(
-        F.concat_ws(":", F.lit("quote_ticks:alpaca_iex"), "ticker", F.col("session_date").cast("string")).alias("landing_key"),
-        "ticker", "pos",
-        # every fragment opens an envelope here: a file would do so once
-        F.concat(F.lit('{"quotes":['), F.rtrim(record, F.lit("}"))).alias("fragment"),
+    whole = F.concat(F.lit('{"quotes":['), F.array_join("records", ","), F.lit('],"symbol":"x"}'))
+    text = (
+        F.when(day_of == 10, F.rtrim(whole, F.lit("}")))
+        .when(day_of == 11, F.substring_index(whole, "]", 1))
+        .when(day_of == 12, F.concat(F.substring_index(whole, '"ap"', -2), F.lit("]}")))
+        .when(day_of == 13, F.replace(whole, F.lit('"symbol":"x"'), F.lit('"more":{"a":1}')))
+        .otherwise(whole)
+    )
+    payloads = (
+        fx.quotes(spark, d).groupBy("ticker", "session_date").agg(F.collect_list(record).alias("records"))
+        .select(
+            F.concat_ws(":", F.lit("quote_ticks:alpaca_iex"), "ticker", F.col("session_date").cast("string")).alias("landing_key"),
+            "ticker", text.alias("text"),
+        )
     )
+    fragments = minute.fragments_of(payloads)
     return minute.parse_quote_fragments(fragments).good.select("ticker", "ts", "bid", "ask")
 
 

@@ -15,9 +15,10 @@ from pitlake import schemas
 from pitlake.operators import history
 from pitlake.operators.contracts import assert_contract
 
+# keys, values, and the day whose month a row is stored under
 HISTORY_TABLES = {
-    "bars_daily": (history.BAR_KEY, history.BAR_VALUES),
-    "corporate_actions": (history.ACTION_KEY, history.ACTION_VALUES),
+    "bars_daily": (history.BAR_KEY, history.BAR_VALUES, "bar_date"),
+    "corporate_actions": (history.ACTION_KEY, history.ACTION_VALUES, "ex_date"),
 }
 # every version holds only what it added
 APPEND_TABLES = {"universe_snapshots", "bars_minute", "quote_bars_1m", "intraday_processed", "sectors"}
@@ -53,26 +54,37 @@ class Lake:
         commits = self._optional(f"{self.root}/commits/{name}", "version int")
         return commits.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
 
-    def _commit(self, name: str, version: int) -> None:
-        self.spark.range(1).select(F.lit(version).cast("int").alias("version")).coalesce(1).write.mode(
+    def _commit(self, name: str, version: int, periods: DataFrame | None = None) -> None:
+        """One row per commit; of history tables one per month that it rewrote."""
+        rows = self.spark.range(1).select(F.lit(None).cast("string").alias("period")) if periods is None else periods
+        rows.select(F.lit(version).cast("int").alias("version"), "period").coalesce(1).write.mode(
             "append"
         ).parquet(f"{self.root}/commits/{name}")
 
+    def _read_history(self, name: str, ddl: str, version: int) -> DataFrame:
+        """Closed versions, written once, and current ones from the newest rewrite of each month."""
+        log = self._optional(f"{self.root}/commits/{name}", "version int, period string")
+        newest = log.filter(F.col("version") <= version).groupBy("period").agg(F.max("version").alias("version"))
+        parts = self.spark.read.schema(schemas.struct(ddl + ", version int, period string")).parquet(
+            f"{self.root}/tables/{name}"
+        )
+        closed = parts.filter((F.col("version") <= version) & ~F.col("is_current"))
+        current = parts.filter("is_current").join(newest, ["version", "period"], "left_semi")
+        return current.unionByName(closed)
+
     def read(self, name: str, ddl: str | None = None) -> DataFrame:
         """A table at its newest version; a typed empty frame before the first."""
         ddl = ddl or schemas.CANONICAL_TABLES[name]
         version = self.version(name)
         if version == 0:
             return schemas.empty(self.spark, ddl)
-        if name in HISTORY_TABLES or name in APPEND_TABLES:
+        if name in HISTORY_TABLES:
+            return self._read_history(name, ddl, version).select(*schemas.names(ddl))
+        if name in APPEND_TABLES:
             parts = self.spark.read.schema(schemas.struct(ddl + ", version int")).parquet(
                 f"{self.root}/tables/{name}"
             )
-            until = F.col("version") <= version
-            if name in HISTORY_TABLES:
-                # prunes directories: closed versions are written once and never again
-                until = until & (~F.col("is_current") | (F.col("version") == version))
-            return parts.filter(until).select(*schemas.names(ddl))
+            return parts.filter(F.col("version") <= version).select(*schemas.names(ddl))
         return self.spark.read.schema(schemas.struct(ddl)).parquet(
             f"{self.root}/tables/{name}/version={version}"
         )
@@ -93,16 +105,48 @@ class Lake:
     def merge(self, name: str, incoming: DataFrame, revision_knowledge: Column | None) -> dict[str, int]:
         """SCD-2 merge into a history table; returns the change counts.
 
-        Each row is stored with its status, so counting reads one small column of what was written.
+        Only months that the incoming rows fall in are read, and only months in which a version closed or
+        opened are written again. A merge that changes nothing writes no version.
         """
-        keys, values = HISTORY_TABLES[name]
-        passed = history.merge_pass(self.read(name), incoming, keys, values, revision_knowledge)
-        version = self.version(name) + 1
-        path = f"{self.root}/tables/{name}/version={version}"
-        history.touched_versions(passed).write.mode("overwrite").partitionBy("is_current").parquet(path)
-        self._commit(name, version)
-        written = self.spark.read.schema("status string").parquet(path)
-        return written.agg(*history.change_counts()).first().asDict()
+        keys, values, day = HISTORY_TABLES[name]
+        ddl, version = schemas.CANONICAL_TABLES[name], self.version(name)
+        month = F.coalesce(F.date_format(day, "yyyy-MM"), F.lit("none"))
+        arrived = incoming.select(month.alias("period")).distinct()
+        if version == 0:
+            known = schemas.empty(self.spark, ddl + ", period string")
+        else:
+            known = self._read_history(name, ddl, version).join(arrived, "period", "left_semi")
+        passed = history.merge_pass(known, incoming, keys, values, revision_knowledge)
+        pending = f"{self.root}/pending/{name}/version={version + 1}"
+        history.changed_versions(passed).withColumn("period", month).write.mode("overwrite").parquet(pending)
+        changes = self.spark.read.schema(schemas.struct(ddl + ", status string, period string")).parquet(pending)
+        counts = changes.agg(*history.change_counts()).first().asDict()
+        counts["unchanged"] = incoming.select(*keys).distinct().count() - counts["inserted"]
+        if counts["inserted"]:
+            touched = changes.select("period").distinct()
+            kept = (
+                known.filter("is_current").join(touched, "period", "left_semi")
+                .join(changes.filter("status = 'closed'").select(*keys), keys, "left_anti")
+            )
+            columns = [*schemas.names(ddl), "period"]
+            # a month in few files, a large one split
+            rewritten = kept.select(*columns).unionByName(changes.select(*columns)).hint("rebalance", "period")
+            rewritten.write.mode("overwrite").partitionBy("period", "is_current").parquet(f"{self.root}/tables/{name}/version={version + 1}")
+            self._commit(name, version + 1, touched)
+        return counts
+
+    def vacuum(self, name: str) -> list[str]:
+        """Folders of a history table that no newest version reads: superseded rewrites of current months.
+
+        Told, not deleted: what may go depends on readers that still hold an older version.
+        """
+        version = self.version(name)
+        log = self._optional(f"{self.root}/commits/{name}", "version int, period string").filter(
+            F.col("version") <= version
+        )
+        newest = log.groupBy("period").agg(F.max("version").alias("newest"))
+        old = log.join(newest, "period").filter("version < newest").orderBy("period", "version").collect()
+        return [f"{self.root}/tables/{name}/version={r.version}/period={r.period}/is_current=true" for r in old]
 
 
 def publish(

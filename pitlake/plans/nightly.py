@@ -30,10 +30,19 @@ REJECTS = "landing_key string, error_class string, detail string"
 
 
 def add_letters(lake: Lake, letters: DataFrame) -> None:
-    """Append dead letters with fresh ids."""
+    """Append dead letters with fresh ids; a request with an open letter of that class gets no second one."""
+    stored = lake.read("dead_letter")
+    told = stored.filter("resolved_at IS NULL").select(
+        F.col("request_key").alias("_key"), F.col("error_class").alias("_class"), F.col("source").alias("_source")
+    )
+    letters = letters.join(
+        told,
+        F.col("request_key").eqNullSafe(F.col("_key")) & F.col("error_class").eqNullSafe(F.col("_class"))
+        & F.col("source").eqNullSafe(F.col("_source")),
+        "left_anti",
+    )
     if letters.isEmpty():
         return
-    stored = lake.read("dead_letter")
     start = stored.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
     ids = F.lit(start + 1) + F.monotonically_increasing_id()
     numbered = letters.withColumn("id", ids).select(*stored.columns)
@@ -143,7 +152,8 @@ def intraday_seal(
     new_minutes = minute_payloads.join(marks, done, "left_anti")
     new_quotes = quote_fragments.join(marks, done, "left_anti")
 
-    bars = accept(lake, minute.parse_frame_minutes(new_minutes), "intraday_seal", now).withColumns(
+    minute_parsed = minute.parse_frame_minutes(new_minutes)
+    bars = accept(lake, minute_parsed, "intraday_seal", now).withColumns(
         {"source": F.lit("yfinance"), "knowledge_time": F.col("minute_ts")}
     )
     minutes = lake.write(
@@ -166,7 +176,12 @@ def intraday_seal(
             lake.read("quote_bars_1m"), quoted, ["ticker", "minute_ts"], ["n_quotes"]
         ),
     )
-    seen = new_minutes.select(*done).unionByName(new_quotes.select(*done)).distinct()
+    # a rejected payload stays unmarked: a later parser gets to see it again
+    bad = rejects.select("landing_key").unionByName(minute_parsed.rejects.select("landing_key"))
+    seen = (
+        new_minutes.select(*done, "landing_key").unionByName(new_quotes.select(*done, "landing_key")).distinct()
+        .join(bad, "landing_key", "left_anti").select(*done)
+    )
     lake.write("intraday_processed", worklists.mark_processed(seen, now), PROCESSED)
     spread = spreads.corwin_schultz(spreads.spread_inputs(lake.read("bars_daily")))
     lake.write("serving_intraday", spreads.hybrid_intraday(minutes, quote_store, spread))

@@ -25,6 +25,18 @@ def cell(parts: Column, index: Column) -> Column:
     return F.nullif(F.trim(value), F.lit(""))
 
 
+def cells_of(line: Column) -> Column:
+    """The cells of a CSV line; quoted cells may hold commas and doubled quotes."""
+    outside = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+    quoted = F.transform(
+        F.split(line, outside),
+        lambda c: F.when(
+            F.trim(c).rlike('^".*"$'), F.regexp_replace(F.regexp_extract(F.trim(c), '^"(.*)"$', 1), '""', '"')
+        ).otherwise(c),
+    )
+    return F.when(line.contains('"'), quoted).otherwise(F.split(line, ","))
+
+
 def parse_csv_bars(payloads: DataFrame) -> Parsed:
     """`Date,Open,High,Low,Close[,Volume]` by header name -> bars.
 
@@ -32,7 +44,7 @@ def parse_csv_bars(payloads: DataFrame) -> Parsed:
     unreadable values or no rows are drift.
     """
     names = (*CSV_REQUIRED, "Volume")
-    head = F.transform(F.split(first_line(F.col("text")), ","), F.trim)
+    head = F.transform(cells_of(first_line(F.col("text"))), F.trim)
     missing = F.array_join(F.array_except(F.array(*[F.lit(c) for c in CSV_REQUIRED]), head), ",")
     # what is known per payload is settled in a projection of its own, below the generator
     headed = payloads.select(
@@ -45,7 +57,7 @@ def parse_csv_bars(payloads: DataFrame) -> Parsed:
         F.posexplode("lines").alias("pos", "line"),
     )
     # a generator of one row: its cells are never evaluated twice, whatever is filtered later
-    cells = F.struct(*[cell(F.split("line", ","), F.col(f"at_{c}")).alias(f"raw_{c}") for c in names])
+    cells = F.struct(*[cell(cells_of(F.col("line")), F.col(f"at_{c}")).alias(f"raw_{c}") for c in names])
     raw = lines.select(
         "landing_key", "ticker", "missing",
         ((F.col("pos") > 0) & (F.trim("line") != "")).alias("data"),

@@ -71,7 +71,7 @@ def drift_letters(rejects: DataFrame, job_name: str, first_seen: Column) -> Data
         F.regexp_extract("landing_key", "^[^:]*:[^:]*:(.*)$", 1).alias("request_key"),
         F.lit(None).cast("string").alias("payload_path"),
         "error_class",
-        F.substring("detail", 1, 4000).alias("detail"),
+        "detail",
         first_seen.alias("first_seen"),
         F.lit(0).alias("retry_count"),
         F.lit(None).cast("timestamp").alias("resolved_at"),

@@ -31,7 +31,7 @@ def _read(
     try:
         data = pq.read_table(pa.BufferReader(content))
     except Exception as exc:  # noqa: BLE001 - any unreadable payload is drift
-        return None, False, f"payload unreadable: {str(exc)[:200]}"
+        return None, False, f"payload unreadable: {exc}"
     names = data.column_names
     at = next((c for c in (_find(names, t) for t in time) if c), None)
     found = {c: _find(names, c) for c in (*required, *optional)}

@@ -21,8 +21,12 @@ def file_name(request_key: Column, ext: str) -> Column:
     return F.concat_ws(".", slug, F.substring(F.sha2(request_key, 256), 1, 16), F.lit(ext))
 
 
-def _request_key(slug: Column, digest: Column) -> Column:
-    """The request key behind a slug: the spelling whose digest is the one in the file name."""
+def _request_key(slug: Column, digest: Column, name: Column) -> Column:
+    """The request key behind a slug: the spelling whose digest is the one in the file name.
+
+    Where no spelling fits (a cut or unusual slug) the key is `file:` and the name: never null, and no
+    other file's. The manifest knows better: `keyed_by_manifest`.
+    """
     guesses = [
         F.regexp_replace(slug, "_", ":"),
         F.regexp_replace(slug, "^([^_]+)_", "$1:"),
@@ -32,13 +36,14 @@ def _request_key(slug: Column, digest: Column) -> Column:
         F.regexp_replace(slug, "^(.+)_([^_]+)$", "$1:$2"),
         slug,
     ]
-    return F.coalesce(*[F.when(F.substring(F.sha2(g, 256), 1, 16) == digest, g) for g in guesses])
+    fitting = [F.when(F.substring(F.sha2(g, 256), 1, 16) == digest, g) for g in guesses]
+    return F.coalesce(*fitting, F.concat(F.lit("file:"), name))
 
 
 def _describe(files: DataFrame, dataset: str) -> DataFrame:
     path = F.col("path")
     slug, digest = F.regexp_extract(path, FILE_NAME, 1), F.regexp_extract(path, FILE_NAME, 2)
-    key = _request_key(slug, digest)
+    key = _request_key(slug, digest, F.substring_index(path, "/", -1))
     return files.withColumns(
         {
             "dataset": F.lit(dataset),
@@ -51,7 +56,22 @@ def _describe(files: DataFrame, dataset: str) -> DataFrame:
     ).drop("date")
 
 
-def scan_text(spark: SparkSession, root: str, dataset: str) -> DataFrame:
+def _landed(files: DataFrame, days: tuple[str, str] | None) -> DataFrame:
+    """Files of the days asked for (first, last): a filter on folders, so others are not opened."""
+    if days is None:
+        return files
+    return files.filter(F.col("date").cast("date").between(*(F.lit(x).cast("date") for x in days)))
+
+
+def days_of(queue: DataFrame) -> tuple[str, str] | None:
+    """First and last partition date of a work list, to scan no other folders; None when it is empty."""
+    ends = queue.agg(F.min("partition_date").cast("string"), F.max("partition_date").cast("string")).first()
+    return None if ends[0] is None else (ends[0], ends[1])
+
+
+def scan_text(
+    spark: SparkSession, root: str, dataset: str, days: tuple[str, str] | None = None
+) -> DataFrame:
     """One row per payload with its whole text; `.gz` payloads are decoded by extension.
 
     Spark's file sources pass over zero-byte files: `empty_payloads` finds those in the manifest.
@@ -60,44 +80,47 @@ def scan_text(spark: SparkSession, root: str, dataset: str) -> DataFrame:
         f"{root}/{dataset}", wholetext=True
     )
     return _describe(
-        files.select(
+        _landed(files, days).select(
             F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"), "date", "source"
         ),
         dataset,
     )
 
 
-def scan_bytes(spark: SparkSession, root: str, dataset: str) -> DataFrame:
+def scan_bytes(
+    spark: SparkSession, root: str, dataset: str, days: tuple[str, str] | None = None
+) -> DataFrame:
     """One row per payload with its raw bytes."""
     files = spark.read.format("binaryFile").option("basePath", f"{root}/{dataset}").load(
         f"{root}/{dataset}"
     )
     return _describe(
-        files.select("path", "content", "length", "modificationTime", "date", "source"), dataset
+        _landed(files, days).select("path", "content", "length", "modificationTime", "date", "source"), dataset
     )
 
 
 def _record_position() -> Column:
-    """A number that grows along a file: its block (by MiB; blocks are larger) then the row in the task.
+    """A value that grows along a file: where its block starts, then the row in the task.
 
     Blocks of one file may sit in different tasks, so the row id alone would not do.
     """
     row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    block = F.floor(F.col("_metadata.file_block_start") / (1 << 20))
-    return block * F.lit(1 << 33) + row_in_task
+    return F.col("_metadata.file_block_start").cast("decimal(20,0)") * F.lit(1 << 33).cast("decimal(10,0)") + row_in_task
 
 
-def scan_records(spark: SparkSession, root: str, dataset: str) -> DataFrame:
+def scan_records(
+    spark: SparkSession, root: str, dataset: str, days: tuple[str, str] | None = None
+) -> DataFrame:
     """One row per JSON record of each payload, in file order, without ever holding a whole payload.
 
-    A night's ticks for one name can be a single huge JSON object. Reading it with `}` as the line
+    A night's ticks for one name can be a single huge JSON object. Reading it with `{` as the line
     separator streams it record by record. `pos` orders the records of one file.
     """
-    files = spark.read.option("lineSep", "}").option("basePath", f"{root}/{dataset}").text(
+    files = spark.read.option("lineSep", "{").option("basePath", f"{root}/{dataset}").text(
         f"{root}/{dataset}"
     )
     return _describe(
-        files.select(
+        _landed(files, days).select(
             F.col("_metadata.file_path").alias("path"),
             F.col("value").alias("fragment"),
             _record_position().alias("pos"),
@@ -132,6 +155,14 @@ def keyed_by_manifest(payloads: DataFrame, manifest: DataFrame) -> DataFrame:
     )
 
 
+def unlisted(payloads: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Rejects for payloads that the manifest doesn't name."""
+    return payloads.join(manifest.select("path"), "path", "left_anti").select(
+        "landing_key", F.lit(SCHEMA_DRIFT).alias("error_class"),
+        F.concat(F.lit("payload without a manifest row: "), "path").alias("detail"),
+    ).distinct()
+
+
 def build_manifest(spark: SparkSession, root: str, dataset: str, written_at: Column) -> DataFrame:
     """The manifest of a dataset from its files: hash, size and knowledge time per payload.
 

@@ -171,6 +171,17 @@ def test_audit_shows_its_work(spark):
     ]
 
 
+def test_a_leaking_factor_shows_in_the_served_frame(spark):
+    bars = canonical(spark, [("2020-08-28", 499.23), ("2020-08-31", 129.04)])
+    acts = actions(spark, ("split", "2020-08-31", 4.0, None, "2020-09-01 03:59:59"))
+    factors = adjust.adjustment_factors(bars, acts)
+    clean = adjust.adjust_with(bars, adjust.cumulative_factors(factors))
+    assert adjust.served_lookahead(clean, bars, factors).count() == 0
+    early = factors.withColumns({"ex_date": F.lit("2020-08-01").cast("date"), "knowledge_time": F.lit("2020-08-02").cast("timestamp")})
+    leaked = adjust.adjust_with(bars, adjust.cumulative_factors(early))
+    assert rows(adjust.served_lookahead(leaked, bars, factors), "effective_date") == [(d("2020-08-28"),)]
+
+
 def test_interval_lookup_matches_brute_force(spark):
     """Random facts and factors: the interval join equals a filtered product."""
     import random

@@ -153,3 +153,48 @@ def test_fingerprint_ignores_order_and_sees_copies(spark):
     f = lambda df: fingerprint.table_fingerprint(df, cols, "t").first().digest
     assert f(two) == f(two.orderBy(F.desc("bar_date")).repartition(3))
     assert len({f(one), f(two), f(two.unionByName(one)), f(one.limit(0))}) == 4
+
+
+def belief(ticker, day, close, written="2024-07-10"):
+    return (ticker, d(day), close, close, close, close, 1.0, "stooq", "degraded", True, written)
+
+
+def bars_frame(spark, *rows_):
+    from pitlake.operators import history
+
+    df = spark.createDataFrame(
+        list(rows_), "ticker string, bar_date date, open double, high double, low double, close double, volume double, "
+        "source_set string, grade string, single_source boolean, written string",
+    )
+    return history.stamp_bars(df)
+
+
+def test_repeated_incoming_keys_leave_one_current_version(spark, root):
+    from pitlake.plans.lake import Lake
+
+    lake = Lake(spark, root)
+    twice = bars_frame(spark, belief("A", "2024-07-01", 1.0), belief("A", "2024-07-01", 2.0), belief("B", "2024-07-01", 3.0))
+    assert lake.merge("bars_daily", twice, None) == {"revised": 0, "inserted": 2, "unchanged": 0}
+    assert lake.read("bars_daily").filter("is_current").count() == 2
+
+
+def test_a_merge_writes_only_months_that_change(spark, root):
+    from pathlib import Path
+
+    from pyspark.sql import functions as F
+
+    from pitlake.plans.lake import Lake
+
+    lake, at_night = Lake(spark, root), F.lit("2024-08-02").cast("timestamp")
+    first = bars_frame(spark, belief("A", "2024-06-03", 1.0), belief("A", "2024-07-01", 2.0), belief("B", "2024-07-01", 3.0))
+    lake.merge("bars_daily", first, None)
+    assert lake.merge("bars_daily", first, at_night) == {"revised": 0, "inserted": 0, "unchanged": 3}
+    assert lake.version("bars_daily") == 1 and not Path(f"{root}/tables/bars_daily/version=2").exists()
+    second = bars_frame(spark, belief("A", "2024-06-03", 1.0), belief("A", "2024-07-01", 2.5), belief("C", "2024-07-02", 4.0))
+    assert lake.merge("bars_daily", second, at_night) == {"revised": 1, "inserted": 2, "unchanged": 1}
+    assert [p.name for p in Path(f"{root}/tables/bars_daily/version=2").glob("period=*")] == ["period=2024-07"]
+    state = lake.read("bars_daily")
+    assert rows(state.filter("is_current"), "ticker", "bar_date", "close") == [
+        ("A", d("2024-06-03"), 1.0), ("A", d("2024-07-01"), 2.5), ("B", d("2024-07-01"), 3.0), ("C", d("2024-07-02"), 4.0)]
+    assert rows(state.filter("NOT is_current"), "ticker", "close", "revision_seq") == [("A", 2.0, 1)]
+    assert lake.vacuum("bars_daily") == [f"{root}/tables/bars_daily/version=1/period=2024-07/is_current=true"]

@@ -178,7 +178,7 @@ def test_a_revision_opens_at_detection_and_keeps_closed_files(spark, root):
     ]
     # each closed version was written by the merge that closed it, once
     for version, n in ((1, 0), (2, 1), (3, 1)):
-        folder = Path(root) / f"tables/bars_daily/version={version}/is_current=false"
+        folder = Path(root) / f"tables/bars_daily/version={version}/period=2024-07/is_current=false"
         assert (spark.read.parquet(str(folder)).count() if folder.exists() else 0) == n
 
 

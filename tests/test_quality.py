@@ -143,7 +143,7 @@ def test_conflict_letters_once_per_key(spark):
     fresh = deadletters.conflict_letters(screened, held, now)
     assert rows(fresh, "request_key") == [(f"B:{DAY}",), (f"C:{DAY}",)]
     assert rows(deadletters.conflict_letters(screened, held, now, limit=1), "request_key") == []
-    assert fresh.first().detail == "all sources disagree on close: stooq=1.0 yfinance=2.0 alpaca=None"
+    assert fresh.first().detail == "no two closes agree (stooq 1.0, yfinance 2.0, alpaca None)"
 
 
 def test_letter_views(spark):

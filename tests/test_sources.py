@@ -43,13 +43,15 @@ def test_csv_bars(spark):
             spark,
             ("aapl", "Date,Open,High,Low,Close,Volume\r\n2024-01-02,1,2,0.5,1.5,100\r\n2024-01-03,,,,,\r\n\r\n"),
             ("SWAP", "Close,Date,Low,High,Open\n9,2024-01-02,7,8,6\n"),
+            ("QUOT", '"Date","Open, first",Open,High,Low,"Close"\n"2024-01-02","a, ""b""","1",2,0.5,"1.5"\n'),
             ("HEAD", "Date,Open,High,Low\n2024-01-02,1,2,3\n"),
             ("HTML", "<html>blocked</html>"), ("NONE", "Date,Open,High,Low,Close\n"), ("VOID", ""),
             ("JUNK", "Date,Open,High,Low,Close\n2024-01-02,1,1,1,1\n2024-01-03,1,1,1,n/a\n"),
         )
     )
     assert rows(parsed.good.drop("landing_key")) == [
-        ("AAPL", d("2024-01-02"), 1.0, 2.0, 0.5, 1.5, 100.0), ("SWAP", d("2024-01-02"), 6.0, 8.0, 7.0, 9.0, None),
+        ("AAPL", d("2024-01-02"), 1.0, 2.0, 0.5, 1.5, 100.0), ("QUOT", d("2024-01-02"), 1.0, 2.0, 0.5, 1.5, None),
+        ("SWAP", d("2024-01-02"), 6.0, 8.0, 7.0, 9.0, None),
     ]
     bad = problems(parsed)
     assert bad.keys() == {"HEAD", "HTML", "NONE", "VOID", "JUNK"}
@@ -92,6 +94,21 @@ def test_quote_ticks_from_gzip_files(spark, root):
         "N": "quote payload missing 'quotes'", "M": "quote payload missing 'quotes'", "B": "malformed quote"}
 
 
+def test_payloads_that_are_not_one_whole_list_are_rejected(spark):
+    one, two = '{"t":"2024-07-08T14:30:10Z","bp":1.0,"ap":2.0}', '{"t":"2024-07-08T14:30:11Z","bp":1.0,"ap":2.0}'
+    cases = {
+        "WHOLE": f'{{"symbol":"X","quotes": [{one} , {two}],"next":null}}\n', "EMPTY": '{"quotes":[],"n":1}',
+        "OPENLIST": f'{{"quotes":[{one},{two}', "OPENENV": f'{{"quotes":[{one}]', "COMMA": f'{{"quotes":[{one},]}}',
+        "HALF": f'{{"quotes":[{one},{two[:-12]}', "NESTED": f'{{"quotes":[{one[:-1]},"x":{{"y":1}}}}]}}',
+        "STRING": f'{{"quotes":[{one[:-1]},"x":"}}"}}]}}', "TWICE": f'{{"quotes":[{one}]}}{{"quotes":[{two}]}}',
+        "BARE": f"[{one}]", "TAIL": f'{{"quotes":[{one}]}} and more', "NOCOMMA": f'{{"quotes":[{one} {two}]}}',
+    }
+    texts = spark.createDataFrame([(f"q:s:{k}", k, v) for k, v in cases.items()], "landing_key string, ticker string, text string")
+    parsed = minute.parse_quote_fragments(minute.fragments_of(texts))
+    assert {r.ticker for r in parsed.good.collect()} == {"WHOLE"} and parsed.good.count() == 2
+    assert {r.landing_key.split(":")[2] for r in parsed.rejects.collect()} == set(cases) - {"WHOLE", "EMPTY"}
+
+
 def test_record_positions_follow_a_split_file(spark, root):
     body = {"quotes": [{"t": "2024-07-08T14:30:10Z", "bp": float(i + 1), "ap": 1.0} for i in range(120_000)]}
     land(root, "q", "s", "X:2024-07-08", json.dumps(body).encode(), "json")
@@ -260,3 +277,24 @@ def test_config(spark):
     for bad in (lambda: config.universe(spark, []), lambda: config.watchlist(spark, []), lambda: config.sic_ranges([])):
         with pytest.raises(ValueError):
             bad()
+
+
+def test_keys_are_never_null_or_shared(spark, root):
+    keys = ["v:" + "k" * 200 + str(k) for k in range(3)] + ["a b/c", "xü:history:x", "A:x:y:z"]
+    for key in keys:
+        land(root, "odd", "v", key, key.encode(), "txt")
+    scanned = landing.scan_text(spark, root, "odd")
+    assert scanned.filter("request_key IS NULL OR landing_key IS NULL").count() == 0
+    assert scanned.select("landing_key").distinct().count() == len(keys)
+    manifest = scanned.select("path", F.col("text").alias("request_key"))
+    assert {r.request_key for r in landing.keyed_by_manifest(scanned, manifest).collect()} == set(keys)
+    some = manifest.filter("request_key LIKE 'v:%'")
+    assert landing.unlisted(scanned, some).count() == 3
+
+
+def test_scans_open_only_the_days_asked_for(spark, root):
+    land(root, "days", "v", "A:1", b"x", "txt")
+    scan = landing.scan_text(spark, root, "days", ("1990-01-01", "1990-01-02"))
+    assert scan.count() == 0 and landing.scan_text(spark, root, "days").count() == 1
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull" in plan or "date" in plan.split("PartitionFilters")[1][:200]
