@@ -141,6 +141,4 @@ def published_daily(spark, d):
     lake = Lake(spark, scratch(spark, "publish"))
     bars = fx.bars(spark, d)
     publish(lake, {"daily_ohlcv": adjust.pit_adjusted(bars, fx.actions(spark, d))}, "2002-01-31", now())
-    sealed = read_snapshot(lake, "serving_meta").select("sealed_trade_date", "schema_version")
-    served = read_snapshot(lake, "daily_ohlcv").withColumn("schema_version", F.lit(1))
-    return served.join(sealed, "schema_version", "left_semi").drop("schema_version")
+    return read_snapshot(lake, "daily_ohlcv")
