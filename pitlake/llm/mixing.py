@@ -32,8 +32,10 @@ BUCKETS = 1 << 12
 #: Most labelled rows that the classifier is fitted on.
 MAX_FIT_ROWS = 20_000
 #: The steps stop when no domain's total is off by more than this share of all tokens, or none moves by more.
-TOLERANCE = 1e-5
+TOLERANCE = 1e-4
 MAX_STEPS = 60
+#: After so many steps the rates reached are stored, so a pass never replays all steps before it.
+STORED_EVERY = 8
 
 
 @dataclass
@@ -88,11 +90,15 @@ class Rates:
     max_rate: float
     steps: list[list[float]] = field(default_factory=list)
 
-    def column(self) -> Column:
-        start = F.lit(min(max(1.0, self.min_rate), self.max_rate))
-        if not self.steps:
+    def start(self) -> Column:
+        return F.lit(min(max(1.0, self.min_rate), self.max_rate))
+
+    def column(self, start: Column | None = None, since: int = 0) -> Column:
+        """The rate after all steps; or after those from `since` on, from a rate already reached."""
+        start = self.start() if start is None else start
+        if not self.steps[since:]:
             return start
-        steps = F.lit([[float(x) for x in s] for s in self.steps])
+        steps = F.lit([[float(x) for x in s] for s in self.steps[since:]])
 
         def move(rate: Column, step: Column) -> Column:
             along = F.aggregate(
@@ -134,16 +140,20 @@ def fit_rates(
     # curvature differs between small and large domains: each moves by its own
     scale = 1.0 / np.maximum(curve.sum(axis=1), 1e-9)
     length = 1.0 / max(float(np.abs(np.linalg.eigvals(scale[:, None] * curve)).max()), 1e-9)
+    reached, since = rows.select("tokens", "posterior", rates.start().alias("reached")), 0
     for _ in range(max_steps + 1):
-        rate = rates.column()
-        got = _totals(rows.select(rate.alias("rate"), "tokens", "posterior"), {
+        rate = rates.column(F.col("reached"), since)
+        if len(rates.steps) - since >= STORED_EVERY:
+            reached = staged(reached.select("tokens", "posterior", rate.alias("reached")), "rates")
+            rate, since = F.col("reached"), len(rates.steps)
+        got = _totals(reached.select(rate.alias("rate"), "tokens", "posterior"), {
             f"t{k}": F.col("rate") * F.col("tokens") * F.col("posterior")[k] for k in range(n)
         })
         now = np.array([got[f"t{k}"] for k in range(n)])
         off = (now - targets) / total
         if np.abs(off).max() <= tolerance or len(rates.steps) == max_steps:
             break
-        if before is not None and np.abs(off - before).max() <= tolerance / 10:
+        if before is not None and np.abs(off - before).max() <= tolerance / 4:
             break  # held at the bounds
         before = off
         rates.steps.append((length * scale * off).tolist())
