@@ -92,7 +92,10 @@ def keep_state(arrivals: DataFrame, files_per_batch: int) -> DataFrame:
         for key, value in held.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     updates = spark.read.schema(grouped.schema).parquet(f"{home}/updates")
-    return updates.groupBy("digest").agg(F.min("first").alias("first"), F.max("members").alias("members"))
+    # stored, so that a join with it is free to split a digest that many rows have
+    return staged(
+        updates.groupBy("digest").agg(F.min("first").alias("first"), F.max("members").alias("members")), "state"
+    )
 
 
 def exact_groups(
