@@ -108,6 +108,22 @@ def _longs(schema: T.StructType, *columns: np.ndarray | pa.Array) -> pa.RecordBa
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=schema.fieldNames())
 
 
+def settle(anchor: np.ndarray, digest: np.ndarray, doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of equal contexts seen together, later ones are settled: they repeat whatever else comes.
+
+    A settled row has its place negated and, for an anchor, a mix of document and place, which deals it
+    anywhere: a passage that a third of all documents hold doesn't meet in one task.
+    """
+    order = np.lexsort((place, doc, digest, anchor))
+    anchor, digest, doc, place = anchor[order], digest[order], doc[order], place[order]
+    fresh = np.append(True, (anchor[1:] != anchor[:-1]) | (digest[1:] != digest[:-1]))
+    first = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+    settled = (doc[first] != doc) | (place[first] != place)
+    mixed = (doc[settled].view(U64) * PARTS[0]) ^ (place[settled].view(U64) * PARTS[1])
+    anchor[settled], place[settled] = (mixed * PARTS[3]).view(np.int64), ~place[settled]
+    return anchor, digest, doc, place
+
+
 def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc, text) to contexts without their bytes; a place is the first window and, in 8 bits, how many."""
     for batch in batches:
@@ -116,11 +132,11 @@ def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             anchor, digest, start, n = anchors(np.frombuffer(raw_text(batch.column(1)[k]), np.uint8))
             held.append((anchor, digest, np.full(len(anchor), doc), start << 8 | n))
             count += len(anchor)
-            if count > 50_000:
-                yield _longs(FOUND, *map(np.concatenate, zip(*held, strict=True)))
+            if count > 100_000:
+                yield _longs(FOUND, *settle(*map(np.concatenate, zip(*held, strict=True))))
                 held, count = [], 0
         if held:
-            yield _longs(FOUND, *map(np.concatenate, zip(*held, strict=True)))
+            yield _longs(FOUND, *settle(*map(np.concatenate, zip(*held, strict=True))))
 
 
 def sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +147,15 @@ def sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = np.concatenate([first, np.stack([np.asarray(c) for c in batch.columns], axis=1)])
+        rows = np.stack([np.asarray(c) for c in batch.columns], axis=1)
+        settled = rows[rows[:, 3] < 0]
+        if len(settled):
+            yield _longs(
+                PLACED, pa.nulls(len(settled), pa.int64()), settled[:, 2], ~settled[:, 3] >> 8, ~settled[:, 3] & 255
+            )
+        rows = np.concatenate([first, rows[rows[:, 3] >= 0]])
+        if not len(rows):
+            continue
         fresh = np.append(True, (rows[1:, :2] != rows[:-1, :2]).any(axis=1))
         heads = np.flatnonzero(fresh)
         own = rows[heads[np.cumsum(fresh) - 1]]
