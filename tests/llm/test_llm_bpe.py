@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from llm_support import documents, sf_dir, workers  # noqa: F401
+
 import hashlib
 import random
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from llm_support import documents, sf_dir, workers  # noqa: F401
+
 from pitlake.llm.html import extract, main_text, report
 
 ARTICLE = "Once, there was a long paragraph, with commas, and enough text to count as prose, more or less. " * 3
