@@ -18,8 +18,10 @@ zero and link like any other; a null identifier never names a component unless a
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import combinations
+from fractions import Fraction
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -234,29 +236,39 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     return prints.join(classes, "fp").select("id", "fp", "component")
 
 
-#: Similarity search: a fingerprint of WIDE x 64 bits, indexed by LISTS sets of three positional bytes.
+#: Similarity search: a fingerprint of WIDE x 64 bits filters candidates before their texts are compared.
 WIDE = 16
-LISTS = 200
-TRIPLES = np.array([np.random.default_rng(k).choice(8 * WIDE, 3, replace=False) for k in range(LISTS)])
 SPREAD = np.cumprod(np.full(WIDE, 0xD1342543DE82EF95, np.uint64)) | np.uint64(1)
-#: Fewest positional bytes that a candidate shares; at the limit below four deviations under the mean.
-WIDE_SHARED = 12
-NODE = T.StructType([T.StructField("node", T.LongType()), T.StructField("fp", T.BinaryType())])
+#: Deviations above the mean at the limit that a candidate's differing bits may have; bits of a pair are
+#: independent, so this loses no pair. Smaller sets than FEWEST differ from the mean's formula and all pass.
+LOOSE = 8
+FEWEST = 64
+#: Lists up to this size are paired in place.
+LISTED = 256
+#: Which shingles are frequent is told from about this many texts; frequent in so many of them.
+SAMPLED = 20_000
+FREQUENT = 8
+#: Most frequent shingles known. This and the sample decide on the order of shingles, not on results.
+MOST_FREQUENT = 1 << 19
+POSTING = T.StructType([T.StructField(n, T.LongType()) for n in ("list", "node", "n", "at")])
+FOUND = T.StructType([T.StructField(n, T.LongType()) for n in ("list", "a", "n", "at", "b")])
 
 
 def most_bits(similarity: float) -> int:
-    """Differing bits of two texts whose shingle sets have this Jaccard similarity, plus one deviation."""
+    """Differing bits of two texts whose shingle sets have this Jaccard similarity, plus LOOSE deviations."""
     cosine = 2 * similarity / (1 + similarity)
     share = float(np.arccos(cosine) / np.pi)
-    return int(64 * WIDE * share + np.sqrt(64 * WIDE * share * (1 - share)))
+    return int(64 * WIDE * share + LOOSE * np.sqrt(64 * WIDE * share * (1 - share)))
 
 
-def wide_fingerprint(text: str | None, size: int) -> bytes:
-    """Majority bits of WIDE x 64 bits per shingle, each a mix of the shingle's hash."""
+def shingle_set(text: str | None, size: int) -> np.ndarray:
+    """Distinct hashes of a text's shingles, ascending."""
     words = (text or "").encode("utf-8", "replace").lower().split()
-    if not words:
-        return bytes(8 * WIDE)
-    hashes = _shingle_hashes(words, size)
+    return np.unique(_shingle_hashes(words, size)) if words else np.zeros(0, "<u8")
+
+
+def wide_fingerprint(hashes: np.ndarray) -> bytes:
+    """Majority bits of WIDE x 64 bits per shingle, each a mix of the shingle's hash."""
     ones = np.zeros(64 * WIDE, np.int64)
     for k in range(0, len(hashes), 4096):
         mixed = hashes[k : k + 4096, None] * SPREAD
@@ -270,35 +282,120 @@ def _grid(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 8 * WIDE)
 
 
-def wide_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, fp) to (list, node): a list is a set of positions with the bytes there."""
-    for batch in batches:
-        for k in range(0, batch.num_rows, 20_000):
-            part = batch.slice(k, 20_000)
-            place, nodes = _grid(part.column(1)).astype(np.int64), np.asarray(part.column(0))
-            for n, chosen in enumerate(TRIPLES):
-                lists = np.full(len(place), n, np.int64)
-                for p in chosen:
-                    lists = (lists << 8) | place[:, p]
-                yield _pairs(lists, nodes)
+def frequent_shingles(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that many of a bounded sample of texts hold, ascending, and in how many."""
+    total = texts.count()
+    if total > SAMPLED:
+        texts = texts.filter(F.pmod(F.xxhash64("digest"), F.lit(1 << 20)) < int(SAMPLED / total * (1 << 20)))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(text.as_py(), words).view(np.int64))], names=["h"])
 
-def near_pairs(candidates: DataFrame, distinct: DataFrame, limit: int) -> DataFrame:
-    """Candidates (a, b) that share enough positional bytes and differ in at most `limit` bits."""
-    ends = candidates
-    for side in ("a", "b"):
-        one = distinct.select(F.col("node").alias(side), F.col("fp").alias(f"{side}_fp"))
-        ends = ends.join(one, side)
+    held = texts.select("text").mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("texts"))
+    rows = held.filter(F.col("texts") >= FREQUENT).orderBy(F.desc("texts"), "h").limit(MOST_FREQUENT).collect()
+    hashes = np.array([r.h for r in rows], np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], np.array([r.texts for r in rows], np.int64)[order]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def prefix(hashes: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], share: Fraction) -> np.ndarray:
+    """The first shingles of a set, rarer before more frequent ones, such that sets of similarity `share` or more
+    have one of them in common."""
+    known, texts = frequent
+    often = np.zeros(len(hashes), np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+        often = np.where(known[at] == hashes, texts[at], 0)
+    return hashes[np.lexsort((hashes, often))][: len(hashes) - math.ceil(share * len(hashes)) + 1]
+
+
+def reachable(n_a, at_a, n_b, at_b, share: Fraction):
+    """Whether sets of these sizes can be similar enough if these places hold their first common shingle.
+
+    For arrays as for columns.
+    """
+    p, q = share.numerator, share.denominator
+    least = p * (n_a + n_b)
+    return ((n_a - at_a) * (p + q) >= least) & ((n_b - at_b) * (p + q) >= least)
+
+
+def pairs_in_lists(batches: Iterator[pa.RecordBatch], share: Fraction, bound: int) -> Iterator[pa.RecordBatch]:
+    """From postings sorted by list: (null, a, null, null, b) for each pair in reach within a list.
+
+    A list longer than `bound` is told as it is, (list, a, n, at, b) per member, b its first one.
+    """
+    def told(columns: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([
+            pa.nulls(len(columns[1]), pa.int64()) if c is None else pa.array(c, pa.int64()) for c in columns
+        ], names=FOUND.names)
+
+    held, key, first = np.zeros((0, 4), np.int64), None, None
+    for batch in chain(batches, [None]):
+        rows = held if batch is None else np.concatenate([held, np.column_stack([np.asarray(c) for c in batch.columns])])
+        if not len(rows):
+            continue
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(rows[:, 0])) + 1])
+        size = np.diff(np.append(starts, len(rows)))
+        open_end = batch is not None
+        if open_end and size[-1] <= bound and rows[-1, 0] != key:
+            held, starts, size, open_end = rows[starts[-1] :], starts[:-1], size[:-1], False
+        else:
+            held = held[:0]
+        long = (size > bound) | (rows[starts, 0] == key)
+        for k in np.flatnonzero(long).tolist():
+            part = rows[starts[k] : starts[k] + size[k]]
+            if part[0, 0] != key:
+                key, first = part[0, 0], part[0, 1]
+            yield told([*part.T, np.full(len(part), first)])
+        for s in np.unique(size[~long & (size > 1)]).tolist():
+            one, two = np.triu_indices(s, 1)
+            lists = starts[~long & (size == s)]
+            for k in range(0, len(lists), step := max(1, 500_000 // len(one))):
+                a = rows[(lists[k : k + step, None] + one).ravel()]
+                b = rows[(lists[k : k + step, None] + two).ravel()]
+                ok = reachable(a[:, 2], a[:, 3], b[:, 2], b[:, 3], share)
+                a, b = a[ok, 1], b[ok, 1]
+                if len(a):
+                    ends = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+                    yield told([None, ends[0], None, None, ends[1]])
+
+
+def similar_pairs(pairs: DataFrame, nodes: DataFrame, words: int, share: Fraction) -> DataFrame:
+    """Of the pairs (a < b) those whose shingle sets have at least this similarity; stored.
+
+    The fingerprints of `nodes` (node, n, fp, text) are a loose filter, so texts are fetched for few others.
+    """
+    limit = most_bits(float(share))
+
+    def ends(pairs: DataFrame, *columns: str) -> DataFrame:
+        for side in ("a", "b"):
+            one = nodes.select(F.col("node").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in columns))
+            pairs = pairs.join(one, side)
+        return pairs.select("a", "b", *(f"{side}_{c}" for c in columns for side in ("a", "b")))
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            diff = _grid(batch.column(2)) ^ _grid(batch.column(3))
-            near = ((diff == 0).sum(axis=1) >= WIDE_SHARED) & (np.bitwise_count(diff).sum(axis=1, dtype=np.int64) <= limit)
+            bits = np.bitwise_count(_grid(batch.column(4)) ^ _grid(batch.column(5))).sum(axis=1, dtype=np.int64)
+            few = np.minimum(np.asarray(batch.column(2)), np.asarray(batch.column(3))) < FEWEST
+            near = few | (bits <= limit)
             yield _pairs(np.asarray(batch.column(0))[near], np.asarray(batch.column(1))[near])
 
-    return ends.select("a", "b", "a_fp", "b_fp").mapInArrow(run, PAIR)
+    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = []
+            for one, two in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = shingle_set(one.as_py(), words), shingle_set(two.as_py(), words)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                near.append(both * share.denominator >= (len(x) + len(y) - both) * share.numerator)
+            near = np.array(near, bool)
+            yield _pairs(np.asarray(batch.column(0))[near], np.asarray(batch.column(1))[near])
+
+    loose = staged(ends(pairs, "n", "fp").mapInArrow(close, PAIR), "loose-pairs")
+    return staged(ends(loose, "text").mapInArrow(similar, PAIR), "similar-pairs")
 
 
 def similar_groups(
@@ -306,33 +403,76 @@ def similar_groups(
 ) -> DataFrame:
     """One row per document: `id`, `component` over links between texts of at least this similarity.
 
-    At a similarity of 0.8 a sixth of all bits differ, more than 64 bits can be indexed for, so
-    fingerprints are wide. Each list links its members to its first one only; a group of any size costs a
-    row per list and member. Links are verified on the fingerprints, whose deviation is about 0.03 of
-    similarity. A pair at 0.8 shares four lists of LISTS on average; lists stay short up to some ten
-    million different texts, beyond that sets of four positions are needed.
+    Similarity is the Jaccard similarity of the sets of shingles (64-bit hashes), decided on the texts. Every
+    such pair is a candidate, at any size of corpus: shingles have one order everywhere, rare ones before
+    frequent ones, and two sets of this similarity have one of their first shingles in common. So lists keyed
+    by one of a text's first shingles hold all pairs. All members of a list are paired; what a first round of
+    comparisons, one per text, has brought into one component is not compared again, so a group of near copies
+    costs about a comparison a text. Of a list too long to be paired in place only members of different
+    components are paired, by a join.
+
+    Texts of one set are one node. Texts without a word are alike.
     """
+    share = Fraction(str(similarity))
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [wide_fingerprint(t.as_py(), words) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.binary())], names=["id", "fp"])
-
-    shape = T.StructType([rows.schema["id"], T.StructField("fp", T.BinaryType())])
-    prints = staged(rows.mapInArrow(run, shape), "wide-fingerprints")
-    distinct = staged(
-        prints.groupBy("fp").agg(F.min("id").alias("least")).withColumn("node", F.monotonically_increasing_id()),
-        "distinct-wide",
-    )
-    lists = by_key(distinct.select("node", "fp").mapInArrow(wide_postings, PAIR))
-    candidates = staged(lists.mapInArrow(links_by_neighbour, PAIR).distinct(), "candidates")
-    labels = components(near_pairs(candidates, distinct, most_bits(similarity)))
-    rooted = distinct.join(labels, "node", "left").select(
-        "fp", "least", F.coalesce("root", "node").alias("root")
+            sets = [shingle_set(t.as_py(), words) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([xxhash.xxh3_128_digest(s.tobytes(), SEED) for s in sets], pa.binary()),
+                pa.array([wide_fingerprint(s) for s in sets], pa.binary()),
+            ], names=["id", "text", "n", "digest", "fp"])
+
+    shape = T.StructType([
+        rows.schema["id"], rows.schema["text"], T.StructField("n", T.LongType()),
+        T.StructField("digest", T.BinaryType()), T.StructField("fp", T.BinaryType()),
+    ])
+    prints = staged(rows.mapInArrow(read, shape).withColumn("node", F.monotonically_increasing_id()), "shingled")
+    distinct = staged(prints.groupBy("digest").agg(F.min("id").alias("least"), F.min("node").alias("node")), "distinct-sets")
+    named = prints.select("digest", F.col("node").alias("copy")).join(distinct.select("digest", "node"), "digest")
+    copies = staged(named.filter("copy <> node").select("copy"), "copies")
+    nodes = prints.join(copies, F.col("node") == F.col("copy"), "left_anti").filter("n > 0")
+    frequent = frequent_shingles(nodes, words)
+
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, one in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                hashes = shingle_set(one.as_py(), words)
+                lists = prefix(hashes, frequent, share)
+                columns = lists.view(np.int64), np.full(len(lists), node), np.full(len(lists), len(hashes)), np.arange(len(lists))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=POSTING.names)
+
+    bound = LISTED
+    lists = nodes.select("node", "text").mapInArrow(post, POSTING).repartition("list").sortWithinPartitions("list", "node")
+    found = staged(lists.mapInArrow(lambda batches: pairs_in_lists(batches, share, bound), FOUND), "found")
+    candidates = staged(found.filter("list IS NULL").select("a", "b").distinct(), "candidates")
+    long = found.filter("list IS NOT NULL")
+    firsts = candidates.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").unionByName(
+        long.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    ).distinct()
+    links = similar_pairs(firsts, nodes, words, share)
+    roots = staged(components(links).withColumnRenamed("node", "of"), "roots")
+
+    def rooted(df: DataFrame, side: str) -> DataFrame:
+        got = roots.select(F.col("of").alias(side), F.col("root").alias(f"{side}_root"))
+        return df.join(got, side, "left").withColumn(f"{side}_root", F.coalesce(f"{side}_root", side))
+
+    members = rooted(long.select("list", "a", "n", "at"), "a")
+    across = members.select("list", "a", "a_root", F.col("n").alias("a_n"), F.col("at").alias("a_at")).join(
+        members.select("list", F.col("a").alias("b"), F.col("a_root").alias("b_root"), F.col("n").alias("b_n"), F.col("at").alias("b_at")),
+        "list",
+    ).filter((F.col("a") < F.col("b")) & reachable(F.col("a_n"), F.col("a_at"), F.col("b_n"), F.col("b_at"), share))
+    left = rooted(rooted(candidates, "a"), "b").select("a", "b", "a_root", "b_root").unionByName(
+        across.select("a", "b", "a_root", "b_root")
+    ).filter("a_root <> b_root").select("a", "b").distinct()
+    labels = components(links.unionByName(similar_pairs(left.join(firsts, ["a", "b"], "left_anti"), nodes, words, share)))
+    labels = distinct.join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select(
+        "digest", "least", F.coalesce("root", "node").alias("root")
     )
-    least = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    return prints.join(rooted.join(least, "root").select("fp", "component"), "fp").select("id", "component")
+    least = labels.groupBy("root").agg(F.min("least").alias("component"))
+    return prints.select("id", "digest").join(labels.join(least, "root").select("digest", "component"), "digest").select("id", "component")
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5) -> DataFrame:

@@ -140,3 +140,40 @@ def test_every_near_pair_shares_a_list():
             b ^= 1 << bit
         diff = np.array([a ^ b], np.uint64).view(np.int64)
         assert simhash.FIRST_LIST[simhash.shared_mask(diff)[0]] < len(simhash.SUBSETS)
+
+
+def brute_similar(texts, words=5):
+    """Component (least identifier) over all pairs at 0.8 or more."""
+    sets = {}
+    for i, text in texts.items():
+        w = re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+        sets[i] = {tuple(w[k : k + words]) for k in range(max(1, len(w) - words + 1))}
+    root, order = {i: i for i in sets}, sorted(sets)
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for n, a in enumerate(order):
+        for b in order[n + 1 :]:
+            both = len(sets[a] & sets[b])
+            if 5 * both >= 4 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {i: find(i) for i in sets}
+
+
+def test_similarity_is_decided_at_the_limit_in_both_directions(documents):
+    """Sets of 90 shingles: 80 in common are exactly 0.8, 79 are below; and single edits from 0.7 to 0.9."""
+    random.seed(21)
+    rows, many = [], [f"w{k}" for k in range(100_000)]
+    for i in range(150):
+        own = random.sample(many, 94)
+        rows.append((100 * i, " ".join(own)))
+        for k, changed in enumerate((10, 11, random.randrange(5, 17))):
+            rows.append((100 * i + k + 1, " ".join(own[changed:] + random.sample(many, changed))))
+    random.shuffle(rows)
+    got = {r.id: r.component for r in simhash.similar_groups(documents(rows)).collect()}
+    want = brute_similar(dict(rows))
+    assert got == want and len({want[100 * i + 1] for i in range(150)} & {100 * i for i in range(150)}) == 150
