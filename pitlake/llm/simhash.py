@@ -408,8 +408,8 @@ def similar_groups(
     frequent ones, and two sets of this similarity have one of their first shingles in common. So lists keyed
     by one of a text's first shingles hold all pairs. All members of a list are paired; what a first round of
     comparisons, one per text, has brought into one component is not compared again, so a group of near copies
-    costs about a comparison a text. Of a list too long to be paired in place only members of different
-    components are paired, by a join.
+    costs about a comparison a text. Of a list too long to be paired in place, members outside its largest
+    component are paired with those of other components, by a join.
 
     Texts of one set are one node. Texts without a word are alike.
     """
@@ -459,14 +459,20 @@ def similar_groups(
         got = roots.select(F.col("of").alias(side), F.col("root").alias(f"{side}_root"))
         return df.join(got, side, "left").withColumn(f"{side}_root", F.coalesce(f"{side}_root", side))
 
-    members = rooted(long.select("list", "a", "n", "at"), "a")
-    across = members.select("list", "a", "a_root", F.col("n").alias("a_n"), F.col("at").alias("a_at")).join(
-        members.select("list", F.col("a").alias("b"), F.col("a_root").alias("b_root"), F.col("n").alias("b_n"), F.col("at").alias("b_at")),
-        "list",
-    ).filter((F.col("a") < F.col("b")) & reachable(F.col("a_n"), F.col("a_at"), F.col("b_n"), F.col("b_at"), share))
-    left = rooted(rooted(candidates, "a"), "b").select("a", "b", "a_root", "b_root").unionByName(
-        across.select("a", "b", "a_root", "b_root")
-    ).filter("a_root <> b_root").select("a", "b").distinct()
+    members = staged(rooted(long.select("list", "a", "n", "at"), "a"), "members")
+    # pairs of different components have a member outside the list's largest one
+    sizes = members.groupBy("list", "a_root").agg(F.count("*").alias("size"))
+    largest = sizes.groupBy("list").agg(F.max(F.struct("size", "a_root"))["a_root"].alias("largest"))
+    outside = members.join(largest, "list").filter("a_root <> largest").drop("largest")
+    inside = members.select("list", *(F.col(c).alias(f"other_{c}") for c in ("a", "n", "at", "a_root")))
+    across = outside.join(inside, "list").filter(
+        (F.col("a_root") != F.col("other_a_root"))
+        & reachable(F.col("n"), F.col("at"), F.col("other_n"), F.col("other_at"), share)
+    ).select(
+        F.least("a", "other_a").alias("a"), F.greatest("a", "other_a").alias("b"),
+        F.col("a_root"), F.col("other_a_root").alias("b_root"),
+    )
+    left = rooted(rooted(candidates, "a"), "b").select("a", "b", "a_root", "b_root").unionByName(across).filter("a_root <> b_root").select("a", "b").distinct()
     labels = components(links.unionByName(similar_pairs(left.join(firsts, ["a", "b"], "left_anti"), nodes, words, share)))
     labels = distinct.join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select(
         "digest", "least", F.coalesce("root", "node").alias("root")

@@ -177,3 +177,36 @@ def test_similarity_is_decided_at_the_limit_in_both_directions(documents):
     got = {r.id: r.component for r in simhash.similar_groups(documents(rows)).collect()}
     want = brute_similar(dict(rows))
     assert got == want and len({want[100 * i + 1] for i in range(150)} & {100 * i for i in range(150)}) == 150
+
+
+@pytest.mark.parametrize("bound", [256, 4])
+def test_foreign_texts_in_a_list_hide_no_pair(documents, monkeypatch, bound):
+    """Texts with a passage in common, few of them near copies, that meet in long lists."""
+    monkeypatch.setattr(simhash, "LISTED", bound)
+    random.seed(22)
+    many, passage = [f"w{k}" for k in range(2000)], [f"p{k}" for k in range(300)]
+    rows = []
+    for i in range(60):
+        own = random.choices(many, k=random.choice((5, 20, 60, 80, 300)))
+        rows.append((10 * i, " ".join(passage + own)))
+        if i % 3 == 0:
+            rows.append((10 * i + 1, " ".join(passage + own[:-3] + ["x", "y", "z"])))
+    random.shuffle(rows)
+    got = {r.id: r.component for r in simhash.similar_groups(documents(rows)).collect()}
+    assert got == brute_similar(dict(rows))
+
+
+def test_all_members_of_a_list_are_paired():
+    import pyarrow as pa
+    from fractions import Fraction
+
+    sizes = [1, 2, 3, 9, 4, 1, 1, 12, 2, 30]
+    rows = [(i, 100 * i + m, 50, 0) for i, s in enumerate(sizes) for m in range(s)]
+    for chunk in (1, 4, 7, 1000):
+        parts = [rows[k : k + chunk] for k in range(0, len(rows), chunk)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*p)], names=simhash.POSTING.names) for p in parts]
+        found = [r for b in simhash.pairs_in_lists(iter(batches), Fraction(4, 5), 8) for r in b.to_pylist()]
+        pairs = {(r["a"], r["b"]) for r in found if r["list"] is None}
+        assert pairs == {(x[1], y[1]) for x in rows for y in rows if x[0] == y[0] and x[1] < y[1] and sizes[x[0]] <= 8}
+        long = [(r["list"], r["a"], r["b"]) for r in found if r["list"] is not None]
+        assert sorted(long) == [(x[0], x[1], 100 * x[0]) for x in rows if sizes[x[0]] > 8]
