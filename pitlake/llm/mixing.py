@@ -5,17 +5,19 @@ gives every document posteriors over the domains. A document's rate is how often
 seen; expected tokens of a domain are the sum of rate x tokens x posterior. Projected gradient descent
 fits the rates so that those totals meet the targets: each step is one pass over the stored posteriors,
 sums one number per domain, and moves every rate along its document's posteriors; rates are projected
-onto [min_rate, max_rate]. A rate depends on the document's posteriors and the steps' residuals only, so
+onto those of at least min_rate. An upper bound is an option, not the default. A rate depends on the document's posteriors and the steps' residuals only, so
 the steps (one short vector each) are all that a pass has to be told.
 
 Null texts have no tokens. Rows without a domain are not learnt from but get rates like any other. With
 no labelled rows or one domain only, that domain has posterior one. Targets of domains nobody can supply
-are met as closely as the rates allow. Repeated rows each have their own rate. An empty table gives an
+are met as closely as the rates allow; a fitted mixture tells target and reached total of each domain. Repeated rows each have their own rate. An empty table gives an
 empty result.
 """
 
 from __future__ import annotations
 
+import json
+import logging
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,9 +33,15 @@ from pitlake.plans.scratch import staged
 BUCKETS = 1 << 12
 #: Most labelled rows that the classifier is fitted on.
 MAX_FIT_ROWS = 20_000
-#: The steps stop when no domain's total is off by more than this share of all tokens, or none moves by more.
-TOLERANCE = 1e-4
+#: The steps stop when no domain's total is off by more than this share of its own target, or when no rate can move.
+TOLERANCE = 1e-5
+#: A rate that moves by less than this part of itself in a step does not move.
+STILL = 1e-12
 MAX_STEPS = 60
+#: Steps that take domains one by one; if these do not do, steps take account of overlapping posteriors.
+APART = 8
+#: With every document kept, how much more the total may grow so that targets can be met exactly.
+GROWTH = 1.25
 #: After so many steps the rates reached are stored, so a pass never replays all steps before it.
 STORED_EVERY = 8
 
@@ -87,11 +95,14 @@ class Rates:
     """Fitted steps; `column` is the rate of a row with `posterior`."""
 
     min_rate: float
-    max_rate: float
+    max_rate: float | None = None
     steps: list[list[float]] = field(default_factory=list)
 
     def start(self) -> Column:
-        return F.lit(min(max(1.0, self.min_rate), self.max_rate))
+        return F.lit(self._bounded(max(1.0, self.min_rate), min))
+
+    def _bounded(self, rate, least):
+        return rate if self.max_rate is None else least(rate, self.max_rate)
 
     def column(self, start: Column | None = None, since: int = 0) -> Column:
         """The rate after all steps; or after those from `since` on, from a rate already reached."""
@@ -104,7 +115,7 @@ class Rates:
             along = F.aggregate(
                 F.zip_with(step, F.col("posterior"), lambda a, b: a * b), F.lit(0.0), lambda t, x: t + x
             )
-            return F.least(F.lit(self.max_rate), F.greatest(F.lit(self.min_rate), rate - along))
+            return self._bounded(F.greatest(F.lit(self.min_rate), rate - along), lambda r, most: F.least(r, F.lit(most)))
 
         return F.aggregate(steps, start, move)
 
@@ -119,45 +130,59 @@ def natural_totals(rows: DataFrame, n: int) -> np.ndarray:
     return np.array([got[f"t{k}"] for k in range(n)])
 
 
+def curvature(rows: DataFrame, n: int) -> np.ndarray:
+    """Tokens times products of posteriors, summed."""
+    second = _totals(rows, {
+        f"m{i}_{j}": F.col("tokens") * F.col("posterior")[i] * F.col("posterior")[j]
+        for i in range(n) for j in range(i, n)
+    })
+    return np.array([[second[f"m{min(i, j)}_{max(i, j)}"] for j in range(n)] for i in range(n)])
+
+
+def met(now: np.ndarray, targets: np.ndarray, tolerance: float = TOLERANCE) -> np.ndarray:
+    """Per domain, whether its total is within the tolerance of its own target."""
+    return np.abs(now - targets) <= tolerance * targets
+
+
 def fit_rates(
-    rows: DataFrame, targets: np.ndarray, min_rate: float = 0.0, max_rate: float = 8.0,
+    rows: DataFrame, targets: np.ndarray, min_rate: float = 0.0, max_rate: float | None = None,
     tolerance: float = TOLERANCE, max_steps: int = MAX_STEPS,
 ) -> tuple[Rates, np.ndarray]:
     """Rates for stored (tokens, posterior) so that domain totals meet `targets` (in tokens), and the totals.
 
-    The step length is the inverse of the largest curvature, which one pass over the rows gives.
+    The step length is the inverse of the largest curvature, which one pass over the rows gives. After APART
+    steps, residuals are weighed by the inverse of the whole curvature, for which that length is one.
     """
     n = len(targets)
-    second = _totals(rows, {
-        f"m{i}_{j}": F.col("tokens") * F.col("posterior")[i] * F.col("posterior")[j]
-        for i in range(n) for j in range(i, n)
-    })
     total = float(natural_totals(rows, n).sum())
-    rates, before = Rates(min_rate, max_rate), None
+    rates = Rates(min_rate, max_rate)
     if not total:
         return rates, np.zeros(n)
-    curve = np.array([[second[f"m{min(i, j)}_{max(i, j)}"] for j in range(n)] for i in range(n)]) / total
+    curve = curvature(rows, n) / total
     # curvature differs between small and large domains: each moves by its own
     scale = 1.0 / np.maximum(curve.sum(axis=1), 1e-9)
     length = 1.0 / max(float(np.abs(np.linalg.eigvals(scale[:, None] * curve)).max()), 1e-9)
+    # rare domains make small entries: scaled before they are inverted
+    root = np.sqrt(scale)
+    inverse = root[:, None] * np.linalg.pinv(root[:, None] * curve * root, rcond=1e-9, hermitian=True) * root
     reached, since = rows.select("tokens", "posterior", rates.start().alias("reached")), 0
-    for _ in range(max_steps + 1):
-        rate = rates.column(F.col("reached"), since)
+    while True:
+        last = max(len(rates.steps) - 1, since)
+        before = Rates(min_rate, max_rate, rates.steps[:last]).column(F.col("reached"), since)
+        passed = reached.select("tokens", "posterior", before.alias("before"))
+        passed = passed.select("*", rates.column(F.col("before"), last).alias("rate"))
+        got = passed.agg(
+            *(F.sum(F.col("rate") * F.col("tokens") * F.col("posterior")[k]) for k in range(n)),
+            F.max(F.abs(F.col("rate") - F.col("before")) / F.greatest(F.lit(1.0), "rate")),
+        ).first()
+        now = np.array([float(x or 0.0) for x in got[:n]])
+        still = len(rates.steps) > since and got[n] <= STILL
+        if met(now, targets, tolerance).all() or still or len(rates.steps) == max_steps:
+            return rates, now
         if len(rates.steps) - since >= STORED_EVERY:
-            reached = staged(reached.select("tokens", "posterior", rate.alias("reached")), "rates")
-            rate, since = F.col("reached"), len(rates.steps)
-        got = _totals(reached.select(rate.alias("rate"), "tokens", "posterior"), {
-            f"t{k}": F.col("rate") * F.col("tokens") * F.col("posterior")[k] for k in range(n)
-        })
-        now = np.array([got[f"t{k}"] for k in range(n)])
+            reached, since = staged(passed.select("tokens", "posterior", F.col("rate").alias("reached")), "rates"), len(rates.steps)
         off = (now - targets) / total
-        if np.abs(off).max() <= tolerance or len(rates.steps) == max_steps:
-            break
-        if before is not None and np.abs(off - before).max() <= tolerance / 4:
-            break  # held at the bounds
-        before = off
-        rates.steps.append((length * scale * off).tolist())
-    return rates, now
+        rates.steps.append((length * scale * off if len(rates.steps) < APART else inverse @ off).tolist())
 
 
 def copies(rate: Column, draw: Column) -> Column:
@@ -180,6 +205,10 @@ class Mixture:
         """`docs` (with `words` and `draw`) with `posterior`, `rate` and `copies`."""
         return self._taken(self.classifier.posteriors(docs))
 
+    def reached(self) -> list[tuple[str, float, float]]:
+        """Per domain its target and the total that the rates reach, in tokens."""
+        return list(zip(self.classifier.domains, self.targets.tolist(), self.totals.tolist(), strict=True))
+
     def fitted(self) -> DataFrame:
         return self._taken(self.table)
 
@@ -207,12 +236,13 @@ def known_domains(
 
 def mix(
     docs: DataFrame, labelled: DataFrame, power: float = 0.5, weights: dict[str, float] | None = None,
-    every_document: bool = False, max_rate: float = 8.0, key: str = "doc_id", text: str = "text",
+    every_document: bool = False, max_rate: float | None = None, key: str = "doc_id", text: str = "text",
 ) -> Mixture:
     """Fit a mixture of `docs` from `labelled` rows (domain, words).
 
     Targets are `weights`, or natural shares to `power`, of all tokens. With `every_document` no rate is
-    below one, and the total grows until the most plentiful domain needs no less than it has.
+    below one, and the total grows until the most plentiful domain needs no less than it has; somewhat more
+    where posteriors overlap, so that rates of one and more can meet all targets. Missed targets are logged.
     """
     classifier = fit_classifier(labelled)
     n = len(classifier.domains)
@@ -228,8 +258,16 @@ def mix(
     wanted = wanted / wanted.sum() if wanted.sum() else wanted
     if every_document and total and wanted.sum():
         total = max(natural[k] / wanted[k] for k in range(n) if wanted[k])
+        # rates linear in the posteriors meet all targets with these slopes times the total
+        slopes = np.linalg.lstsq(curvature(table, n), wanted, rcond=None)[0]
+        if slopes.min() > 0 and 1.0 / slopes.min() <= GROWTH * total:
+            total = max(total, 1.0 / slopes.min())
     rates, totals = fit_rates(table, wanted * total, 1.0 if every_document else 0.0, max_rate)
-    return Mixture(classifier, rates, wanted * total, totals, table)
+    mixture = Mixture(classifier, rates, wanted * total, totals, table)
+    for (domain, target, reached), ok in zip(mixture.reached(), met(totals, mixture.targets), strict=True):
+        if not ok:
+            logging.getLogger(__name__).warning("domain %s: target %.1f tokens, reached %.1f", domain, target, reached)
+    return mixture
 
 
 def with_words(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -238,7 +276,7 @@ def with_words(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per document: tokens, posterior of each domain, rate, copies taken.
+    """Per document: tokens, posterior of each domain, rate, copies taken; target and reached total of each domain.
 
     Domains are languages; the classifier learns from documents that the labels table covers.
     """
@@ -246,4 +284,5 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return mixture.fitted().select(
         "doc_id", F.col("tokens").cast("long").alias("tokens"),
         F.to_json(F.map_from_arrays(F.lit(mixture.classifier.domains), "posterior")).alias("posterior"), "rate", "copies",
+        F.lit(json.dumps({d: {"target": t, "reached": r} for d, t, r in mixture.reached()})).alias("domains"),
     )

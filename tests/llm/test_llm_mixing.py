@@ -74,3 +74,47 @@ def test_odd_tables(spark):
 
 def test_temperature():
     assert mixing.temperature_weights({"a": 0.64, "b": 0.36, "c": 0.0}, 0.5) == {"a": 0.8 / 1.4, "b": 0.6 / 1.4, "c": 0.0}
+
+
+def scored(spark, rows):
+    return spark.createDataFrame(rows, "tokens double, posterior array<double>")
+
+
+def test_a_rare_domain_meets_its_target(spark):
+    """A domain of 0.1 % needs a rate of about thirty at power 0.5."""
+    rows = scored(spark, [(100.0, [1.0, 0.0])] * 999 + [(100.0, [0.0, 1.0])])
+    natural = mixing.natural_totals(rows, 2)
+    aim = np.sqrt(natural) / np.sqrt(natural).sum() * natural.sum()
+    rates, totals = mixing.fit_rates(rows, aim)
+    assert np.allclose(totals, aim, rtol=1e-5)
+    bounded, less = mixing.fit_rates(rows, aim, max_rate=8.0)
+    assert less[1] == 800 and bounded.max_rate == 8 and len(bounded.steps) < mixing.MAX_STEPS
+
+
+def test_each_domain_is_held_against_its_own_target(spark):
+    """Soft posteriors and a domain with a hundredth of a percent of all tokens."""
+    random.seed(13)
+    rows = []
+    for k in range(3000):
+        x = random.uniform(0.05, 0.6)
+        rows.append((random.randrange(50, 200) * 1.0, [1 - x - 1e-4, x, 1e-4] if k % 1000 else [0.3, 0.1, 0.6]))
+    rows = scored(spark, rows)
+    natural = mixing.natural_totals(rows, 3)
+    aim = natural ** 0.7 / (natural ** 0.7).sum() * natural.sum()
+    rates, totals = mixing.fit_rates(rows, aim)
+    assert np.allclose(totals, aim, rtol=1e-5, atol=0)
+
+
+def test_report_shows_targets_and_totals(spark):
+    import json
+
+    docs = talk(spark, {"en": 300, "de": 60, "fr": 2})
+    row = mixing.report(docs, labels(spark, docs)).first()
+    got = json.loads(row.domains)
+    assert set(got) == {"en", "de", "fr"} and all(abs(d["reached"] / d["target"] - 1) <= 1e-5 for d in got.values())
+
+
+def test_targets_are_met_where_every_document_stays(spark):
+    docs = talk(spark, {"en": 120, "de": 30, "fr": 10})
+    mixture = mixing.mix(docs, mixing.known_domains(docs, labels(spark, docs)), power=0.7, every_document=True)
+    assert np.allclose(mixture.totals, mixture.targets, rtol=1e-5)
