@@ -1,8 +1,8 @@
 """Quality rules: counts within a text, and how many documents of a host share its lines.
 
 Lines are normalised (lower case, digits as 0, white space as one space) and hashed. Per host, the
-distinct documents holding a line are counted, where documents whose normalised lines are all the same
-count once: copies of a document don't make its lines boilerplate. A line in more documents than both
+distinct documents holding a line are counted, where documents of the same text count once: copies of a
+document don't make its lines boilerplate, but documents that differ only in digits or case do. A line in more documents than both
 limits allow is removed; a document that keeps too little is depleted and rejected.
 
 Only DataFrame expressions. One pass reads the texts and stores counts and line hashes; the rest works on
@@ -69,6 +69,7 @@ def profile(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str
         ))).alias("each"),
     ))
     return docs.select(
+        F.xxhash64(body).alias("content"),
         F.col(key).alias("doc_id"),
         F.col(host).alias("host"),
         F.length(F.regexp_replace(body, GAPS, "")).cast("long").alias("word_chars"),
@@ -76,7 +77,7 @@ def profile(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str
         within.alias("within"),
         lines.alias("lines"),
     ).select(
-        F.monotonically_increasing_id().alias("uid"), "doc_id", "host", F.col("within.n_words").alias("n_words"),
+        F.monotonically_increasing_id().alias("uid"), "content", "doc_id", "host", F.col("within.n_words").alias("n_words"),
         "word_chars", "n_symbols", F.col("lines.n_dup").alias("n_dup_lines"),
         F.col("within.n_repeat_words").alias("n_repeat_words"), F.col("lines.each").alias("lines"),
     ).withColumn(
@@ -87,9 +88,7 @@ def profile(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str
 
 def line_frequencies(profiled: DataFrame) -> DataFrame:
     """(host, h, docs): distinct documents of a host that hold a line."""
-    contents = profiled.select(
-        "host", F.array_distinct("lines.h").alias("lines"), F.xxhash64("lines.h").alias("content")
-    )
+    contents = profiled.select("host", F.array_distinct("lines.h").alias("lines"), "content")
     return contents.select("host", "content", F.explode("lines").alias("h")).groupBy("host", "h").agg(
         F.count_distinct("content").alias("docs")
     )
@@ -97,7 +96,7 @@ def line_frequencies(profiled: DataFrame) -> DataFrame:
 
 def host_sizes(profiled: DataFrame) -> DataFrame:
     """(host, host_docs): distinct documents of a host."""
-    return profiled.groupBy("host").agg(F.count_distinct(F.xxhash64("lines.h")).alias("host_docs"))
+    return profiled.groupBy("host").agg(F.count_distinct("content").alias("host_docs"))
 
 
 def judged(

@@ -76,3 +76,12 @@ def test_nulls_repeated_rows_and_empty_table(documents):
 def test_no_python_on_the_main_path(documents):
     plan = rules.judged(documents([(1, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_documents_that_differ_in_digits_or_case_are_documents(documents):
+    """Pages of one template: each is a document; exact copies of one still count once."""
+    rows = [(i, f"Item {i} costs {2 * i}\nsold by the one shop of this town") for i in range(30)]
+    rows += [(100 + i, rows[3][1]) for i in range(30)]
+    got = rules.judged(documents(rows), max_docs=29, max_share=0.5)
+    assert got.filter("n_removed_words > 0").count() == 60
+    assert got.count() == 60 and rules.judged(documents(rows), max_docs=30, max_share=0.5).filter("n_removed_words > 0").count() == 0
