@@ -56,20 +56,25 @@ def normalised_line(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), r"\p{Nd}", "0"), GAPS, " "))
 
 
-def profile(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """Per document: counts, and `lines` with hash and words of each normalised line that has a word."""
+def profile(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", rest: tuple[str, ...] = ()
+) -> DataFrame:
+    """Per document: its text, counts, and `lines` with the hash of each normalised line that has a word.
+
+    The columns `rest` go along in a struct.
+    """
     body = F.coalesce(F.col(text), F.lit(""))
     within = let(words(body), lambda w: F.struct(
         F.size(w).cast("long").alias("n_words"), repeat_words(w).cast("long").alias("n_repeat_words")
     ))
     lines = let(F.filter(F.split(body, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")), lambda x: F.struct(
         (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup"),
-        F.transform(x, lambda line: let(normalised_line(line), lambda n: F.struct(
-            F.xxhash64(n).alias("h"), F.size(F.split(n, " ")).alias("w")
-        ))).alias("each"),
+        F.transform(x, lambda line: F.xxhash64(normalised_line(line))).alias("each"),
     ))
     return docs.select(
         F.xxhash64(body).alias("content"),
+        F.col(text).alias("text"),
+        F.struct(F.lit(0).alias("none"), *(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(rest))).alias("rest"),
         F.col(key).alias("doc_id"),
         F.col(host).alias("host"),
         F.length(F.regexp_replace(body, GAPS, "")).cast("long").alias("word_chars"),
@@ -77,7 +82,7 @@ def profile(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str
         within.alias("within"),
         lines.alias("lines"),
     ).select(
-        F.monotonically_increasing_id().alias("uid"), "content", "doc_id", "host", F.col("within.n_words").alias("n_words"),
+        F.monotonically_increasing_id().alias("uid"), "content", "text", "rest", "doc_id", "host", F.col("within.n_words").alias("n_words"),
         "word_chars", "n_symbols", F.col("lines.n_dup").alias("n_dup_lines"),
         F.col("within.n_repeat_words").alias("n_repeat_words"), F.col("lines.each").alias("lines"),
     ).withColumn(
@@ -88,7 +93,7 @@ def profile(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str
 
 def line_frequencies(profiled: DataFrame) -> DataFrame:
     """(host, h, docs): distinct documents of a host that hold a line."""
-    contents = profiled.select("host", F.array_distinct("lines.h").alias("lines"), "content")
+    contents = profiled.select("host", F.array_distinct("lines").alias("lines"), "content")
     return contents.select("host", "content", F.explode("lines").alias("h")).groupBy("host", "h").agg(
         F.count_distinct("content").alias("docs")
     )
@@ -99,12 +104,11 @@ def host_sizes(profiled: DataFrame) -> DataFrame:
     return profiled.groupBy("host").agg(F.count_distinct("content").alias("host_docs"))
 
 
-def judged(
-    docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE, min_left_share: float = MIN_LEFT_SHARE,
-    key: str = "doc_id", text: str = "text", host: str = "source",
-) -> DataFrame:
-    """Per document: the counts, base_failed, kept, and how many of its words stand in removed lines."""
-    profiled = staged(profile(docs, key, text, host), "line-profile")
+def without_boilerplate(profiled: DataFrame, max_docs: int, max_share: float) -> DataFrame:
+    """Stored `profiled` with `text` after removal of its host's boilerplate lines, and how many words went.
+
+    What is not removed stays as it was, blank lines too.
+    """
     often = line_frequencies(profiled).filter(F.col("docs") > max_docs)
     sizes = host_sizes(profiled)
     boilerplate = (
@@ -112,20 +116,51 @@ def judged(
         .filter(F.col("docs") > max_share * F.col("host_docs"))
         .select(often["host"].alias("on_host"), F.col("h").alias("line"))
     )
-    each = profiled.select("uid", "host", F.explode("lines").alias("l")).select("uid", "host", "l.h", "l.w")
+    each = profiled.select("uid", "host", F.explode(F.array_distinct("lines")).alias("h"))
     removed = (
         each.join(boilerplate, each["h"].eqNullSafe(F.col("line")) & each["host"].eqNullSafe(F.col("on_host")))
-        .groupBy("uid").agg(F.sum("w").alias("n_removed_words"))
+        .groupBy("uid").agg(F.collect_set("h").alias("gone"))
+    )
+    left = F.filter(F.split("text", "\n"), lambda line: (
+        ~line.rlike(r"[^\x20\x09-\x0D]") | ~F.array_contains("gone", F.xxhash64(normalised_line(line)))
+    ))
+    cut = profiled.join(removed, "uid", "left").withColumn(
+        "text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
     )
-    gone = F.coalesce(F.col("n_removed_words"), F.lit(0)).cast("long")
-    left = F.col("n_words") - gone
-    depleted = (gone > 0) & (left < min_left_share * F.col("n_words"))
-    return profiled.join(removed, "uid", "left").select(
+    gone = F.when(F.col("gone").isNull(), 0).otherwise(F.col("n_words") - F.size(words(F.col("text"))))
+    return cut.withColumn("n_removed_words", gone.cast("long"))
+
+
+def _kept(min_left_share: float) -> Column:
+    left = F.col("n_words") - F.col("n_removed_words")
+    depleted = (F.col("n_removed_words") > 0) & (left < min_left_share * F.col("n_words"))
+    return ~F.col("base_failed") & ~depleted
+
+
+def judged(
+    docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE, min_left_share: float = MIN_LEFT_SHARE,
+    key: str = "doc_id", text: str = "text", host: str = "source",
+) -> DataFrame:
+    """Per document: the counts, base_failed, kept, and how many of its words stand in removed lines."""
+    profiled = staged(profile(docs, key, text, host), "line-profile")
+    return without_boilerplate(profiled, max_docs, max_share).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & ~depleted).alias("kept"), gone.alias("n_removed_words"),
+        _kept(min_left_share).alias("kept"), "n_removed_words",
     )
 
 
+def cleaned(
+    docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE, min_left_share: float = MIN_LEFT_SHARE,
+    key: str = "doc_id", text: str = "text", host: str = "source",
+) -> DataFrame:
+    """The kept documents with boilerplate lines cut out of their text; columns as they were."""
+    profiled = staged(profile(docs, key, text, host, tuple(docs.columns)), "line-profile")
+    kept = without_boilerplate(profiled, max_docs, max_share).filter(_kept(min_left_share))
+    return kept.select(*(
+        F.col("text").alias(c) if c == text else F.col("rest")[f"c{k}"].alias(c) for k, c in enumerate(docs.columns)
+    ))
+
+
 ORACLE = rf"""
     WITH t AS (
         SELECT row_number() OVER () AS uid, doc_id, source, coalesce(text, '') AS text FROM documents),

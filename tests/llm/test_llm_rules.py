@@ -85,3 +85,16 @@ def test_documents_that_differ_in_digits_or_case_are_documents(documents):
     got = rules.judged(documents(rows), max_docs=29, max_share=0.5)
     assert got.filter("n_removed_words > 0").count() == 60
     assert got.count() == 60 and rules.judged(documents(rows), max_docs=30, max_share=0.5).filter("n_removed_words > 0").count() == 0
+
+
+def test_removed_lines_are_cut_out_of_the_text(documents):
+    rows = make(documents) + [(200, None), (201, "\n own  Words\tonly, \n\nSHARED line of   page 7 \nten or more words are in here, so it stays\n")]
+    docs = documents(rows).withColumn("uid", F.lit(1)).withColumn("lines", F.lit(2))
+    limits = dict(max_docs=10, max_share=0.2, min_left_share=0.3)
+    judged = {r.doc_id: r for r in rules.judged(docs, **limits).collect()}
+    out = rules.cleaned(docs, **limits)
+    got = {r.doc_id: r.text for r in out.collect()}
+    assert out.columns == docs.columns and set(got) == {i for i, r in judged.items() if r.kept}
+    assert got[201] == "\n own  Words\tonly, \n\nten or more words are in here, so it stays\n"
+    assert all(got[i] == dict(rows)[i].split("\n")[1] for i in range(40))
+    assert all(len(WORD.findall(t)) == judged[i].n_words - judged[i].n_removed_words for i, t in got.items())
