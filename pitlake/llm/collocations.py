@@ -1,8 +1,8 @@
 """Phrase collocations per language, by marginalising counts of the longest windows.
 
 Texts are cut into pieces and words. At every word stands one window: the word and the three that follow it in
-its piece, padded with nulls at the end (the lead columns are made by zipping the piece's words with
-themselves shifted, so no sort and no shuffle is needed for them). Only these windows are counted. The count
+its piece, padded at the end (the lead columns are the words shifted by one to three places; no sort and no
+shuffle is needed for them). Only these windows are counted. The count
 of a phrase is the sum over the windows that begin with it, so a ROLLUP over the window columns gives the
 counts of all shorter phrases: no phrase length is exploded by itself. Single words are counted while the
 dictionary is made.
@@ -11,28 +11,33 @@ What keeps it small:
 
 * Words travel as 64-bit hashes of language and word. The dictionary (language, word, hash, count) tells them
   apart again; words whose hashes clash are found there and hashed anew.
+* Windows are counted chunk by chunk before they are shuffled (numpy and Arrow over the hashes of a chunk of
+  bounded size), and sorted so that equal beginnings compress.
 * A phrase that occurs often has no rare part. Windows are dealt out by their first two words, so counts of
   all prefixes are at hand before the ROLLUP; behind the last prefix that is frequent a window is padded.
 * A first pair that many windows share would meet in one task. Prefixes above a share of the windows are
-  looked for in a sample; windows of such a pair are dealt out by three words, of such a triple by four, of
-  such a window by document. These prefixes are frequent, so no local count is needed to keep them. The sample
-  decides where rows go, never which.
+  looked for in a sample; windows of such a pair are dealt out by three words, of such a triple by four (equal
+  windows are one row a chunk by then). These prefixes are frequent, so no local count is needed to keep
+  them. The sample decides where rows go, never which.
 
 Scores are exact: products are decimals of 38 digits.
 
 Null texts are empty. A null language is `und`, together with documents so marked. Repeated rows count as
-often as they occur. A very long text is one row until it is cut into pieces. Ties are settled by phrase, so
-the result is unique. Columns other than the three named ones are not read. An empty table gives an empty result.
+often as they occur. A very long text is one row until it is cut into words. Ties are settled by phrase, so
+the result is unique. Columns other than the two named ones are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitlake.llm.common import let
+from pitlake.llm.common import reach_workers
 from pitlake.plans.scratch import staged
 
 #: What ends a piece, and what separates words in it.
@@ -48,17 +53,21 @@ TOP = 2000
 #: Prefixes above one in HOT_SHARE of the windows of about HOT_DOCS documents are dealt out further.
 HOT_SHARE = 5000
 HOT_DOCS = 20_000
-SALTS = 64
+#: Words whose windows are counted together in a task.
+CHUNK = 4_000_000
 #: Clashing hashes are some n * n / 2**65 of n words; far more would mean that something else is wrong.
 MAX_CLASHES = 10_000
 
 COLUMNS = [f"w{k}" for k in range(1, LONGEST + 1)]
+COUNTED = ", ".join(f"{c} long" for c in (*COLUMNS, "n"))
+#: Stands for what is padded; no word has it.
+PAD = 0
 
 
-def prepared(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """(key, lang, text) with languages filled in and texts lower-cased in A-Z."""
+def prepared(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """(lang, text) with languages filled in and texts lower-cased in A-Z."""
     return docs.select(
-        F.col(key).alias("key"), F.coalesce(F.col(lang), F.lit("und")).alias("lang"),
+        F.coalesce(F.col(lang), F.lit("und")).alias("lang"),
         F.translate(F.coalesce(F.col(text), F.lit("")), CAPITALS, SMALL).alias("text"),
     )
 
@@ -69,7 +78,8 @@ def _words(text: Column, gaps: str) -> Column:
 
 def code(lang: Column, word: Column, clashing: list[tuple[str, str]] = ()) -> Column:
     """The number a word goes by."""
-    out = F.xxhash64(lang, word)
+    plain = F.xxhash64(lang, word)
+    out = F.when(plain == PAD, F.lit(1).cast("long")).otherwise(plain)
     if clashing:
         again = reduce(lambda a, b: a | b, ((lang == x) & (word == w) for x, w in clashing))
         out = F.when(again, F.xxhash64(F.lit("again"), lang, word)).otherwise(out)
@@ -89,46 +99,65 @@ def dictionary(rows: DataFrame) -> tuple[DataFrame, list[tuple[str, str]]]:
     return known.withColumn("code", code(F.col("lang"), F.col("word"), clashing)), clashing
 
 
+def counted_chunk(codes: np.ndarray) -> pa.Table:
+    """(w1..w4, n) of the windows in `codes`, where PAD stands between pieces; last words of pieces are left out."""
+    padded = np.concatenate([codes, np.zeros(LONGEST - 1, np.int64)])
+    lead = [padded[k : k + len(codes)] for k in range(LONGEST)]
+    begins = (lead[0] != PAD) & (lead[1] != PAD)
+    lead = [w[begins] for w in lead]
+    for k in range(2, LONGEST):
+        lead[k] = np.where(lead[k - 1] == PAD, PAD, lead[k])
+    counts = pa.table(dict(zip(COLUMNS, lead))).group_by(COLUMNS).aggregate([([], "count_all")])
+    # windows that begin alike lie together, which the shuffle's compression makes use of
+    mixed = counts["w1"].to_numpy() * np.int64(31) + counts["w2"].to_numpy()
+    return counts.take(pa.array(np.argsort(mixed, kind="stable"))).rename_columns([*COLUMNS, "n"])
+
+
+def _count_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for batch in batches:
+        for start in range(0, batch.num_rows, 64):  # a batch of long texts is more than a chunk
+            codes = batch.column(0).slice(start, 64).flatten().to_numpy(zero_copy_only=False)
+            held.append(codes)
+            size += len(codes)
+            if size >= CHUNK:
+                yield from counted_chunk(np.concatenate(held)).to_batches(max_chunksize=65_536)
+                held, size = [], 0
+    if held:
+        yield from counted_chunk(np.concatenate(held)).to_batches(max_chunksize=65_536)
+
+
 def windows(rows: DataFrame, clashing: list[tuple[str, str]] = ()) -> DataFrame:
-    """(w1..w4, salt): the codes of every word and of those after it in its piece; the last words of pieces are left out."""
-    pieces = rows.select("key", "lang", F.explode(F.split("text", ENDS)).alias("piece"))
-    codes = F.transform(_words(F.col("piece"), BLANKS), lambda w: code(F.col("lang"), w, clashing))
-    lead = let(codes, lambda c: F.arrays_zip(*(F.slice(c, F.lit(k + 1), F.size(c)).alias(w) for k, w in enumerate(COLUMNS))))
-    salt = F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")
-    return pieces.select(salt.alias("salt"), F.inline(lead).alias(*COLUMNS)).filter(F.col("w2").isNotNull())
+    """(w1..w4, n): the codes of words and of those after them in their piece, and how often a chunk has them."""
+    pieces = F.transform(F.split("text", ENDS), lambda p: F.concat(
+        F.transform(_words(p, BLANKS), lambda w: code(F.col("lang"), w, clashing)), F.array(F.lit(PAD).cast("long"))
+    ))
+    return rows.select(F.flatten(pieces).alias("codes")).mapInArrow(_count_windows, COUNTED)
 
 
 def hot_prefixes(rows: DataFrame, clashing: list[tuple[str, str]] = ()) -> list[list[int]]:
-    """For two, three and four words: hashes of the prefixes that many windows of a sample share."""
+    """For two and three words: hashes of the prefixes that many windows of a sample share."""
     n = rows.count()
     some = rows.sample(min(1.0, HOT_DOCS / n), seed=1) if n else rows
-    counted = windows(some, clashing).rollup(F.struct("w1", "w2").alias("pair"), "w3", "w4").agg(
-        F.count(F.lit(1)).alias("n"), F.grouping_id().alias("level")
+    counted = windows(some, clashing).rollup(F.struct("w1", "w2").alias("pair"), "w3").agg(
+        F.sum("n").alias("n"), F.grouping_id().alias("level")
     )
     counted = staged(counted.filter(F.col("n") >= MIN_COUNT), "hot-prefixes")
-    total = counted.filter("level = 7").agg(F.max("n")).first()[0] or 0
-    often = counted.filter((F.col("level") < 7) & (F.col("n") * HOT_SHARE > total))
-    out: list[list[int]] = [[], [], []]
-    for r in often.select("level", _prefix_hash(F.col("pair")["w1"], F.col("pair")["w2"], F.col("level")).alias("h")).collect():
-        out[{3: 0, 1: 1, 0: 2}[r["level"]]].append(r["h"])  # fewer than HOT_SHARE of each
+    total = counted.filter("level = 3").agg(F.max("n")).first()[0] or 0
+    often = counted.filter((F.col("level") < 3) & (F.col("n") * HOT_SHARE > total))
+    h = F.when(F.col("level") == 1, F.xxhash64("pair.w1", "pair.w2")).otherwise(F.xxhash64("pair.w1", "pair.w2", "w3"))
+    out: list[list[int]] = [[], []]
+    for r in often.select("level", h.alias("h")).collect():
+        out[1 - r["level"]].append(r["h"])  # fewer than HOT_SHARE of each
     return out
 
 
-def _prefix_hash(w1: Column, w2: Column, level: Column) -> Column:
-    return F.when(level == 3, F.xxhash64(w1, w2)).when(level == 1, F.xxhash64(w1, w2, "w3")).otherwise(
-        F.xxhash64(w1, w2, "w3", "w4")
-    )
-
-
 def phrases(rows: DataFrame, clashing: list[tuple[str, str]] = (), min_count: int = MIN_COUNT) -> DataFrame:
     """(words, f): the codes of every phrase of two to four words that occurs `min_count` times."""
     hot = [F.lit(False) if not h else F.xxhash64(*COLUMNS[: k + 2]).isin(h) for k, h in enumerate(hot_prefixes(rows, clashing))]
-    place = F.xxhash64(
-        "w1", "w2", F.when(hot[0], F.col("w3")), F.when(hot[0] & hot[1], F.col("w4")),
-        F.when(hot[0] & hot[1] & hot[2], F.col("salt")),
-    )
+    place = F.xxhash64("w1", "w2", F.when(hot[0], F.col("w3")), F.when(hot[0] & hot[1], F.col("w4")))
     dealt = windows(rows, clashing).repartition(place)
-    counted = dealt.withColumn("place", place).groupBy("place", *COLUMNS).agg(F.count(F.lit(1)).alias("n"))
+    counted = dealt.withColumn("place", place).groupBy("place", *COLUMNS).agg(F.sum("n").alias("n"))
     by = Window.partitionBy
     counted = counted.select(
         "place", *COLUMNS, "n", F.sum("n").over(by("place", "w1", "w2", "w3")).alias("n3"),
@@ -136,18 +165,17 @@ def phrases(rows: DataFrame, clashing: list[tuple[str, str]] = (), min_count: in
     )
     often2 = hot[0] | (F.col("n2") >= min_count)
     often3 = often2 & ((hot[0] & hot[1]) | (F.col("n3") >= min_count))
-    often4 = often3 & ((hot[0] & hot[1] & hot[2]) | (F.col("n") >= min_count))
+    often4 = often3 & (F.col("n") >= min_count)
     padded = counted.filter(often2).select(
-        F.struct("w1", "w2").alias("pair"), F.when(often3, F.col("w3")).alias("w3"), F.when(often4, F.col("w4")).alias("w4"), "n"
+        F.struct("w1", "w2").alias("pair"), F.when(often3, F.col("w3")).otherwise(PAD).alias("w3"),
+        F.when(often4, F.col("w4")).otherwise(PAD).alias("w4"), "n",
     )
     summed = padded.rollup("pair", "w3", "w4").agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
-    whole = (F.col("level") == 3) | ((F.col("level") == 1) & F.col("w3").isNotNull()) | (
-        (F.col("level") == 0) & F.col("w4").isNotNull()
+    whole = (F.col("level") == 3) | ((F.col("level") == 1) & (F.col("w3") != PAD)) | (
+        (F.col("level") == 0) & (F.col("w4") != PAD)
     )
     words = F.array(F.col("pair")["w1"], F.col("pair")["w2"], "w3", "w4")
-    return summed.filter(whole & (F.col("f") >= min_count)).select(
-        F.array_compact(words).alias("words"), "f"
-    )
+    return summed.filter(whole & (F.col("f") >= min_count)).select(F.array_compact(words).alias("words"), "f")
 
 
 def scored(found: DataFrame, singles: DataFrame) -> DataFrame:
@@ -179,11 +207,11 @@ def scored(found: DataFrame, singles: DataFrame) -> DataFrame:
 
 
 def collocations(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", top: int | None = TOP,
-    min_count: int = MIN_COUNT,
+    docs: DataFrame, text: str = "text", lang: str = "lang", top: int | None = TOP, min_count: int = MIN_COUNT
 ) -> DataFrame:
     """Each language's best phrases (all, if `top` is None): lang, rank, phrase, a, l, r, n, score."""
-    rows = prepared(docs, key, text, lang)
+    reach_workers(docs.sparkSession)
+    rows = prepared(docs, text, lang)
     known, clashing = dictionary(rows)
     frequent = known.filter(F.col("f") >= min_count)
     found = staged(phrases(rows, clashing, min_count), "phrases")

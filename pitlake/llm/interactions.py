@@ -104,7 +104,7 @@ def failures(
     if copies:
         thin = staged(thin, "filter-failures")
         firsts = thin.groupBy("digest").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("rows"))
-        firsts = firsts.filter(F.col("rows") > 1).select(F.col("digest").alias("copied"), "first")
+        firsts = staged(firsts.filter(F.col("rows") > 1).select(F.col("digest").alias("copied"), "first"), "first-copies")
         again = F.coalesce(F.col("first") < F.col("key"), F.lit(False))
         thin = thin.join(firsts, F.col("digest") == F.col("copied"), "left").withColumn(
             "own", F.col("own") + F.when(again, 1 << names.index(copies)).otherwise(0)

@@ -6,9 +6,10 @@ is a candidate. Its encoding is the smallest alphabet that holds it: hex, base32
 letter case, or digits alone, has none, and is no candidate. For symbols x_1..x_n over an alphabet of m
 the battery has, with exact means and variances under independent uniform symbols,
 
-* chi-squared uniformity of the symbol counts,
+* chi-squared uniformity of the symbol counts, and of the alphabet's letters of one case against its other
+  symbols (words joined in mixed case are mostly small letters),
 * the runs of symbols from the lower and upper half of the alphabet (Wald and Wolfowitz),
-* the circular serial correlation at lags 1 and 2.
+* the circular serial correlation at lag 1.
 
 The sum S of the squared deviations is chi-squared with four degrees, so p = exp(-S/2) (1 + S/2).
 
@@ -130,7 +131,13 @@ def _squared(value: Column, mean: Column, variance: Column) -> Column:
     return F.when(variance > 0, (value - mean) * (value - mean) / variance).otherwise(F.lit(CAP))
 
 
-def _moments(x: Column, symbols: int) -> Column:
+def _letters(symbols: str) -> tuple[int, int]:
+    """First and last number of an alphabet's letters of one case (the small ones, if it has both)."""
+    inside = [k for k, c in enumerate(symbols) if c.islower()] or [k for k, c in enumerate(symbols) if c.isupper()]
+    return inside[0], inside[-1]
+
+
+def _moments(x: Column, symbols: str) -> Column:
     """Integer sums that the tests need, of the symbol numbers `x`."""
     n = F.size(x).cast("long")
     zero = F.lit(0).cast("long")
@@ -144,7 +151,7 @@ def _moments(x: Column, symbols: int) -> Column:
     def products(by: int) -> Column:
         return added(F.zip_with(x, turned(by), lambda a, b: a * b))
 
-    half = symbols // 2
+    half = len(symbols) // 2
     ordered = F.sort_array(x)
     # sum of squared counts: of sorted symbols, each adds 2 k - 1 as the k-th of its kind
     squares = F.aggregate(
@@ -160,31 +167,32 @@ def _moments(x: Column, symbols: int) -> Column:
             F.slice(x, F.lit(1), F.size(x) - 1), F.slice(x, F.lit(2), F.size(x) - 1),
             lambda a, b: ((a >= half) != (b >= half)).cast("long"),
         )).cast("double").alias("turns"),
-        added(x).cast("double").alias("sum"), products(0).cast("double").alias("p0"),
-        products(1).cast("double").alias("p1"), products(2).cast("double").alias("p2"),
+        added(F.transform(x, lambda v: v.between(*_letters(symbols)).cast("long"))).cast("double").alias("letters"),
+        added(x).cast("double").alias("sum"), products(0).cast("double").alias("p0"), products(1).cast("double").alias("p1"),
     )
 
 
-def _statistic(s: Column, symbols: int) -> Column:
+def _statistic(s: Column, symbols: str) -> Column:
     """The battery's sum of squared deviations from the moments `s` of a token."""
-    n, m = s["n"], float(symbols)
+    n, m = s["n"], float(len(symbols))
+    first, last = _letters(symbols)
+    share = (last - first + 1) / m
+    cased = _squared(s["letters"], n * share, n * (share * (1 - share)))
     uniform = _squared(m / n * s["squares"] - n, F.lit(m - 1), 2 * (m - 1) * (n - 1) / n)
     pairs = 2 * s["upper"] * (n - s["upper"])
     runs = _squared(s["turns"] + 1, pairs / n + 1, pairs * (pairs - n) / (n * n * (n - 1)))
     spread = n * s["p0"] - s["sum"] * s["sum"]
 
-    def serial(product: Column) -> Column:
-        value = F.when(spread > 0, (n * product - s["sum"] * s["sum"]) / spread).otherwise(1.0)
-        return _squared(value, -1 / (n - 1), n * n / ((n - 1) * (n - 1) * (n - 2)))
-
-    return F.least(F.lit(CAP), uniform + runs + serial(s["p1"]) + serial(s["p2"]))
+    value = F.when(spread > 0, (n * s["p1"] - s["sum"] * s["sum"]) / spread).otherwise(1.0)
+    serial = _squared(value, -1 / (n - 1), n * n / ((n - 1) * (n - 1) * (n - 2)))
+    return F.least(F.lit(CAP), uniform + cased + runs + serial)
 
 
 def _bin(token: Column, symbols: str) -> Column:
     """The battery's sum for a token over an alphabet, in STEPS-ths."""
     numbers = F.transform(F.split(token, ""), lambda c: F.position(c, F.lit(symbols)).cast("long") - 1)
-    moments = let(numbers, lambda x: _moments(x, len(symbols)))
-    return let(moments, lambda s: F.floor(STEPS * _statistic(s, len(symbols))).cast("int"))
+    moments = let(numbers, lambda x: _moments(x, symbols))
+    return let(moments, lambda s: F.floor(STEPS * _statistic(s, symbols)).cast("int"))
 
 
 def judged_token(token: Column) -> Column:
@@ -296,7 +304,7 @@ def _oracle() -> str:
     encodings = " ".join(
         f"WHEN regexp_full_match(token, '[{inside}]+') AND "
         + " AND ".join(f"regexp_matches(token, '[{x}]')" for x in needed)
-        + f" THEN {{'encoding': '{name}', 'symbols': '{symbols}', 'least': {least_length(len(symbols))}}}"
+        + f" THEN {{'encoding': '{name}', 'symbols': '{symbols}', 'least': {least_length(len(symbols))}, 'first': {_letters(symbols)[0]}, 'last': {_letters(symbols)[1]}}}"
         for name, symbols, inside, needed in ENCODINGS
     )
     names = " ".join(f"WHEN {r} THEN '{k}'" for r, (k, *_) in enumerate(kinds))
@@ -316,6 +324,7 @@ def _oracle() -> str:
     coded AS (SELECT *, CASE {encodings} END AS e FROM spans WHERE rank = {len(BASE)}),
     numbers AS (
         SELECT uid, at_start, at_end, length(token)::DOUBLE AS n, length(e.symbols)::DOUBLE AS m,
+            e.first AS first, e.last AS last, (e.last - e.first + 1) / length(e.symbols)::DOUBLE AS share,
             e.encoding || ':' || length(bin(length(token))) AS stratum,
             list_transform(range(1, length(token) + 1), lambda j: strpos(e.symbols, token[j]) - 1) AS xs
         FROM coded WHERE e IS NOT NULL AND length(token) >= e.least),
@@ -323,7 +332,8 @@ def _oracle() -> str:
         SELECT *, list_sum(list_transform(list_distinct(xs), lambda v: len(list_filter(xs, lambda y: y = v)) ** 2))::DOUBLE AS squares,
             len(list_filter(xs, lambda y: y >= m // 2))::DOUBLE AS upper, list_sum(xs)::DOUBLE AS total,
             len(list_filter(range(1, len(xs)), lambda j: (xs[j] >= m // 2) <> (xs[j + 1] >= m // 2)))::DOUBLE AS turns,
-            {moved.format(0)} AS p0, {moved.format(1)} AS p1, {moved.format(2)} AS p2
+            len(list_filter(xs, lambda y: y BETWEEN first AND last))::DOUBLE AS letters,
+            {moved.format(0)} AS p0, {moved.format(1)} AS p1
         FROM numbers),
     terms AS (
         SELECT *, 2 * upper * (n - upper) AS pairs, n * p0 - total * total AS spread, -1 / (n - 1) AS mean,
@@ -331,12 +341,11 @@ def _oracle() -> str:
             (m / n) * squares - n - (m - 1) AS far FROM sums),
     tested AS (
         SELECT *, far * far / (2 * (m - 1) * (n - 1) / n)
+            + (letters - n * share) * (letters - n * share) / (n * (share * (1 - share)))
             + CASE WHEN runs_variance > 0
                 THEN (turns + 1 - (pairs / n + 1)) * (turns + 1 - (pairs / n + 1)) / runs_variance ELSE {CAP} END
             + (CASE WHEN spread > 0 THEN (n * p1 - total * total) / spread ELSE 1 END - mean)
-                * (CASE WHEN spread > 0 THEN (n * p1 - total * total) / spread ELSE 1 END - mean) / variance
-            + (CASE WHEN spread > 0 THEN (n * p2 - total * total) / spread ELSE 1 END - mean)
-                * (CASE WHEN spread > 0 THEN (n * p2 - total * total) / spread ELSE 1 END - mean) / variance AS s
+                * (CASE WHEN spread > 0 THEN (n * p1 - total * total) / spread ELSE 1 END - mean) / variance AS s
         FROM terms),
     binned AS (SELECT uid, at_start, at_end, stratum, floor({STEPS} * least({CAP}, s))::INT AS bin FROM tested),
     ranked AS (
