@@ -1,8 +1,8 @@
-"""As-of lookups without sorting the fact side.
+"""As-of lookups in two forms.
 
-The classic forms of an as-of join in Spark are a union of both sides under one ordered window
-(shuffles and sorts every fact, one task per key) or a correlated lookup (ranks every pair). Here the
-sparse side, whose rows per key are bounded by the calendar, is folded into disjoint intervals, and
+Where the calendar bounds the rows of a key on both sides, `last_before` puts both under one sorted window:
+a single exchange. Facts without such a bound are not sorted: the
+sparse side is folded into disjoint intervals, and
 facts meet it through an equi-join on the key with an interval condition:
 
 * each fact matches at most one interval, so nothing multiplies;
@@ -73,35 +73,17 @@ def last_before(
 ) -> DataFrame:
     """For each distinct (key, request_at): `value` of the latest fact strictly before it.
 
-    Every fact is credited to the first request after it and reduced there with a map-side combine;
-    only one row per request is left for the ordered carry-forward.
+    Both sides meet in one exchange on the key, where a sorted window carries the latest value on: for facts
+    whose rows per key the calendar bounds. A request with none before it has no row.
     """
-    wanted = requests.select(key, request_at).distinct()
-    w = W.partitionBy(key).orderBy(request_at)
-    spans = wanted.select(
-        key,
-        F.lag(request_at).over(w).alias("step_from"),
-        F.col(request_at).alias("step_to"),
-        F.col(request_at).alias("_due"),
-    )
-    credited = lookup_step(facts.select(key, fact_at, value), spans, key, fact_at, "inner")
-    # every request takes part, so one without facts of its own is there to inherit the earlier value
-    blank = wanted.select(
-        key, F.col(request_at).alias("_due"),
-        *[F.lit(None).cast(credited.schema[c].dataType).alias(c) for c in (fact_at, value)],
-    )
-    newest = (
-        credited.select(key, "_due", fact_at, value)
-        .unionByName(blank)
-        .groupBy(key, F.col("_due").alias(request_at))
-        .agg(F.max_by(value, fact_at).alias("_value"), F.max(fact_at).alias("_seen"))
-    )
-    carried = W.partitionBy(key).orderBy(request_at).rowsBetween(
-        W.unboundedPreceding, W.currentRow
-    )
-    held = F.when(F.col("_seen").isNotNull(), F.struct(F.col("_value").alias("v")))
+    wanted = requests.select(key, F.col(request_at).alias("_at"), F.lit(0).alias("_kind"))
+    known = facts.select(key, F.col(fact_at).alias("_at"), F.lit(1).alias("_kind"), F.struct(F.col(value).alias("v")).alias("_held"))
+    # requests stand before the fact of their day
+    before = W.partitionBy(key).orderBy("_at", "_kind").rowsBetween(W.unboundedPreceding, -1)
+    rows = wanted.unionByName(known.filter(F.col("_at").isNotNull()), allowMissingColumns=True)
     return (
-        newest.withColumn("_held", F.last(held, ignorenulls=True).over(carried))
-        .filter(F.col("_held").isNotNull())
-        .select(key, request_at, F.col("_held.v").alias(value))
+        rows.withColumn("_last", F.last("_held", ignorenulls=True).over(before))
+        .filter((F.col("_kind") == 0) & F.col("_at").isNotNull() & F.col("_last").isNotNull())
+        .select(key, F.col("_at").alias(request_at), F.col("_last.v").alias(value))
+        .distinct()
     )

@@ -129,6 +129,23 @@ def pit_audit(spark, d):
     return adjust.pit_audit(bars, factors, bars)
 
 
+@query(
+    f"""SELECT r.ticker, {day('r.bar_date')}, count(f.ticker) FILTER (WHERE f.ex_date <= r.bar_date) AS n_applied,
+          round(coalesce(exp(sum(ln(factor)) FILTER (WHERE f.ex_date <= r.bar_date)), 1e0), 4) + 0e0 AS cum_factor,
+          coalesce(bool_and(known <= r.bar_date) FILTER (WHERE f.ex_date <= r.bar_date), TRUE) AS no_lookahead
+        FROM (SELECT DISTINCT ticker, bar_date FROM bars) r LEFT JOIN factors f ON f.ticker = r.ticker
+        GROUP BY r.ticker, r.bar_date""",
+    digits=4,
+    bools=("no_lookahead",),
+)
+def pit_audit_of_a_leak(spark, d):
+    """The audit of a frame whose factors count from their ex-date, known or not: the flag tells where they leak."""
+    bars = fx.bars(spark, d)
+    factors = adjust.adjustment_factors(bars, fx.actions(spark, d))
+    audit = adjust.pit_audit(bars, factors, bars, active_from=F.col("ex_date"))
+    return audit.select("ticker", "bar_date", "n_applied", "cum_factor", "no_lookahead")
+
+
 @query(
     f"""SELECT b.ticker, {day('b.bar_date')}, {day('f.ex_date')}, factor_type, round(factor, 6) + 0e0 AS factor,
           f.ex_date <= b.bar_date AND known <= b.bar_date AS applied
@@ -1236,23 +1253,76 @@ def stream_first_minutes(spark, d):
     return spark.read.schema(stream.schema).parquet(f"{root}/out").select("ticker", "minute_ts")
 
 
+def _arriving(rows: DataFrame, root: str, batches: int, *by: str) -> str:
+    """A folder of files for a stream that takes one a micro-batch; each holds the rows of some values of `by`."""
+    path = f"{root}/arriving"
+    rows.repartition(batches, *by).write.parquet(path)
+    return path
+
+
+def _ticks_out_of_order(spark, d, root):
+    """Quote ticks as a stream of six files; each has ticks of every session, so most come late."""
+    ticks = fx.quotes(spark, d).withColumn("lot", F.col("pos") * 7 % 6)
+    path = _arriving(ticks, root, 6, "lot")
+    return market.parquet_stream(spark, path, market.TICKS, files_per_batch=1)
+
+
 @query(_QUOTE_OUT + "quote_bars_minute", stamps=("minute_ts",))
 def stream_quote_twm(spark, d):
+    """Time-weighted bars kept right while ticks of all sessions keep coming in, six micro-batches of them."""
     root = scratch(spark, "weights")
     lake = Lake(spark, root)
     run = market.weighted_touched(lake, staged(fx.quote_sessions(spark, d), "sessions"))
-    _drain(
-        market.start_each_batch(fx.quotes_of(_event_stream(spark, d)), run, f"{root}/checkpoint")
-    )
+    _drain(market.start_each_batch(_ticks_out_of_order(spark, d, root), run, f"{root}/checkpoint"))
     return lake.read("live_quote_bars", market.LIVE_BARS).select(*quotes.QUOTE_BAR)
 
 
+@query(
+    f"""SELECT ticker, {us('minute_ts')}, {rnd('bid_close', 'ask_close')}, n_quotes FROM (
+          SELECT ticker, date_trunc('minute', ts) AS minute_ts, arg_max(bid, (ts, pos)) AS bid_close,
+                 arg_max(ask, (ts, pos)) AS ask_close, count(*) AS n_quotes
+          FROM quotes WHERE bid > 0 AND ask > 0 GROUP BY 1, 2)""",
+    stamps=("minute_ts",),
+)
+def stream_late_buckets(spark, d):
+    """Minute buckets of ticks out of order: late ones count, and buckets that are open are there."""
+    root = scratch(spark, "late")
+    lake = Lake(spark, root)
+    run = market.bucket_partials(lake)
+    _drain(market.start_each_batch(_ticks_out_of_order(spark, d, root), run, f"{root}/checkpoint"))
+    return market.merged_buckets(lake)
+
+
+@query(
+    """SELECT ticker, minute_ts, value FROM (
+          SELECT event_type AS ticker, epoch_us(date_trunc('hour', ts)) AS minute_ts, round(value, 6) + 0e0 AS value,
+                 row_number() OVER (PARTITION BY event_type, date_trunc('hour', ts) ORDER BY event_id * 7 % 6, event_id) AS rn
+          FROM events) WHERE rn = 1""",
+    stamps=("minute_ts",),
+)
+def stream_first_values(spark, d):
+    """The first writer's value per name and hour of six files in a row, whatever hours they hold."""
+    root = scratch(spark, "first")
+    lake, ddl = Lake(spark, root), "ticker string, minute_ts timestamp, value double, event_id bigint"
+    rows = fx.table(spark, d, "events").select(
+        F.col("event_type").alias("ticker"), F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("minute_ts"),
+        "value", "event_id", (F.col("event_id") * 7 % 6).alias("lot"),
+    )
+    run = market.minute_partials(lake, ["event_id"])
+    for lot in range(6):  # in this order; a folder's files have none
+        rows.filter(F.col("lot") == lot).coalesce(1).write.parquet(f"{root}/in/{lot}")
+        stream = market.parquet_stream(spark, f"{root}/in/*", ddl)
+        _drain(market.start_each_batch(stream, run, f"{root}/checkpoint"))
+    return market.merged_minutes(lake, ddl).select("ticker", "minute_ts", "value")
+
+
 @query(
     f"SELECT ticker, {day('bar_date')}, {rnd('close', digits=8)}, grade, single_source FROM screened_latest",
     digits=8, bools=("single_source",),
 )
 def stream_votes(spark, d):
-    """Bar events arriving as files, re-voted per ticker into canonical history."""
+    """Bar events arriving in five micro-batches, each of some vendors' tickers, voted again per ticker into
+    canonical history."""
     root = scratch(spark, "votes")
     lake = Lake(spark, root)
     rows = fx.bar_events(spark, d).withColumns(
@@ -1261,8 +1331,8 @@ def stream_votes(spark, d):
             "landing_key": F.lit("k"),
         }
     )
-    rows.select(*schemas.names(schemas.BAR_EVENTS)).write.parquet(f"{root}/arriving")
-    stream = market.parquet_stream(spark, f"{root}/arriving", schemas.BAR_EVENTS)
+    path = _arriving(rows.select(*schemas.names(schemas.BAR_EVENTS)), root, 5, "source", "ticker")
+    stream = market.parquet_stream(spark, path, schemas.BAR_EVENTS, files_per_batch=1)
     _drain(market.start_each_batch(stream, market.vote_touched(lake), f"{root}/checkpoint"))
     return lake.read("bars_daily").filter("is_current").select(
         "ticker", "bar_date", "close", "grade", "single_source"

@@ -6,9 +6,12 @@ arguments. `rebuild` runs the same steps on an empty table root over the same ev
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pitlake import schemas
 from pitlake.operators import (
     adjust, deadletters, gaps, history, listings, outliers, quotes, sectors, serving, spreads,
     voting, worklists,
@@ -26,6 +29,8 @@ SCREENED = ", ".join(
      "volume_agrees boolean, mad_flag boolean"]
 )
 PROCESSED = "dataset string, request_key string, processed_at timestamp"
+FOLDED = "lot string"
+PROJECTED = "name string, version int"
 REJECTS = "landing_key string, error_class string, detail string"
 
 
@@ -98,17 +103,54 @@ def _append_adjusted(lake: Lake, rows: DataFrame, source: str, now: Column) -> b
 def vote_and_seal(lake: Lake, now: Column) -> dict[str, int]:
     """Vote over the latest observations and merge the outcome into canonical history.
 
-    The vote is stored once: history, audit table and dead letters all read it from there.
+    Only event lots that no earlier seal has folded in are read; an empty table root has folded none, so there
+    this is the replay. `unchanged` counts every voted key that opened no version.
     """
-    stored = events.scan(lake.spark, lake.events_root, "bar_events")
-    screened = lake.write(
-        "screened", outliers.mad_screen(voting.vote_pivot(voting.latest_pivot(stored))), SCREENED
-    )
+    folded = lake.read("folded_lots", FOLDED)
+    fresh = [r.lot for r in events.lots(lake.spark, lake.events_root, "bar_events").join(folded, "lot", "left_anti").collect()]
+    counts = seal_observations(lake, events.scan_lots(lake.spark, lake.events_root, "bar_events", fresh), now)
+    mark_folded(lake, fresh)
+    return {**counts, "unchanged": lake.read("vote_results").count() - counts["inserted"]}
+
+
+def mark_folded(lake: Lake, lots: list[str]) -> None:
+    if lots:
+        lake.write("folded_lots", lake.spark.createDataFrame([(x,) for x in lots], FOLDED), FOLDED)
+
+
+def seal_observations(lake: Lake, arrived: DataFrame, now: Column) -> dict[str, int]:
+    """Fold bar events into the latest observations, vote the tickers they touch again, merge what changed.
+
+    `latest_observations` holds the newest row per (source, ticker, bar_date), stored by bucket of the ticker:
+    only the buckets of `arrived` are read and replaced. The screen looks at a ticker's whole history, so tickers
+    are the unit of the vote; `beliefs` has what was merged last, so only other outcomes reach the merge, and
+    only their months are read there. The same events again change nothing, after a broken run too: beliefs
+    are stored after the merge, and a version merged already is a no-op.
+    """
+    daily_rows = voting.daily_events(arrived).select(*schemas.names(schemas.LATEST_OBSERVATIONS))
+    part = events.bucket_of(F.col("ticker"))
+    buckets = [str(r.part) for r in daily_rows.select(part.alias("part")).distinct().collect()]
+    if not buckets:
+        return {"revised": 0, "inserted": 0}
+    touched = daily_rows.select("ticker").distinct()
+    known = lake.read_parts("latest_observations", buckets)
+    newest = voting.latest_observation(known.unionByName(daily_rows))
+    lake.write_parts("latest_observations", newest, part, buckets)
+    observed = lake.read_parts("latest_observations", buckets).join(touched, "ticker", "left_semi")
+    # the vote is stored once: history, audit table and dead letters all read it from there
+    screened = lake.write("screened", outliers.mad_screen(voting.vote_pivot(voting.source_pivot(observed))), SCREENED)
     beliefs = history.stamp_bars(screened.select(*history.BAR_KEY, *history.BAR_VALUES))
-    counts = lake.merge("bars_daily", beliefs, now)
-    lake.write("vote_results", voting.vote_audit(screened, now))
+    held = lake.read_parts("beliefs", buckets)
+    counts = lake.merge("bars_daily", beliefs.join(held, [*history.BAR_KEY, "payload_hash"], "left_anti"), now)
+
+    def replace(name: str, rows: DataFrame) -> None:
+        others = lake.read_parts(name, buckets).join(touched, "ticker", "left_anti")
+        lake.write_parts(name, others.unionByName(rows.select(*others.columns)), part, buckets)
+
+    replace("beliefs", beliefs)
+    replace("vote_results", voting.vote_audit(screened, now))
     add_letters(lake, deadletters.conflict_letters(screened, lake.read("dead_letter"), now))
-    return counts
+    return {k: counts[k] for k in ("revised", "inserted")}
 
 
 def load_snapshots(lake: Lake, payloads: DataFrame, now: Column) -> DataFrame:
@@ -156,7 +198,7 @@ def intraday_seal(
     bars = accept(lake, minute_parsed, "intraday_seal", now).withColumns(
         {"source": F.lit("yfinance"), "knowledge_time": F.col("minute_ts")}
     )
-    minutes = lake.write(
+    lake.write(
         "bars_minute",
         worklists.first_writer_wins(
             lake.read("bars_minute"), bars, ["ticker", "minute_ts"], ["landing_key"]
@@ -169,11 +211,12 @@ def intraday_seal(
     ticks = minute.quote_rows(new_quotes, rejects).withColumn(
         "session_date", F.substring_index("landing_key", ":", -1).try_cast("date")
     )
-    quoted = quotes.quote_bars(ticks, sessions).withColumn("knowledge_time", F.col("minute_ts"))
-    quote_store = lake.write(
+    quoted = quotes.session_quote_bars(ticks, sessions, 60).withColumn("knowledge_time", F.col("minute_ts"))
+    # payloads of a name land session by session: of two bars for a minute the earlier session's stands
+    lake.write(
         "quote_bars_1m",
         worklists.first_writer_wins(
-            lake.read("quote_bars_1m"), quoted, ["ticker", "minute_ts"], ["n_quotes"]
+            lake.read("quote_bars_1m"), quoted, ["ticker", "minute_ts"], ["session_date"]
         ),
     )
     # a rejected payload stays unmarked: a later parser gets to see it again
@@ -183,8 +226,40 @@ def intraday_seal(
         .join(bad, "landing_key", "left_anti").select(*done)
     )
     lake.write("intraday_processed", worklists.mark_processed(seen, now), PROCESSED)
-    spread = spreads.corwin_schultz(spreads.spread_inputs(lake.read("bars_daily")))
-    lake.write("serving_intraday", spreads.hybrid_intraday(minutes, quote_store, spread))
+    project_intraday(lake)
+
+
+def project_intraday(lake: Lake) -> list[str]:
+    """Bring `serving_intraday` up to date: only sessions whose inputs changed since the last time are projected.
+
+    These are the exchange dates of minutes and quotes in versions not projected yet, and of daily spreads that
+    differ from those used then. A late quote, minute or revised bar so replaces its own sessions.
+    """
+    day = F.from_utc_timestamp("minute_ts", "America/New_York").cast("date")
+    spreads_now = spreads.corwin_schultz(spreads.spread_inputs(lake.read("bars_daily")))
+    used = lake.read("cs_spreads")
+    changed = spreads_now.select("ticker", "bar_date", "cs_spread").exceptAll(used).unionByName(
+        used.exceptAll(spreads_now.select("ticker", "bar_date", "cs_spread"))
+    )
+    done = lake.read("projected_versions", PROJECTED).groupBy("name").agg(F.max("version").alias("version"))
+    since = {r.name: r.version for r in done.collect()}
+    upto = {name: lake.version(name) for name in ("bars_minute", "quote_bars_1m")}
+    arrived = [lake.added(name, since.get(name, 0)).select(day.alias("day")) for name in upto]
+    # dates come to the driver: at most the calendar's
+    dates = sorted({r.day for r in arrived[0].unionByName(arrived[1]).unionByName(
+        changed.select(F.col("bar_date").alias("day"))
+    ).distinct().collect() if r.day is not None})
+    if dates:
+        start, end = (F.to_utc_timestamp(F.lit(x).cast("timestamp_ntz"), "America/New_York") for x in (dates[0], dates[-1] + timedelta(days=1)))
+        # the span as literals reaches the scans; which of its days are meant is decided per row
+        within = (F.col("minute_ts") >= start) & (F.col("minute_ts") < end) & day.isin(dates)
+        hybrid = spreads.hybrid_intraday(
+            lake.read("bars_minute").filter(within), lake.read("quote_bars_1m").filter(within), spreads_now
+        )
+        lake.write_parts("serving_intraday", hybrid, day, [x.isoformat() for x in dates])
+    lake.write("cs_spreads", spreads_now) if dates else None
+    lake.write("projected_versions", lake.spark.createDataFrame(list(upto.items()), PROJECTED), PROJECTED)
+    return [x.isoformat() for x in dates]
 
 
 def sector_seal(lake: Lake, submissions: DataFrame, now: Column) -> None:

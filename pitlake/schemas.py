@@ -83,6 +83,14 @@ MARKET_SESSIONS = (
 )
 SOURCE_HEALTH = "source string, state string"
 
+# Maintained by the incremental vote, by bucket of the ticker.
+LATEST_OBSERVATIONS = (
+    "source string, ticker string, interval string, bar_date date, open double, high double, low double, "
+    "close double, volume double, knowledge_time timestamp, written_at timestamp, payload_hash string"
+)
+BELIEFS = "ticker string, bar_date date, payload_hash string"
+CS_SPREADS = "ticker string, bar_date date, cs_spread double"
+
 EVENT_TABLES = {"bar_events": BAR_EVENTS, "action_events": ACTION_EVENTS}
 CANONICAL_TABLES = {
     "bars_daily": BARS_DAILY,
@@ -101,6 +109,9 @@ CANONICAL_TABLES = {
     "dead_letter": DEAD_LETTER,
     "market_sessions": MARKET_SESSIONS,
     "source_health": SOURCE_HEALTH,
+    "latest_observations": LATEST_OBSERVATIONS,
+    "beliefs": BELIEFS,
+    "cs_spreads": CS_SPREADS,
 }
 
 # Frozen serving shapes: additive-only, never renamed or retyped.

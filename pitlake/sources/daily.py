@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pitlake.functions.clocks import exchange_date
 from pitlake.functions.numeric import any_of
-from pitlake.sources.drift import Parsed, first_problem, judge
+from pitlake.sources.drift import Parsed, first_problem, once, split_payloads
 from pitlake.sources.frames import parse_frames
 
 PRICE_COLUMNS = ("Open", "High", "Low", "Close")
@@ -46,41 +46,36 @@ def parse_csv_bars(payloads: DataFrame) -> Parsed:
     names = (*CSV_REQUIRED, "Volume")
     head = F.transform(cells_of(first_line(F.col("text"))), F.trim)
     missing = F.array_join(F.array_except(F.array(*[F.lit(c) for c in CSV_REQUIRED]), head), ",")
-    # what is known per payload is settled in a projection of its own, below the generator
+    # what is known per payload is settled in a projection of its own
     headed = payloads.select(
         "landing_key", F.upper("ticker").alias("ticker"), missing.alias("missing"),
         *[F.array_position(head, c).alias(f"at_{c}") for c in names],
         F.split(F.ltrim("text"), r"\r?\n").alias("lines"),
     )
-    lines = headed.select(
-        "landing_key", "ticker", "missing", *[f"at_{c}" for c in names],
-        F.posexplode("lines").alias("pos", "line"),
-    )
-    # a generator of one row: its cells are never evaluated twice, whatever is filtered later
-    cells = F.struct(*[cell(cells_of(F.col("line")), F.col(f"at_{c}")).alias(f"raw_{c}") for c in names])
-    raw = lines.select(
-        "landing_key", "ticker", "missing",
-        ((F.col("pos") > 0) & (F.trim("line") != "")).alias("data"),
-        F.inline(F.array(cells)),
-    )
-    typed = {c: F.col(f"raw_{c}").try_cast("date" if c == "Date" else "double") for c in names}
-    unreadable = any_of(*[F.col(f"raw_{c}").isNotNull() & typed[c].isNull() for c in names])
-    rows = raw.select(
+
+    def typed(cells: Column) -> Column:
+        raw = {c: cell(cells, F.col(f"at_{c}")) for c in names}
+        value = {c: raw[c].try_cast("date" if c == "Date" else "double") for c in names}
+        return F.struct(
+            any_of(*[raw[c].isNotNull() & value[c].isNull() for c in names]).alias("bad"),
+            value["Date"].alias("bar_date"), *[value[c].alias(c.lower()) for c in (*PRICE_COLUMNS, "Volume")],
+        )
+
+    data = F.filter(F.slice("lines", F.lit(2), F.size("lines")), lambda line: F.trim(line) != "")
+    rows = headed.select(
         "landing_key", "ticker", "missing",
-        (F.col("data") & unreadable).alias("bad"),
-        typed["Date"].alias("bar_date"),
-        *[typed[c].alias(c.lower()) for c in (*PRICE_COLUMNS, "Volume")],
-        (F.col("data") & typed["Date"].isNotNull() & typed["Close"].isNotNull()).alias("kept"),
+        once(F.transform(data, lambda line: F.transform(F.array(cells_of(line)), typed)[0])).alias("rows"),
     )
-    parsed = judge(
-        rows,
-        first_problem(
-            (F.max("missing") != "", F.concat(F.lit("missing columns "), F.max("missing"))),
-            (F.bool_or("bad"), "CSV unparseable: bad value"),
-            (F.count_if("kept") == 0, "parsed to zero rows"),
-        ),
+
+    def kept(row: Column) -> Column:
+        return row["bar_date"].isNotNull() & row["close"].isNotNull()
+
+    problem = first_problem(
+        (F.col("missing") != "", F.concat(F.lit("missing columns "), F.col("missing"))),
+        (F.exists("rows", lambda r: r["bad"]), "CSV unparseable: bad value"),
+        (~F.exists("rows", kept), "parsed to zero rows"),
     )
-    return Parsed(parsed.good.filter("kept").select(*BAR), parsed.rejects)
+    return split_payloads(rows, problem, F.filter("rows", kept), BAR)
 
 
 def parse_json_bars(payloads: DataFrame) -> Parsed:
@@ -98,28 +93,26 @@ def parse_json_bars(payloads: DataFrame) -> Parsed:
         (~F.array_contains(keys, "bars")).alias("no_bars"),
         body["bars"].alias("bars"),
     )
-    bars = opened.select(
-        "landing_key", "ticker", "not_json", "no_bars", F.explode_outer("bars").alias("b")
-    )
-    at = F.col("b.t").try_cast("timestamp")
-    values = {name: F.col(f"b.{key}").try_cast("double") for key, name in fields.items()}
-    unreadable = any_of(at.isNull(), *[v.isNull() for v in values.values()])
-    rows = bars.select(
-        "landing_key", "ticker", "not_json", "no_bars",
-        F.col("b").isNotNull().alias("data"),
-        exchange_date(at).alias("bar_date"),
-        *[v.alias(n) for n, v in values.items()],
-        (F.col("b").isNotNull() & unreadable).alias("bad"),
+
+    def typed(b: Column) -> Column:
+        at = b["t"].try_cast("timestamp")
+        values = {name: b[key].try_cast("double") for key, name in fields.items()}
+        return F.struct(
+            any_of(at.isNull(), *[v.isNull() for v in values.values()]).alias("bad"),
+            exchange_date(at).alias("bar_date"), *[v.alias(n) for n, v in values.items()],
+        )
+
+    # a null among the bars is no bar
+    listed = F.filter(F.coalesce("bars", F.array().cast(opened.schema["bars"].dataType)), lambda b: b.isNotNull())
+    rows = opened.select(
+        "landing_key", "ticker", "not_json", "no_bars", once(F.transform(listed, typed)).alias("rows")
     )
-    parsed = judge(
-        rows,
-        first_problem(
-            (F.bool_or("not_json"), "daily payload not JSON"),
-            (F.bool_or("no_bars"), "daily payload missing 'bars'"),
-            (F.bool_or("bad"), "malformed bar row"),
-        ),
+    problem = first_problem(
+        (F.col("not_json"), "daily payload not JSON"),
+        (F.col("no_bars"), "daily payload missing 'bars'"),
+        (F.exists("rows", lambda r: r["bad"]), "malformed bar row"),
     )
-    return Parsed(parsed.good.filter("data").select(*BAR), parsed.rejects)
+    return split_payloads(rows, problem, F.col("rows"), BAR)
 
 
 DAILY_FRAME = {

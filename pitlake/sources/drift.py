@@ -40,6 +40,28 @@ def split_parsed(rows: DataFrame, problem: str = "problem") -> Parsed:
     return Parsed(rows.filter(F.col(problem).isNull()).drop(problem), rejects)
 
 
+def once(value: Column) -> Column:
+    """`value` through a generator of one row: the optimizer never repeats it, however often it is named."""
+    return F.explode(F.array(value))
+
+
+def split_payloads(payloads: DataFrame, problem: Column, rows: Column, columns: list[str]) -> Parsed:
+    """Payloads with their rows as an array: the verdict is in the row, so no aggregate and no join is needed.
+
+    `problem` is a text, null when the payload fits; `rows` are those that count, of which `columns` (beside
+    landing_key and ticker, which are the payload's) are given out.
+    """
+    judged = payloads.withColumn("problem", problem)
+    own = [c for c in columns if c in ("landing_key", "ticker")]
+    good = judged.filter("problem IS NULL").select(*own, F.explode(rows).alias("row"))
+    return Parsed(
+        good.select(*[F.col(c) if c in own else F.col(f"row.{c}").alias(c) for c in columns]),
+        judged.filter("problem IS NOT NULL").select(
+            "landing_key", F.lit(SCHEMA_DRIFT).alias("error_class"), F.col("problem").alias("detail")
+        ),
+    )
+
+
 def judge(rows: DataFrame, problem: Column) -> Parsed:
     """Reject payloads by an aggregate over their rows.
 

@@ -7,15 +7,17 @@ operator, so stream and batch agree by construction.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from pitlake import schemas
-from pitlake.operators import history, outliers, voting, worklists
+from pitlake.operators import worklists
 from pitlake.operators.quotes import bucket_of, session_quote_bars, two_sided
+from pitlake.plans import nightly
 from pitlake.plans.lake import Lake
 from pitlake.sources import events
 
@@ -71,26 +73,27 @@ def first_minutes(minutes: DataFrame, delay: str = "1 day") -> DataFrame:
 def vote_touched(lake: Lake) -> Callable[[DataFrame, int], None]:
     """A `foreachBatch` body: store bar events, then re-vote the tickers of the batch and merge.
 
-    The screen looks at a ticker's whole history, so tickers are the unit of recomputation. Re-running
-    a batch changes nothing: events already stored are skipped and unchanged keys are no-ops.
+    The batch's buckets, as literals, limit what is read of the event store (to see which events it has) and
+    of the latest observations. Re-running a batch changes nothing: its lot is named by the batch id, events
+    already stored are skipped, and folding the same observations in again is a no-op.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        stored = events.scan(spark, lake.events_root, "bar_events")
+        spark, root = batch.sparkSession, lake.events_root
+        brought = batch.agg(
+            F.collect_set(events.bucket_of(F.col("ticker"))).alias("buckets"), F.max("written_at").alias("detected")
+        ).first()
+        if brought.detected is None:
+            return
+        stored = events.scan(spark, root, "bar_events", brought.buckets)
         identity = ["source", "ticker", "bar_date", "interval", "written_at", "payload_hash"]
-        fresh = batch.join(stored.select(*identity), identity, "left_anti")
-        events.append(lake.events_root, "bar_events", fresh)
-        touched = batch.select("ticker").distinct()
-        history_rows = events.scan(spark, lake.events_root, "bar_events").join(
-            touched, "ticker", "left_semi"
-        )
-        screened = outliers.mad_screen(voting.vote_pivot(voting.latest_pivot(history_rows)))
-        beliefs = history.stamp_bars(screened.select(*history.BAR_KEY, *history.BAR_VALUES))
+        lot = f"stream-{batch_id}"
+        # a lot of this name is from an earlier try of the batch: it stays as it is
+        if events.lots(spark, root, "bar_events").filter(F.col("lot") == lot).isEmpty():
+            events.append(root, "bar_events", batch.join(stored.select(*identity), identity, "left_anti"), lot)
         # detection time: the newest write among what the batch brought
-        detected = batch.agg(F.max("written_at")).first()[0]
-        if detected is not None:
-            lake.merge("bars_daily", beliefs, F.lit(detected))
+        nightly.seal_observations(lake, batch, F.lit(brought.detected))
+        nightly.mark_folded(lake, [lot])
 
     return run
 
@@ -99,29 +102,42 @@ TICKS = "ticker string, session_date date, ts timestamp, pos bigint, bid double,
 LIVE_BARS = schemas.QUOTE_BARS + ", session_date date"
 
 
+def _store_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Rows under (session_date, batch): a retried batch replaces its own folders and no others."""
+    rows.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "session_date", "batch"
+    ).parquet(path)
+
+
+def stored_batches(spark: SparkSession, path: str, ddl: str, dates: Sequence[date] | None = None) -> DataFrame:
+    """What `_store_batch` has kept, of the sessions named if any, with the batch that brought it."""
+    rows = spark.read.schema(schemas.struct(ddl + ", batch bigint")).parquet(path)
+    return rows if dates is None else rows.filter(F.col("session_date").isin(list(dates)))
+
+
 def weighted_touched(
     lake: Lake, sessions: DataFrame, bucket_seconds: int = 60
 ) -> Callable[[DataFrame, int], None]:
     """A `foreachBatch` body keeping time-weighted quote bars (`live_quote_bars`) right.
 
     A tick changes its own bucket and, as a session's new last quote, the bucket that was last before.
-    Only those buckets are recomputed from the stored ticks and replaced.
+    Only those buckets are recomputed from the stored ticks. Ticks and bars lie by session: the sessions of a
+    batch (at most the calendar's) are literals, so no other session is read, and only theirs are replaced.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         path = f"{lake.root}/ticks"
-        # the batch id names the directory: a retried batch replaces itself
-        batch.select(*schemas.names(TICKS)).write.mode("overwrite").partitionBy(
-            "session_date"
-        ).parquet(f"{path}/batch={batch_id}")
-        spark = batch.sparkSession
-        ticks = spark.read.schema(schemas.struct(TICKS + ", batch bigint")).parquet(path).withColumn(
-            "minute_ts", bucket_of(F.col("ts"), bucket_seconds)
-        )
+        _store_batch(batch.select(*schemas.names(TICKS)), path, batch_id)
+        dates = [r.session_date for r in batch.select("session_date").distinct().collect() if r.session_date is not None]
+        if not dates:
+            return
+        parts = [x.isoformat() for x in dates]
+        minute = bucket_of(F.col("ts"), bucket_seconds)
+        ticks = stored_batches(batch.sparkSession, path, TICKS, dates).withColumn("minute_ts", minute)
         bucket = ["ticker", "session_date", "minute_ts"]
         name = bucket[:2]
-        stored = lake.read("live_quote_bars", LIVE_BARS)
-        arrived = batch.withColumn("minute_ts", bucket_of(F.col("ts"), bucket_seconds)).select(*bucket)
+        stored = lake.read_parts("live_quote_bars", parts, LIVE_BARS)
+        arrived = batch.withColumn("minute_ts", minute).select(*bucket)
         was_last = (
             stored.join(arrived, name, "left_semi").groupBy(*name).agg(F.max("minute_ts").alias("minute_ts"))
         )
@@ -130,11 +146,74 @@ def weighted_touched(
             ticks.join(touched, bucket, "left_semi"), sessions, bucket_seconds
         ).withColumn("knowledge_time", F.col("minute_ts"))
         kept = stored.join(touched, bucket, "left_anti")
-        lake.write("live_quote_bars", kept.unionByName(bars.select(*kept.columns)), LIVE_BARS)
+        lake.write_parts(
+            "live_quote_bars", kept.unionByName(bars.select(*kept.columns)), F.col("session_date"), parts, LIVE_BARS
+        )
+
+    return run
+
+
+BUCKET_PARTIALS = (
+    "ticker string, minute_ts timestamp, last_ts timestamp, last_pos bigint, bid_close double, ask_close double, "
+    "n_quotes bigint, session_date date"
+)
+
+
+def bucket_partials(lake: Lake, name: str = "bucket_partials", width: str = "1 minute") -> Callable[[DataFrame, int], None]:
+    """A `foreachBatch` body: what each batch says about each bucket, beside what earlier batches said.
+
+    No watermark and so no tick that is too late: `merged_buckets` puts the batches' partial results
+    together, whatever order the ticks came in, for buckets that are still open too. Each batch
+    writes as many rows as it touches buckets, and replaces them when it is retried.
+    """
+    order = F.struct("ts", "pos")
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        partial = (
+            two_sided(batch).groupBy("ticker", F.window("ts", width)["start"].alias("minute_ts")).agg(
+                F.max_by(F.struct("ts", "pos", "bid", "ask"), order).alias("last"), F.count("*").alias("n_quotes")
+            )
+        )
+        _store_batch(partial.select(
+            "ticker", "minute_ts", F.col("last.ts").alias("last_ts"), F.col("last.pos").alias("last_pos"),
+            F.col("last.bid").alias("bid_close"), F.col("last.ask").alias("ask_close"), "n_quotes",
+            F.to_date("minute_ts").alias("session_date"),
+        ), f"{lake.root}/{name}", batch_id)
+
+    return run
+
+
+def merged_buckets(lake: Lake, name: str = "bucket_partials", dates: Sequence[date] | None = None) -> DataFrame:
+    """Last bid/ask and quote count per bucket from all that came so far: the batch operator's answer."""
+    order = F.struct("last_ts", "last_pos")
+    return stored_batches(lake.spark, f"{lake.root}/{name}", BUCKET_PARTIALS, dates).groupBy("ticker", "minute_ts").agg(
+        F.max_by("bid_close", order).alias("bid_close"), F.max_by("ask_close", order).alias("ask_close"),
+        F.sum("n_quotes").cast("int").alias("n_quotes"),
+    )
+
+
+def minute_partials(lake: Lake, order: Sequence[str], name: str = "minute_partials") -> Callable[[DataFrame, int], None]:
+    """A `foreachBatch` body for minute bars of which the first to come counts, however late.
+
+    Within a batch the first under `order` (landing order) is kept, across batches the earliest batch's.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        row = F.struct(*batch.columns)
+        first = batch.groupBy("ticker", "minute_ts").agg(F.min_by(row, F.struct(*order)).alias("row")).select("row.*")
+        _store_batch(first.withColumn("session_date", F.to_date("minute_ts")), f"{lake.root}/{name}", batch_id)
 
     return run
 
 
+def merged_minutes(lake: Lake, ddl: str, name: str = "minute_partials", dates: Sequence[date] | None = None) -> DataFrame:
+    """The first writer's row per (ticker, minute) of all that came so far."""
+    rows = stored_batches(lake.spark, f"{lake.root}/{name}", ddl + ", session_date date", dates)
+    return rows.groupBy("ticker", "minute_ts").agg(
+        F.min_by(F.struct(*schemas.names(ddl)), "batch").alias("row")
+    ).select("row.*")
+
+
 def append_minutes(lake: Lake) -> Callable[[DataFrame, int], None]:
     """A `foreachBatch` body: first-writer-wins append to the stored minute bars."""
 
