@@ -11,10 +11,14 @@ What keeps it small:
 
 * Words travel as 64-bit hashes of language and word. The dictionary (language, word, hash, count) tells them
   apart again; words whose hashes clash are found there and hashed anew.
+* A phrase that occurs often has no rare part, so a window is padded from the first pair of neighbours that is
+  rare, and one that begins with such a pair is left out. Which pairs are frequent is counted first, on one
+  hash per pair. They go to the tasks as a filter of fixed size (FILTER_BITS); the fuller it is, the more
+  rare pairs it lets through, and never does it stop a frequent one.
 * Windows are counted chunk by chunk before they are shuffled (numpy and Arrow over the hashes of a chunk of
-  bounded size), and sorted so that equal beginnings compress.
-* A phrase that occurs often has no rare part. Windows are dealt out by their first two words, so counts of
-  all prefixes are at hand before the ROLLUP; behind the last prefix that is frequent a window is padded.
+  bounded size).
+* Windows are dealt out by their first two words, so exact counts of
+  all prefixes are at hand before the ROLLUP; behind the last prefix that is frequent a window is padded again.
 * A first pair that many windows share would meet in one task. Prefixes above a share of the windows are
   looked for in a sample; windows of such a pair are dealt out by three words, of such a triple by four (equal
   windows are one row a chunk by then). These prefixes are frequent, so no local count is needed to keep
@@ -29,11 +33,12 @@ the result is unique. Columns other than the two named ones are not read. An emp
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,7 +59,9 @@ TOP = 2000
 HOT_SHARE = 5000
 HOT_DOCS = 20_000
 #: Words whose windows are counted together in a task.
-CHUNK = 4_000_000
+CHUNK = 1_000_000
+#: Bits of the filter of frequent pairs: 16 MB in the driver and in every task.
+FILTER_BITS = 1 << 27
 #: Clashing hashes are some n * n / 2**65 of n words; far more would mean that something else is wrong.
 MAX_CLASHES = 10_000
 
@@ -99,47 +106,92 @@ def dictionary(rows: DataFrame) -> tuple[DataFrame, list[tuple[str, str]]]:
     return known.withColumn("code", code(F.col("lang"), F.col("word"), clashing)), clashing
 
 
-def counted_chunk(codes: np.ndarray) -> pa.Table:
-    """(w1..w4, n) of the windows in `codes`, where PAD stands between pieces; last words of pieces are left out."""
-    padded = np.concatenate([codes, np.zeros(LONGEST - 1, np.int64)])
+def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    mixed = (first.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + second.view(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
+    return mixed ^ (mixed >> np.uint64(31))
+
+
+def _lead(codes: np.ndarray) -> list[np.ndarray]:
+    """The lead columns of `codes`, where PAD stands between pieces: windows of two words and more."""
+    padded = np.concatenate([codes, np.full(LONGEST - 1, PAD, np.int64)])
     lead = [padded[k : k + len(codes)] for k in range(LONGEST)]
     begins = (lead[0] != PAD) & (lead[1] != PAD)
+    return [w[begins] for w in lead]
+
+
+def counted_pairs(codes: np.ndarray) -> pa.Table:
+    """(h, n) of the pairs of neighbours in `codes`."""
+    first, second, *_ = _lead(codes)
+    h, n = np.unique(pair_hashes(first, second), return_counts=True)
+    return pa.table({"h": h.view(np.int64), "n": n})
+
+
+def counted_windows(codes: np.ndarray, frequent: np.ndarray | None = None) -> pa.Table:
+    """(w1..w4, n) of the windows in `codes`, padded where a pair of neighbours is not in the filter `frequent`."""
+    lead = _lead(codes)
+
+    def often(k: int) -> np.ndarray:
+        if frequent is None:
+            return np.ones(len(lead[0]), bool)
+        at = pair_hashes(lead[k], lead[k + 1]) & np.uint64(64 * len(frequent) - 1)
+        return (frequent[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+    begins = often(0)
     lead = [w[begins] for w in lead]
     for k in range(2, LONGEST):
-        lead[k] = np.where(lead[k - 1] == PAD, PAD, lead[k])
+        lead[k] = np.where((lead[k - 1] == PAD) | ~often(k - 1), PAD, lead[k])
     counts = pa.table(dict(zip(COLUMNS, lead))).group_by(COLUMNS).aggregate([([], "count_all")])
-    # windows that begin alike lie together, which the shuffle's compression makes use of
-    mixed = counts["w1"].to_numpy() * np.int64(31) + counts["w2"].to_numpy()
-    return counts.take(pa.array(np.argsort(mixed, kind="stable"))).rename_columns([*COLUMNS, "n"])
-
-
-def _count_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held, size = [], 0
-    for batch in batches:
-        for start in range(0, batch.num_rows, 64):  # a batch of long texts is more than a chunk
-            codes = batch.column(0).slice(start, 64).flatten().to_numpy(zero_copy_only=False)
-            held.append(codes)
-            size += len(codes)
-            if size >= CHUNK:
-                yield from counted_chunk(np.concatenate(held)).to_batches(max_chunksize=65_536)
-                held, size = [], 0
-    if held:
-        yield from counted_chunk(np.concatenate(held)).to_batches(max_chunksize=65_536)
-
-
-def windows(rows: DataFrame, clashing: list[tuple[str, str]] = ()) -> DataFrame:
-    """(w1..w4, n): the codes of words and of those after them in their piece, and how often a chunk has them."""
+    return counts.rename_columns([*COLUMNS, "n"])
+
+
+def _by_chunk(rows: DataFrame, clashing: list[tuple[str, str]], count: Callable[[np.ndarray], pa.Table], ddl: str) -> DataFrame:
+    """`count` of the codes of words, PAD between pieces, for chunks of about CHUNK of them."""
     pieces = F.transform(F.split("text", ENDS), lambda p: F.concat(
         F.transform(_words(p, BLANKS), lambda w: code(F.col("lang"), w, clashing)), F.array(F.lit(PAD).cast("long"))
     ))
-    return rows.select(F.flatten(pieces).alias("codes")).mapInArrow(_count_windows, COUNTED)
+    chunk = CHUNK
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for start in range(0, batch.num_rows, 64):  # a batch of long texts is more than a chunk
+                codes = batch.column(0).slice(start, 64).flatten().to_numpy(zero_copy_only=False)
+                held.append(codes)
+                size += len(codes)
+                if size >= chunk:
+                    yield from count(np.concatenate(held)).to_batches(max_chunksize=65_536)
+                    held, size = [], 0
+        if held:
+            yield from count(np.concatenate(held)).to_batches(max_chunksize=65_536)
+
+    return rows.select(F.flatten(pieces).alias("codes")).mapInArrow(run, ddl)
+
+
+def frequent_pairs(rows: DataFrame, clashing: list[tuple[str, str]] = (), min_count: int = MIN_COUNT) -> np.ndarray:
+    """The filter of pairs that occur `min_count` times, as words of 64 bits."""
+    counts = _by_chunk(rows, clashing, counted_pairs, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    at = F.col("h").bitwiseAND(F.lit(FILTER_BITS - 1))
+    bits = counts.filter(F.col("n") >= min_count).groupBy(F.shiftright(at, 6).cast("int").alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))).alias("bits")
+    )
+    held = staged(bits, "frequent-pairs").toArrow()  # at most FILTER_BITS / 64 rows
+    out = np.zeros(FILTER_BITS // 64, np.uint64)
+    out[held["word"].to_numpy()] = held["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def windows(rows: DataFrame, clashing: list[tuple[str, str]] = (), frequent: Broadcast | None = None) -> DataFrame:
+    """(w1..w4, n): the codes of words and of those after them in their piece, and how often a chunk has them."""
+    return _by_chunk(rows, clashing, lambda codes: counted_windows(codes, frequent and frequent.value), COUNTED)
 
 
-def hot_prefixes(rows: DataFrame, clashing: list[tuple[str, str]] = ()) -> list[list[int]]:
+def hot_prefixes(
+    rows: DataFrame, clashing: list[tuple[str, str]] = (), frequent: Broadcast | None = None
+) -> list[list[int]]:
     """For two and three words: hashes of the prefixes that many windows of a sample share."""
     n = rows.count()
     some = rows.sample(min(1.0, HOT_DOCS / n), seed=1) if n else rows
-    counted = windows(some, clashing).rollup(F.struct("w1", "w2").alias("pair"), "w3").agg(
+    counted = windows(some, clashing, frequent).rollup(F.struct("w1", "w2").alias("pair"), "w3").agg(
         F.sum("n").alias("n"), F.grouping_id().alias("level")
     )
     counted = staged(counted.filter(F.col("n") >= MIN_COUNT), "hot-prefixes")
@@ -154,9 +206,11 @@ def hot_prefixes(rows: DataFrame, clashing: list[tuple[str, str]] = ()) -> list[
 
 def phrases(rows: DataFrame, clashing: list[tuple[str, str]] = (), min_count: int = MIN_COUNT) -> DataFrame:
     """(words, f): the codes of every phrase of two to four words that occurs `min_count` times."""
-    hot = [F.lit(False) if not h else F.xxhash64(*COLUMNS[: k + 2]).isin(h) for k, h in enumerate(hot_prefixes(rows, clashing))]
+    frequent = rows.sparkSession.sparkContext.broadcast(frequent_pairs(rows, clashing, min_count))
+    found = hot_prefixes(rows, clashing, frequent)
+    hot = [F.lit(False) if not h else F.xxhash64(*COLUMNS[: k + 2]).isin(h) for k, h in enumerate(found)]
     place = F.xxhash64("w1", "w2", F.when(hot[0], F.col("w3")), F.when(hot[0] & hot[1], F.col("w4")))
-    dealt = windows(rows, clashing).repartition(place)
+    dealt = windows(rows, clashing, frequent).repartition(place)
     counted = dealt.withColumn("place", place).groupBy("place", *COLUMNS).agg(F.sum("n").alias("n"))
     by = Window.partitionBy
     counted = counted.select(

@@ -117,7 +117,19 @@ def test_empty_tables(spark):
 def test_windows_do_not_cross_pieces():
     import numpy as np
 
-    counted = co.counted_chunk(np.array([1, 2, 3, 0, 4, 0, 1, 2, 3, 9, 0, 1, 2, 3], np.int64)).to_pylist()
+    counted = co.counted_windows(np.array([1, 2, 3, 0, 4, 0, 1, 2, 3, 9, 0, 1, 2, 3], np.int64)).to_pylist()
     assert sorted(tuple(r.values()) for r in counted) == [
         (1, 2, 3, 0, 2), (1, 2, 3, 9, 1), (2, 3, 0, 0, 2), (2, 3, 9, 0, 1), (3, 9, 0, 0, 1),
     ]
+
+
+def test_a_full_filter_changes_nothing(spark, texts, monkeypatch):
+    """However many rare pairs the filter lets through, the phrases are the same."""
+    import numpy as np
+
+    monkeypatch.setattr(co, "frequent_pairs", lambda *a: np.full(co.FILTER_BITS // 64, 2**64 - 1, np.uint64))
+    assert got(co.report(table(spark, texts))) == brute(texts)
+    few = co.FILTER_BITS
+    monkeypatch.undo()
+    monkeypatch.setattr(co, "FILTER_BITS", 64)
+    assert few > 64 and got(co.report(table(spark, texts))) == brute(texts)
