@@ -39,16 +39,21 @@ def missing_sectors(universe: DataFrame, sectors: DataFrame, cik_map: DataFrame)
     )
 
 
-def landed_for_date(manifest: DataFrame, datasets: Sequence[str], trade_date: str) -> DataFrame:
+QUEUED = ("dataset", "request_key", "path")
+
+
+def landed_for_date(
+    manifest: DataFrame, datasets: Sequence[str], trade_date: str, columns: Sequence[str] = QUEUED
+) -> DataFrame:
     """The build queue of one trade date: request keys end in its ISO form."""
     return manifest.filter(
         F.col("dataset").isin(*datasets) & F.col("request_key").endswith(f":{trade_date}")
-    ).select("dataset", "request_key", "path")
+    ).select(*columns)
 
 
-def unprocessed(manifest: DataFrame, marks: DataFrame, dataset: str) -> DataFrame:
+def unprocessed(manifest: DataFrame, marks: DataFrame, dataset: str, columns: Sequence[str] = QUEUED) -> DataFrame:
     """Payloads of a dataset with no processing mark."""
-    queue = manifest.filter(F.col("dataset") == dataset).select("dataset", "request_key", "path")
+    queue = manifest.filter(F.col("dataset") == dataset).select(*columns)
     return queue.join(marks, ["dataset", "request_key"], "left_anti")
 
 

@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 
 from pitlake import schemas
 from pitlake.operators import (
-    adjust, deadletters, gaps, history, listings, outliers, quotes, sectors, serving, spreads,
+    adjust, deadletters, gaps, history, listings, outliers, parity, quotes, sectors, serving, spreads,
     voting, worklists,
 )
 from pitlake.plans.lake import Lake, publish
+from pitlake.plans.scratch import staged
 from pitlake.sources import actions as action_source
-from pitlake.sources import daily, edgar, events, minute
+from pitlake.sources import daily, edgar, events, landing, minute
+from pitlake.sources import parity as parity_source
 from pitlake.sources import listings as listing_source
 from pitlake.sources.drift import Parsed, drift_letters
 
@@ -46,6 +48,7 @@ def add_letters(lake: Lake, letters: DataFrame) -> None:
         & F.col("source").eqNullSafe(F.col("_source")),
         "left_anti",
     )
+    letters = staged(letters, "letters")
     if letters.isEmpty():
         return
     start = stored.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
@@ -269,6 +272,57 @@ def sector_seal(lake: Lake, submissions: DataFrame, now: Column) -> None:
     lake.write("sectors", sectors.sector_projection(rows, known, now))
 
 
+def parity_seal(lake: Lake, payloads: DataFrame, trade_date: str, now: Column) -> dict[str, int]:
+    """Score the trade date's sample of bars against the vendor's aggregates of them, in place of an earlier try.
+
+    A sampled bar without a payload that parsed is not scored; an aggregate without results is a breach.
+    """
+    theirs = accept(lake, parity_source.parse_parity(payloads), "parity_sample", now)
+    sample = parity.parity_sample(lake.read("bars_daily"), trade_date)
+    scored = parity.parity_scores(sample.join(theirs, ["ticker", "bar_date"], "left_semi"), theirs, trade_date)
+    stored = lake.write("parity_scores", parity.replace_sample(lake.read("parity_scores"), scored, trade_date))
+    counts = stored.filter(F.col("sample_date") == F.lit(trade_date).cast("date")).agg(
+        F.count_distinct("ticker", "bar_date").alias("bars_checked"), F.count_if(~F.col("within_tol")).alias("field_breaches")
+    )
+    return counts.first().asDict()
+
+
+def build_night(lake: Lake, root: str, manifest: DataFrame, trade_date: str, now: Column) -> DataFrame:
+    """Everything that landed for a trade date, from the manifest's queue, to events; rejects to dead letters.
+
+    The queue's dates name the folders that are opened, the manifest the keys. What the manifest and the folders
+    disagree on becomes a letter too. Returns the queue.
+    """
+    spark = lake.spark
+    builders = {
+        "polygon_splits": build_actions, "polygon_dividends": build_actions, "stooq_daily": build_csv_bars,
+        "yf_daily": build_frame_bars, "alpaca_daily": build_json_bars,
+    }
+    # actions first: vendor bars are made raw again by current splits
+    queue = staged(worklists.landed_for_date(manifest, list(builders), trade_date, landing.QUEUE), "queue")
+    present = {r.dataset for r in queue.select("dataset").distinct().collect()}
+    for dataset in [x for x in builders if x in present]:
+        add_letters(lake, drift_letters(landing.queue_rejects(spark, root, queue, dataset, manifest), "build_night", now))
+        scan = landing.queued_bytes if dataset == "yf_daily" else landing.queued_text
+        builders[dataset](lake, scan(spark, root, queue, dataset), now)
+    return queue
+
+
+def seal_intraday_night(
+    lake: Lake, root: str, manifest: DataFrame, sessions: DataFrame, now: Column,
+) -> None:
+    """`intraday_seal` over the payloads that the manifest has and no earlier seal has processed."""
+    marks = lake.read("intraday_processed", PROCESSED)
+
+    def queue(dataset: str) -> DataFrame:
+        return worklists.unprocessed(manifest, marks, dataset, landing.QUEUE)
+
+    intraday_seal(
+        lake, landing.queued_bytes(lake.spark, root, queue("minute_bars"), "minute_bars"),
+        landing.queued_records(lake.spark, root, queue("quote_ticks"), "quote_ticks"), sessions, now,
+    )
+
+
 def gap_ledger_seal(lake: Lake, universe: DataFrame, now: Column) -> None:
     metrics = gaps.gap_metrics(
         lake.read("serving_intraday"), lake.read("bars_daily"), lake.read("coverage_metrics"),

@@ -6,9 +6,13 @@ the content as text, bytes or, for tick files, one row per record.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitlake import schemas
 from pitlake.sources.drift import SCHEMA_DRIFT
 
 FILE_NAME = r"([^/]+)\.([0-9a-f]{16})\.([A-Za-z0-9.]+)$"
@@ -130,6 +134,109 @@ def scan_records(
     )
 
 
+def _is_there(spark: SparkSession, folder: str) -> bool:
+    """A folder that a manifest names may be gone; `queue_rejects` then tells its payloads."""
+    try:
+        spark.read.format("binaryFile").load(folder)
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
+QUEUE = ["dataset", "source", "request_key", "path", "partition_date"]
+
+
+def _queued(
+    spark: SparkSession, root: str, dataset: str, queue: DataFrame, read: Callable[[list[str], str], DataFrame], shape: str
+) -> DataFrame:
+    """The payloads of a work list, with what `read` gives of each, and the keys that the manifest has for them.
+
+    The partition dates of the work list (at most the calendar's) come to the driver and name the folders that
+    are listed and opened; others are not looked at. A payload is known by date, source and file name, so it
+    does not matter how either side spells its root. Nothing is guessed from a slug.
+    """
+    wanted = queue.filter(F.col("dataset") == dataset).select(
+        F.col("source").alias("_source"), "request_key", F.col("partition_date").alias("_date"),
+        F.substring_index("path", "/", -1).alias("_name"),
+    )
+    base = f"{root}/{dataset}"
+    days = sorted({str(r[0]) for r in wanted.select("_date").distinct().collect() if r[0] is not None})
+    held = [day for day in days if _is_there(spark, f"{base}/date={day}")]
+    files = (
+        read([f"{base}/date={day}" for day in held], base) if held
+        else schemas.empty(spark, f"path string, {shape}, date date, source string")
+    )
+    listed = files.withColumns({"source": F.col("source").cast("string"), "date": F.col("date").cast("date")})
+    named = listed.withColumn("_file", F.substring_index("path", "/", -1)).join(
+        wanted,
+        (F.col("_file") == F.col("_name")) & (F.col("source") == F.col("_source")) & (F.col("date") == F.col("_date")),
+        "left",
+    )
+    return named.withColumns({
+        "dataset": F.lit(dataset), "partition_date": F.col("date"),
+        "ticker": F.upper(F.split_part("request_key", F.lit(":"), F.lit(1))),
+        "landing_key": F.concat_ws(":", F.lit(dataset), "source", "request_key"),
+    }).drop("_file", "_name", "_source", "_date", "date")
+
+
+def queued_text(spark: SparkSession, root: str, queue: DataFrame, dataset: str) -> DataFrame:
+    """Whole texts of the payloads of a work list (QUEUE columns)."""
+    def read(paths: list[str], base: str) -> DataFrame:
+        files = spark.read.option("basePath", base).text(paths, wholetext=True)
+        return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"), "date", "source")
+
+    return _queued(spark, root, dataset, queue, read, "text string").filter("request_key IS NOT NULL")
+
+
+def queued_bytes(spark: SparkSession, root: str, queue: DataFrame, dataset: str) -> DataFrame:
+    """Raw bytes of the payloads of a work list."""
+    def read(paths: list[str], base: str) -> DataFrame:
+        files = spark.read.format("binaryFile").option("basePath", base).load(paths)
+        return files.select("path", "content", "date", "source")
+
+    return _queued(spark, root, dataset, queue, read, "content binary").filter("request_key IS NOT NULL")
+
+
+def queued_records(spark: SparkSession, root: str, queue: DataFrame, dataset: str) -> DataFrame:
+    """Record fragments of the tick payloads of a work list, as `scan_records` gives them."""
+    def read(paths: list[str], base: str) -> DataFrame:
+        files = spark.read.option("lineSep", "{").option("basePath", base).text(paths)
+        return files.select(
+            F.col("_metadata.file_path").alias("path"), F.col("value").alias("fragment"), _record_position().alias("pos"),
+            "date", "source",
+        )
+
+    return _queued(spark, root, dataset, queue, read, "fragment string, pos decimal(38,0)").filter("request_key IS NOT NULL")
+
+
+def queue_rejects(spark: SparkSession, root: str, queue: DataFrame, dataset: str, manifest: DataFrame) -> DataFrame:
+    """Rejects for what the folders of a work list and the manifest disagree on.
+
+    Payloads without content, files that no row of the manifest names, and rows whose file is not there.
+    Only names and sizes are read.
+    """
+    def read(paths: list[str], base: str) -> DataFrame:
+        files = spark.read.format("binaryFile").option("basePath", base).load(paths)
+        return files.select("path", "length", "date", "source")
+
+    days = queue.filter(F.col("dataset") == dataset).select("partition_date").distinct()
+    known = manifest.filter(F.col("dataset") == dataset).join(days, "partition_date", "left_semi")
+    files = _queued(spark, root, dataset, known.select(*QUEUE), read, "length bigint")
+    seen = files.filter("request_key IS NOT NULL").select("request_key", "source", "length")
+    held = known.join(seen, ["request_key", "source"], "left").select(
+        F.concat_ws(":", "dataset", "source", "request_key").alias("landing_key"),
+        F.when((F.col("n_bytes") == 0) | (F.col("length") == 0), "empty payload")
+        .when(F.col("length").isNull(), "payload is not where the manifest has it").alias("detail"),
+    ).filter("detail IS NOT NULL")
+    strangers = files.filter("request_key IS NULL").select(
+        F.concat_ws(":", F.lit(dataset), "source", F.concat(F.lit("file:"), F.substring_index("path", "/", -1))).alias("landing_key"),
+        F.concat(F.lit("payload without a manifest row: "), "path").alias("detail"),
+    )
+    return held.unionByName(strangers).select("landing_key", F.lit(SCHEMA_DRIFT).alias("error_class"), "detail")
+
+
 def empty_payloads(manifest: DataFrame) -> DataFrame:
     """Rejects for payloads landed without content."""
     return manifest.filter("n_bytes = 0").select(
@@ -163,12 +270,14 @@ def unlisted(payloads: DataFrame, manifest: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def build_manifest(spark: SparkSession, root: str, dataset: str, written_at: Column) -> DataFrame:
-    """The manifest of a dataset from its files: hash, size and knowledge time per payload.
+def build_manifest(
+    spark: SparkSession, root: str, dataset: str, written_at: Column, days: tuple[str, str] | None = None
+) -> DataFrame:
+    """The manifest of a dataset from its files (of some days): hash, size and knowledge time per payload.
 
     Knowledge time is the file's modification time: when the payload was pulled.
     """
-    return scan_bytes(spark, root, dataset).select(
+    return scan_bytes(spark, root, dataset, days).select(
         "dataset", "source", "request_key",
         F.sha2("content", 256).alias("payload_hash"),
         "path",
