@@ -245,6 +245,9 @@ LOOSE = 8
 FEWEST = 64
 #: Lists up to this size are paired in place.
 LISTED = 256
+#: Members of a longer list that are compared together, and shingles looked at at a time.
+BLOCK = 256
+COLUMNS = 8192
 #: Which shingles are frequent is told from about this many texts; frequent in so many of them.
 SAMPLED = 20_000
 FREQUENT = 8
@@ -398,6 +401,89 @@ def similar_pairs(pairs: DataFrame, nodes: DataFrame, words: int, share: Fractio
     return staged(ends(loose, "text").mapInArrow(similar, PAIR), "similar-pairs")
 
 
+def _overlaps(some: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
+    """Shingles that each set of `some` has in common with each of `others`."""
+    every, at = np.unique(np.concatenate([*some, *others]), return_inverse=True)
+    ends = np.cumsum([len(x) for x in (*some, *others)])
+    owner = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+    order = np.argsort(at, kind="stable")
+    at, owner = at[order], owner[order]
+    out = np.zeros((len(some), len(others)), np.float32)
+    for start in range(0, len(every), COLUMNS):
+        lo, hi = np.searchsorted(at, [start, start + COLUMNS])
+        held = np.zeros((len(ends), min(COLUMNS, len(every) - start)), np.float32)
+        held[owner[lo:hi], at[lo:hi] - start] = 1
+        out += held[: len(some)] @ held[len(some) :].T
+    return out.astype(np.int64)
+
+
+def similar_in_blocks(batches: Iterator[pa.RecordBatch], words: int, share: Fraction) -> Iterator[pa.RecordBatch]:
+    """From rows (list, left, right, side, node, root, text) sorted by block, the similar pairs of each block.
+
+    A block is one (list, left, right): its members of side 0 are compared with those of side 1 of other
+    components, by exact similarity. A row is put out only for a pair that is similar.
+    """
+    def compared(rows: list[tuple]) -> pa.RecordBatch | None:
+        some, others = ([r for r in rows if r[3] == side] for side in (0, 1))
+        if not some or not others:
+            return None
+        sets = [[r[6] for r in side] for side in (some, others)]
+        both = _overlaps(*sets)
+        n = [np.array([len(x) for x in side]) for side in sets]
+        enough = both * share.denominator >= (n[0][:, None] + n[1][None, :] - both) * share.numerator
+        node = [np.array([r[4] for r in side], np.int64) for side in (some, others)]
+        root = [np.array([r[5] for r in side], np.int64) for side in (some, others)]
+        one, two = np.nonzero(enough & (root[0][:, None] != root[1][None, :]))
+        a, b = node[0][one], node[1][two]
+        return _pairs(np.minimum(a, b), np.maximum(a, b)) if len(a) else None
+
+    held, key = [], None
+    for batch in chain(batches, [None]):
+        rows = iter([None]) if batch is None else (
+            (*head, shingle_set(text.as_py(), words))
+            for *head, text in zip(*(c.to_pylist() for c in batch.columns[:6]), batch.column(6), strict=True)
+        )
+        for r in rows:
+            if held and (r is None or r[:3] != key):
+                if (out := compared(held)) is not None:
+                    yield out
+                held = []
+            if r is not None:
+                key = r[:3]
+                held.append(r)
+
+
+def links_across(members: DataFrame, nodes: DataFrame, words: int, share: Fraction) -> DataFrame:
+    """Similar pairs (a < b) of members of one list that are in different components; stored.
+
+    members: (list, a, a_root). A pair of different components has a member outside the list's largest one. Lists are
+    cut into blocks of about BLOCK members, and blocks compared in place: texts travel once per block that they
+    meet, pairs not at all unless they are similar. So a long list of texts that are alike, but not enough,
+    costs its members times its blocks in rows.
+    """
+    sizes = members.groupBy("list", "a_root").agg(F.count("*").alias("size"))
+    lists = sizes.groupBy("list").agg(
+        F.max(F.struct("size", "a_root")).alias("most"), F.sum("size").alias("all"), F.count("*").alias("roots")
+    ).filter("roots > 1").select(
+        "list", F.col("most.a_root").alias("largest"),
+        F.ceil((F.col("all") - F.col("most.size")) / BLOCK).cast("int").alias("lefts"), F.ceil(F.col("all") / BLOCK).cast("int").alias("rights"),
+    )
+    told = members.join(staged(lists, "mixed-lists"), "list").join(nodes.select(F.col("node").alias("a"), "text"), "a")
+    at = F.xxhash64("a")
+    rows = told.filter("a_root <> largest").select(
+        "list", F.pmod(at, F.col("lefts")).cast("int").alias("left"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("right"),
+        F.lit(0).alias("side"), "a", "a_root", "text",
+    ).unionByName(told.select(
+        "list", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("left"), F.pmod(at, F.col("rights")).cast("int").alias("right"),
+        F.lit(1).alias("side"), "a", "a_root", "text",
+    ))
+    block = ["list", "left", "right"]
+    return staged(
+        rows.repartition(*block).sortWithinPartitions(*block).mapInArrow(lambda b: similar_in_blocks(b, words, share), PAIR).distinct(),
+        "links-across",
+    )
+
+
 def similar_groups(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8
 ) -> DataFrame:
@@ -409,7 +495,7 @@ def similar_groups(
     by one of a text's first shingles hold all pairs. All members of a list are paired; what a first round of
     comparisons, one per text, has brought into one component is not compared again, so a group of near copies
     costs about a comparison a text. Of a list too long to be paired in place, members outside its largest
-    component are paired with those of other components, by a join.
+    component are compared with those of other components block by block, and only similar pairs are written.
 
     Texts of one set are one node. Texts without a word are alike.
     """
@@ -459,21 +545,11 @@ def similar_groups(
         got = roots.select(F.col("of").alias(side), F.col("root").alias(f"{side}_root"))
         return df.join(got, side, "left").withColumn(f"{side}_root", F.coalesce(f"{side}_root", side))
 
-    members = staged(rooted(long.select("list", "a", "n", "at"), "a"), "members")
-    # pairs of different components have a member outside the list's largest one
-    sizes = members.groupBy("list", "a_root").agg(F.count("*").alias("size"))
-    largest = sizes.groupBy("list").agg(F.max(F.struct("size", "a_root"))["a_root"].alias("largest"))
-    outside = members.join(largest, "list").filter("a_root <> largest").drop("largest")
-    inside = members.select("list", *(F.col(c).alias(f"other_{c}") for c in ("a", "n", "at", "a_root")))
-    across = outside.join(inside, "list").filter(
-        (F.col("a_root") != F.col("other_a_root"))
-        & reachable(F.col("n"), F.col("at"), F.col("other_n"), F.col("other_at"), share)
-    ).select(
-        F.least("a", "other_a").alias("a"), F.greatest("a", "other_a").alias("b"),
-        F.col("a_root"), F.col("other_a_root").alias("b_root"),
+    members = staged(rooted(long.select("list", "a"), "a"), "members")
+    left = rooted(rooted(candidates, "a"), "b").filter("a_root <> b_root").select("a", "b").join(firsts, ["a", "b"], "left_anti")
+    labels = components(
+        links.unionByName(links_across(members, nodes, words, share)).unionByName(similar_pairs(left, nodes, words, share))
     )
-    left = rooted(rooted(candidates, "a"), "b").select("a", "b", "a_root", "b_root").unionByName(across).filter("a_root <> b_root").select("a", "b").distinct()
-    labels = components(links.unionByName(similar_pairs(left.join(firsts, ["a", "b"], "left_anti"), nodes, words, share)))
     labels = distinct.join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select(
         "digest", "least", F.coalesce("root", "node").alias("root")
     )

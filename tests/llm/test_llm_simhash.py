@@ -210,3 +210,32 @@ def test_all_members_of_a_list_are_paired():
         assert pairs == {(x[1], y[1]) for x in rows for y in rows if x[0] == y[0] and x[1] < y[1] and sizes[x[0]] <= 8}
         long = [(r["list"], r["a"], r["b"]) for r in found if r["list"] is not None]
         assert sorted(long) == [(x[0], x[1], 100 * x[0]) for x in rows if sizes[x[0]] > 8]
+
+
+def test_overlaps_of_sets_equal_counting_one_by_one(monkeypatch):
+    monkeypatch.setattr(simhash, "COLUMNS", 7)
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 60, n).astype("<u8")) for n in (1, 5, 40, 40, 90, 3)]
+    got = simhash._overlaps(sets[:2], sets[2:])
+    assert got.tolist() == [[len(set(a.tolist()) & set(b.tolist())) for b in sets[2:]] for a in sets[:2]]
+
+
+def test_a_long_list_of_texts_not_alike_enough_writes_no_pairs(spark, documents, monkeypatch):
+    """Texts of one template with a word changed each lie at 0.7: no links, and rows by member and block only."""
+    monkeypatch.setattr(simhash, "LISTED", 20)
+    monkeypatch.setattr(simhash, "BLOCK", 32)
+    template = [f"t{k}" for k in range(60)]
+    rows = []
+    for i in range(120):
+        words = list(template)
+        words[5 + i % 50] = f"own{i}"
+        rows.append((i, " ".join(words)))
+    rows += [(200 + i, rows[i][1] + " tail") for i in range(0, 120, 10)]
+    rows += [(300, " ".join(template))]
+    written = []
+    plain = simhash.staged
+    monkeypatch.setattr(simhash, "staged", lambda df, name: written.append((name, plain(df, name))) or written[-1][1])
+    got = {r.id: r.component for r in simhash.similar_groups(documents(rows)).collect()}
+    assert got == brute_similar(dict(rows))
+    pairs = {name: df.count() for name, df in written if name in ("candidates", "links-across", "loose-pairs")}
+    assert sum(pairs.values()) < 133 * 132 / 2 / 4  # of all pairs
