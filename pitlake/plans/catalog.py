@@ -614,10 +614,9 @@ def graveyard(spark, d):
     return _graveyard(spark, d).drop("reason_source", "first_seen")
 
 
-def _coverage(spark, d):
-    return listings.coverage(
-        graveyard_union(spark, d), fx.bars(spark, d), fx.snapshots(spark, d), fx.TRADE_DATE, now()
-    )
+def _coverage(spark, d, bars=None):
+    bars = fx.bars(spark, d) if bars is None else bars
+    return listings.coverage(graveyard_union(spark, d), bars, fx.snapshots(spark, d), fx.TRADE_DATE, now())
 
 
 @query(
@@ -764,9 +763,9 @@ def sector_projection(spark, d):
     return _sectors(spark, d).drop("updated_at")
 
 
-def _parity(spark, d):
-    bars = adjust.servable(fx.bars(spark, d))
-    return parity.parity_scores(bars, fx.parity_peer(spark, d), fx.TRADE_DATE)
+def _parity(spark, d, bars=None):
+    bars = fx.bars(spark, d) if bars is None else bars
+    return parity.parity_scores(adjust.servable(bars), fx.parity_peer(spark, d, bars), fx.TRADE_DATE)
 
 
 @query(f"SELECT '2002-01-31' AS sample_date, ticker, {day('bar_date')}, field, {rnd('ours', 'theirs', 'rel_diff')}, within_tol FROM parity", bools=("within_tol",))
@@ -823,10 +822,12 @@ def _universe(spark, d):
                  CASE WHEN count(*) FILTER (WHERE s_suppkey % 8 = 1) > 0 THEN 'warn' ELSE 'info' END FROM supplier)"""
 )
 def gap_ledger(spark, d):
+    # bars are derived once and read by three of the metrics
+    bars = staged(fx.bars(spark, d), "bars")
     metrics = gaps.gap_metrics(
-        _hybrid(spark, d), fx.bars(spark, d), _coverage(spark, d),
+        _hybrid(spark, d), bars, _coverage(spark, d, bars),
         graveyard_union(spark, d).withColumn("termination_reason", F.lit("unknown")),
-        _universe(spark, d), _sectors(spark, d), _parity(spark, d), _health(spark, d),
+        _universe(spark, d), _sectors(spark, d), _parity(spark, d, bars), _health(spark, d),
     )
     return gaps.gap_ledger(metrics, now()).drop("description", "updated_at")
 
@@ -876,6 +877,57 @@ def contract_coverage(spark, d):
     return contracts.check_coverage(_coverage(spark, d))
 
 
+@query(
+    """SELECT count(*) + count(*) FILTER (WHERE day(effective_date) = 1) AS n_rows, count(*) AS n_keys,
+         count(*) FILTER (WHERE day(effective_date) IN (2, 3)) AS bad_rows FROM pit"""
+)
+def contract_daily_broken(spark, d):
+    """The daily contract over a frame with repeated keys, missing closes and highs below lows."""
+    day_of = F.dayofmonth("effective_date")
+    served = adjust.pit_adjusted(fx.bars(spark, d), fx.actions(spark, d)).withColumns({
+        "close": F.when(day_of != 2, F.col("close")),
+        "high": F.when(day_of == 3, F.col("low")).otherwise(F.col("high")),
+        "low": F.when(day_of == 3, F.col("high")).otherwise(F.col("low")),
+    })
+    twice = F.explode(F.when(day_of == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return contracts.check_daily(served.withColumn("copy", twice).drop("copy"))
+
+
+@query(
+    """SELECT count(*) AS n_rows, count(DISTINCT (ticker, date_trunc('day', minute_ts))) AS n_keys,
+         count(*) FILTER (WHERE hour(minute_ts) = 15 AND ask > bid) AS crossed,
+         count(*) FILTER (WHERE hour(minute_ts) = 16) AS bad_derivation FROM hybrid"""
+)
+def contract_intraday_broken(spark, d):
+    """The intraday contract over minutes cut to days, sides swapped in one hour and a foreign tag in another."""
+    hour = F.hour("minute_ts")
+    broken = _hybrid(spark, d).withColumns({
+        "bid": F.when(hour == 15, F.col("ask")).otherwise(F.col("bid")),
+        "ask": F.when(hour == 15, F.col("bid")).otherwise(F.col("ask")),
+        "derivation": F.when(hour == 16, "guess").otherwise(F.col("derivation")),
+        "minute_ts": F.date_trunc("day", "minute_ts"),
+    })
+    return contracts.check_intraday(serving.serve_intraday(broken))
+
+
+@query(
+    """SELECT count(*) AS n_rows,
+         count(*) FILTER (WHERE 3 * covered_n / CAST(expected_n AS DOUBLE) - 1 NOT BETWEEN 0 AND 1) AS out_of_range
+       FROM coverage_rows"""
+)
+def contract_coverage_broken(spark, d):
+    """The coverage contract over shares stretched out of their range."""
+    return contracts.check_coverage(_coverage(spark, d).withColumn("coverage", 3 * F.col("coverage") - 1))
+
+
+@query(
+    f"""SELECT ticker, {day('bar_date')}, field, {rnd('ours', 'theirs', 'rel_diff')} FROM parity WHERE NOT within_tol""",
+)
+def parity_breaches(spark, d):
+    """Bars and fields on which the comparison vendor differs by more than the tolerance, or has no value."""
+    return _parity(spark, d).filter("NOT within_tol").select("ticker", "bar_date", "field", "ours", "theirs", "rel_diff")
+
+
 @query(
     f"""SELECT ticker, {day('termination_date')}, 'unknown' AS termination_reason, {rnd('terminal_return')} FROM dead_returns"""
 )
@@ -1253,17 +1305,16 @@ def stream_first_minutes(spark, d):
     return spark.read.schema(stream.schema).parquet(f"{root}/out").select("ticker", "minute_ts")
 
 
-def _arriving(rows: DataFrame, root: str, batches: int, *by: str) -> str:
-    """A folder of files for a stream that takes one a micro-batch; each holds the rows of some values of `by`."""
+def _arriving(rows: DataFrame, root: str, lots: int, lot: Column) -> str:
+    """A folder of files, one per value of `lot`, for a stream that takes one a micro-batch."""
     path = f"{root}/arriving"
-    rows.repartition(batches, *by).write.parquet(path)
+    rows.withColumn("lot", lot).repartitionByRange(lots, "lot").drop("lot").write.parquet(path)
     return path
 
 
 def _ticks_out_of_order(spark, d, root):
     """Quote ticks as a stream of six files; each has ticks of every session, so most come late."""
-    ticks = fx.quotes(spark, d).withColumn("lot", F.col("pos") * 7 % 6)
-    path = _arriving(ticks, root, 6, "lot")
+    path = _arriving(fx.quotes(spark, d), root, 6, F.col("pos") * 7 % 6)
     return market.parquet_stream(spark, path, market.TICKS, files_per_batch=1)
 
 
@@ -1321,8 +1372,8 @@ def stream_first_values(spark, d):
     digits=8, bools=("single_source",),
 )
 def stream_votes(spark, d):
-    """Bar events arriving in five micro-batches, each of some vendors' tickers, voted again per ticker into
-    canonical history."""
+    """Bar events arriving in five micro-batches, four of some tickers each and one of a vendor that comes later
+    for all, voted again per ticker into canonical history."""
     root = scratch(spark, "votes")
     lake = Lake(spark, root)
     rows = fx.bar_events(spark, d).withColumns(
@@ -1331,7 +1382,8 @@ def stream_votes(spark, d):
             "landing_key": F.lit("k"),
         }
     )
-    path = _arriving(rows.select(*schemas.names(schemas.BAR_EVENTS)), root, 5, "source", "ticker")
+    late = F.when(F.col("source") == "alpaca_iex", 4).otherwise(F.pmod(F.xxhash64("ticker"), F.lit(4)))
+    path = _arriving(rows.select(*schemas.names(schemas.BAR_EVENTS)), root, 5, late)
     stream = market.parquet_stream(spark, path, schemas.BAR_EVENTS, files_per_batch=1)
     _drain(market.start_each_batch(stream, market.vote_touched(lake), f"{root}/checkpoint"))
     return lake.read("bars_daily").filter("is_current").select(

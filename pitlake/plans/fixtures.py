@@ -348,10 +348,11 @@ def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def parity_peer(spark: SparkSession, sf_dir: str) -> DataFrame:
+def parity_peer(spark: SparkSession, sf_dir: str, held: DataFrame | None = None) -> DataFrame:
     """Another vendor's bars: close to ours, some off, some with a missing close."""
     off = F.when(_k(17), 1.01).otherwise(1.0002)
-    return bars(spark, sf_dir).filter("is_current").select(
+    rows = bars(spark, sf_dir) if held is None else held
+    return rows.filter("is_current").select(
         "ticker", "bar_date", "open", "high", "low",
         F.when(~_k(23), F.col("close") * off).alias("close"), "volume",
     )
