@@ -17,7 +17,7 @@ from pitlake.plans.catalog import _coverage as coverage_of
 from pitlake.plans.catalog import now, query
 from pitlake.plans.lake import Lake, publish, read_snapshot
 from pitlake.plans.oracle import OHLCV, day, rnd
-from pitlake.plans.scratch import scratch
+from pitlake.plans.scratch import scratch, staged
 from pitlake.sources import daily, landing, minute
 from pitlake.sources import events as event_store
 from pitlake.streaming import market
@@ -180,7 +180,7 @@ def rebuild_equals_live(spark, d):
     root = scratch(spark, "rebuild")
     live, again = Lake(spark, f"{root}/live", root), Lake(spark, f"{root}/again", root)
     extra = {"event_id": F.uuid(), "landing_key": F.lit("k")}
-    bars = fx.bar_events(spark, d).withColumns({**extra, "vendor_adjusted": F.lit(False), "reversal_factor": F.lit(1.0)})
+    bars = staged(fx.bar_events(spark, d).withColumns({**extra, "vendor_adjusted": F.lit(False), "reversal_factor": F.lit(1.0)}), "events")
     acts = fx.action_events(spark, d).withColumns({**extra, "source": F.lit("polygon")})
     first = F.col("written_at") == fx.ts("2002-01-01")
     for night in (first, ~first):  # the second brings what was revised

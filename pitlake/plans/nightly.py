@@ -135,7 +135,7 @@ def seal_observations(lake: Lake, arrived: DataFrame, now: Column) -> dict[str,
     buckets = [str(r.part) for r in daily_rows.select(part.alias("part")).distinct().collect()]
     if not buckets:
         return {"revised": 0, "inserted": 0}
-    touched = daily_rows.select("ticker").distinct()
+    touched = staged(daily_rows.select("ticker").distinct(), "touched")
     known = lake.read_parts("latest_observations", buckets)
     newest = voting.latest_observation(known.unionByName(daily_rows))
     lake.write_parts("latest_observations", newest, part, buckets)
@@ -144,7 +144,8 @@ def seal_observations(lake: Lake, arrived: DataFrame, now: Column) -> dict[str,
     screened = lake.write("screened", outliers.mad_screen(voting.vote_pivot(voting.source_pivot(observed))), SCREENED)
     beliefs = history.stamp_bars(screened.select(*history.BAR_KEY, *history.BAR_VALUES))
     held = lake.read_parts("beliefs", buckets)
-    counts = lake.merge("bars_daily", beliefs.join(held, [*history.BAR_KEY, "payload_hash"], "left_anti"), now)
+    changed = staged(beliefs.join(held, [*history.BAR_KEY, "payload_hash"], "left_anti"), "changed-beliefs")
+    counts = lake.merge("bars_daily", changed, now)
 
     def replace(name: str, rows: DataFrame) -> None:
         others = lake.read_parts(name, buckets).join(touched, "ticker", "left_anti")
