@@ -74,28 +74,24 @@ def _agree(a: str, b: str) -> Column:
     return F.coalesce(diff <= CLOSE_TOLERANCE, F.lit(False))
 
 
+def backed_by(source: str) -> str:
+    """Name of the flag that a source's close agrees with some other source's."""
+    return f"backed_{source}"
+
+
 def with_agreement(pivot: DataFrame) -> DataFrame:
-    """Adds n_sources and the three pairwise agreement flags."""
-    yf, st, al = SOURCES
-    return pivot.withColumns(
-        {
-            "n_sources": sum(_present(s).cast("int") for s in SOURCES),
-            "agree_yf_st": _agree(yf, st),
-            "agree_yf_al": _agree(yf, al),
-            "agree_st_al": _agree(st, al),
-        }
-    )
+    """Adds n_sources and, per source, whether another one agrees with its close."""
+    backed = {
+        backed_by(s): any_of(*[_agree(s, other) for other in SOURCES if other != s]) for s in SOURCES
+    }
+    return pivot.withColumns({"n_sources": sum(_present(s).cast("int") for s in SOURCES), **backed})
 
 
 def with_verdict(agreement: DataFrame) -> DataFrame:
     """Adds verdict and the source whose bar is kept (conflicts keep one as a record)."""
     yf, st, al = SOURCES
     n = F.col("n_sources")
-    backed = {
-        yf: F.col("agree_yf_st") | F.col("agree_yf_al"),
-        st: F.col("agree_yf_st") | F.col("agree_st_al"),
-        al: F.col("agree_yf_al") | F.col("agree_st_al"),
-    }
+    backed = {s: F.col(backed_by(s)) for s in SOURCES}
     verdict = (
         F.when(n == 0, "empty")
         .when((n == 1) & _present(al), "alpaca_only_skipped")

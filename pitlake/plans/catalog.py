@@ -213,13 +213,13 @@ def latest_pivot(spark, d):
 
 
 @query(
-    f"SELECT ticker, {day('bar_date')}, CAST(n_sources AS BIGINT) AS n_sources, agree_yf_st, agree_yf_al, "
-    "agree_st_al FROM agree",
-    bools=("agree_yf_st", "agree_yf_al", "agree_st_al",),
+    f"SELECT ticker, {day('bar_date')}, CAST(n_sources AS BIGINT) AS n_sources, "
+    "backed_yfinance, backed_stooq, backed_alpaca_iex FROM agree",
+    bools=("backed_yfinance", "backed_stooq", "backed_alpaca_iex"),
 )
 def close_agreement(spark, d):
     return voting.with_agreement(voting.source_pivot(fx.observations(spark, d))).select(
-        "ticker", "bar_date", "n_sources", "agree_yf_st", "agree_yf_al", "agree_st_al"
+        "ticker", "bar_date", "n_sources", *[voting.backed_by(s) for s in voting.SOURCES]
     )
 
 

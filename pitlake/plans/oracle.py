@@ -124,26 +124,27 @@ CTES = {
         for n in ("", "2", "_latest")
         for name, sql in {
             f"agree{n}": f"""
-        SELECT *, (close_yfinance IS NOT NULL)::INT + (close_stooq IS NOT NULL)::INT
+        SELECT * EXCLUDE (p1, p2, p3), p1 OR p2 AS backed_yfinance, p1 OR p3 AS backed_stooq, p2 OR p3 AS backed_alpaca_iex
+        FROM (SELECT *, (close_yfinance IS NOT NULL)::INT + (close_stooq IS NOT NULL)::INT
                   + (close_alpaca_iex IS NOT NULL)::INT AS n_sources,
                coalesce(abs(close_yfinance - close_stooq)
-                 / greatest((abs(close_yfinance) + abs(close_stooq)) / 2, 1e-12) <= 0.001, FALSE) AS agree_yf_st,
+                 / greatest((abs(close_yfinance) + abs(close_stooq)) / 2, 1e-12) <= 0.001, FALSE) AS p1,
                coalesce(abs(close_yfinance - close_alpaca_iex)
-                 / greatest((abs(close_yfinance) + abs(close_alpaca_iex)) / 2, 1e-12) <= 0.001, FALSE) AS agree_yf_al,
+                 / greatest((abs(close_yfinance) + abs(close_alpaca_iex)) / 2, 1e-12) <= 0.001, FALSE) AS p2,
                coalesce(abs(close_stooq - close_alpaca_iex)
-                 / greatest((abs(close_stooq) + abs(close_alpaca_iex)) / 2, 1e-12) <= 0.001, FALSE) AS agree_st_al
-        FROM wide{n}""",
+                 / greatest((abs(close_stooq) + abs(close_alpaca_iex)) / 2, 1e-12) <= 0.001, FALSE) AS p3
+        FROM wide{n})""",
             f"verdicts{n}": f"""
         SELECT *,
                CASE WHEN n_sources = 0 THEN 'empty'
                     WHEN n_sources = 1 AND close_alpaca_iex IS NOT NULL THEN 'alpaca_only_skipped'
                     WHEN n_sources = 1 THEN 'single_source'
-                    WHEN agree_yf_st OR agree_yf_al OR agree_st_al THEN 'confirmed'
+                    WHEN backed_yfinance OR backed_stooq THEN 'confirmed'
                     ELSE 'conflict' END AS verdict,
                CASE WHEN n_sources = 1 AND close_yfinance IS NOT NULL THEN 'yfinance'
                     WHEN n_sources = 1 AND close_stooq IS NOT NULL THEN 'stooq'
-                    WHEN agree_yf_st OR agree_yf_al THEN 'yfinance'
-                    WHEN agree_st_al THEN 'stooq'
+                    WHEN backed_yfinance THEN 'yfinance'
+                    WHEN backed_stooq THEN 'stooq'
                     WHEN close_yfinance IS NOT NULL THEN 'yfinance'
                     WHEN close_stooq IS NOT NULL THEN 'stooq' END AS chosen_source
         FROM agree{n}""",
