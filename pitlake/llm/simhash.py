@@ -417,11 +417,30 @@ def _overlaps(some: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The links (a < b) that join what is not joined yet, in ascending order."""
+    above: dict[int, int] = {}
+
+    def top(node: int) -> int:
+        while (up := above.get(node, node)) != node:
+            above[node] = node = above.get(up, up)
+        return node
+
+    kept = []
+    for x, y in np.unique(np.stack([a, b]), axis=1).T.tolist():
+        p, q = top(x), top(y)
+        if p != q:
+            above[max(p, q)] = min(p, q)
+            kept.append((x, y))
+    return tuple(np.array(kept, np.int64).reshape(-1, 2).T)
+
+
 def similar_in_blocks(batches: Iterator[pa.RecordBatch], words: int, share: Fraction) -> Iterator[pa.RecordBatch]:
-    """From rows (list, left, right, side, node, root, text) sorted by block, the similar pairs of each block.
+    """From rows (list, left, right, side, node, root, text) sorted by block, what joins components in each block.
 
     A block is one (list, left, right): its members of side 0 are compared with those of side 1 of other
-    components, by exact similarity. A row is put out only for a pair that is similar.
+    components, by exact similarity. Of the components that similar pairs join, links of a forest are put out,
+    the least ones first, so that blocks with the same members say the same.
     """
     def compared(rows: list[tuple]) -> pa.RecordBatch | None:
         some, others = ([r for r in rows if r[3] == side] for side in (0, 1))
@@ -431,11 +450,11 @@ def similar_in_blocks(batches: Iterator[pa.RecordBatch], words: int, share: Frac
         both = _overlaps(*sets)
         n = [np.array([len(x) for x in side]) for side in sets]
         enough = both * share.denominator >= (n[0][:, None] + n[1][None, :] - both) * share.numerator
-        node = [np.array([r[4] for r in side], np.int64) for side in (some, others)]
         root = [np.array([r[5] for r in side], np.int64) for side in (some, others)]
         one, two = np.nonzero(enough & (root[0][:, None] != root[1][None, :]))
-        a, b = node[0][one], node[1][two]
-        return _pairs(np.minimum(a, b), np.maximum(a, b)) if len(a) else None
+        a, b = root[0][one], root[1][two]
+        links = forest(np.minimum(a, b), np.maximum(a, b))
+        return _pairs(*links) if len(links[0]) else None
 
     held, key = [], None
     for batch in chain(batches, [None]):
@@ -454,12 +473,13 @@ def similar_in_blocks(batches: Iterator[pa.RecordBatch], words: int, share: Frac
 
 
 def links_across(members: DataFrame, nodes: DataFrame, words: int, share: Fraction) -> DataFrame:
-    """Similar pairs (a < b) of members of one list that are in different components; stored.
+    """Links (a < b) between the roots of components that similar members of one list join; stored.
 
     members: (list, a, a_root). A pair of different components has a member outside the list's largest one. Lists are
-    cut into blocks of about BLOCK members, and blocks compared in place: texts travel once per block that they
-    meet, pairs not at all unless they are similar. So a long list of texts that are alike, but not enough,
-    costs its members times its blocks in rows.
+    cut into blocks of about BLOCK members, and blocks compared in place: a text is joined once for all its lists
+    (no more than its own first shingles) and travels once per block that it meets, pairs not at all unless they
+    are similar. So a long list of texts that are alike, but not enough, costs its members times its blocks in
+    rows.
     """
     sizes = members.groupBy("list", "a_root").agg(F.count("*").alias("size"))
     lists = sizes.groupBy("list").agg(
@@ -468,7 +488,10 @@ def links_across(members: DataFrame, nodes: DataFrame, words: int, share: Fracti
         "list", F.col("most.a_root").alias("largest"),
         F.ceil((F.col("all") - F.col("most.size")) / BLOCK).cast("int").alias("lefts"), F.ceil(F.col("all") / BLOCK).cast("int").alias("rights"),
     )
-    told = members.join(staged(lists, "mixed-lists"), "list").join(nodes.select(F.col("node").alias("a"), "text"), "a")
+    mixed = members.join(staged(lists, "mixed-lists"), "list").groupBy("a").agg(
+        F.collect_list(F.struct("list", "a_root", "largest", "lefts", "rights")).alias("places")
+    )
+    told = mixed.join(nodes.select(F.col("node").alias("a"), "text"), "a").select("a", "text", F.inline("places"))
     at = F.xxhash64("a")
     rows = told.filter("a_root <> largest").select(
         "list", F.pmod(at, F.col("lefts")).cast("int").alias("left"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("right"),

@@ -239,3 +239,20 @@ def test_a_long_list_of_texts_not_alike_enough_writes_no_pairs(spark, documents,
     assert got == brute_similar(dict(rows))
     pairs = {name: df.count() for name, df in written if name in ("candidates", "links-across", "loose-pairs")}
     assert sum(pairs.values()) < 133 * 132 / 2 / 4  # of all pairs
+
+
+def test_a_forest_joins_what_all_links_join():
+    rng = np.random.default_rng(7)
+    for size in (0, 1, 30, 400):
+        a, b = np.sort(rng.integers(0, 60, (2, size)), axis=0)
+        a, b = a[a != b], b[a != b]
+        x, y = simhash.forest(a, b)
+        assert len(x) <= 59 and set(zip(x.tolist(), y.tolist())) <= set(zip(a.tolist(), b.tolist()))
+
+        def classes(links):
+            root = list(range(60))
+            for p, q in links:
+                root = [root[p] if r == root[q] else r for r in root]
+            return [root.index(r) for r in root]
+
+        assert classes(zip(x.tolist(), y.tolist())) == classes(zip(a.tolist(), b.tolist()))
