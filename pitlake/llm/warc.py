@@ -8,10 +8,12 @@ response, the others are revisits that carry its identifier, the digest and the
 The reader walks members and records in order and checks each: the gzip checksum, the version line,
 headers, block length and block digest. After a failed check it searches for the next valid gzip member
 or version line, goes on there, and reports the bytes in between as a quarantined gap. It holds one
-record or member at a time, whatever the size of the archive.
+record or member at a time: an archive of many members may have any size, one that is a single gzip member
+is held whole.
 
 Null payloads are empty, null addresses are left out, null identifiers are the text "null" and come last.
-Rows that repeat the identifier of a response are responses too. An empty table makes no archive.
+Rows that repeat the identifier of a response are responses too. An empty table makes no archive. Very long
+payloads are records like others. Only the three named columns are read, whatever others are called.
 """
 
 from __future__ import annotations
@@ -292,7 +294,10 @@ def write(
 
 
 def read(archives: DataFrame) -> DataFrame:
-    """Records of the archives named in `path`, and a row with `gap` (the failed check) per quarantined range."""
+    """Records of the archives named in `path`, and a row with `gap` (the failed check) per quarantined range.
+
+    There are as many tasks as archives, since rows of paths are small and would otherwise be put together.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column(0).to_pylist():
@@ -323,7 +328,8 @@ def read(archives: DataFrame) -> DataFrame:
         if held:
             yield pa.RecordBatch.from_pylist(held, FOUND_ARROW)
 
-    return archives.select("path").repartition("path").mapInArrow(run, FOUND)
+    tasks = max(1, archives.count())
+    return archives.select("path").repartitionByRange(tasks, "path").mapInArrow(run, FOUND)
 
 
 def report(pages: DataFrame) -> DataFrame:

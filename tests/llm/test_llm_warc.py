@@ -7,6 +7,7 @@ import io
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from pitlake.llm import warc
 from pitlake.plans.scratch import scratch
@@ -99,3 +100,12 @@ def test_archives_roll_over_and_gaps_are_rows(spark):
     found = warc.read(made)
     assert found.filter("gap IS NOT NULL").count() == 1
     assert found.filter("record_type = 'response'").count() == 19
+
+
+def test_archives_are_read_in_as_many_tasks(spark):
+    rows = [(k, "u", str(k) * 500, "x", 1) for k in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, path string, payload int")
+    made = warc.write(pages.coalesce(1), scratch(spark, "warc"), archive_bytes=1)
+    assert made.count() == 40
+    tasks = warc.read(made).select("path", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len({r.path for r in tasks}) == 40 and len({r.task for r in tasks}) == 40
