@@ -1,20 +1,24 @@
 """Main text of web pages by scoring the element tree.
 
 Text holders (paragraphs and other elements that hold text of their own) pass points for length and
-commas to their ancestors, less with each level; an element's points are discounted by the share of its
-text that stands in links. The best container and those siblings that look like it are kept; where it
-stands inside an article or main element, that element is the container. Elements that hold no article
+commas to their ancestors, half as many with each level; an element's points are discounted by the share
+of its text that stands in links. The best container and those siblings that look like it are kept; where
+it stands inside an article or main element, that element is the container. Elements that hold no article
 text by their tag, role or name (menus, headers, footers, sidebars, notices, adverts, forms, comments,
-scripts, styles) neither score nor appear.
+scripts, styles) neither score nor appear. A name that only has such a word among others ("social-history")
+decides for elements without running text alone; blocks of short links are menus, whatever their name.
 
 A page is parsed with forgiving rules: paragraphs, list items and cells end where the next one starts,
 end tags without a start are ignored, open elements end with their parent. Nulls and empty pages have an
-empty text; a page of any length is read whole. No shuffle; repeated rows give repeated results.
+empty text; a page of any length and depth is read whole, each element a fixed number of times. Of
+containers with the same points the first is the best. No shuffle; repeated rows give repeated results, an
+empty table an empty one, and a column that has the output's name already is an error.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -60,27 +64,41 @@ NO_TEXT_WORDS = set(
     "notice notices notification pager pagination popup promo promoted promotion recommended related replies reply "
     "respond search share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget".split()
 )
+# Words that say so beside any other word, and words that say nothing.
+ALWAYS = set(
+    "ads adsense advert adverts advertisement advertising breadcrumb breadcrumbs comment comments cookie cookies consent "
+    "disqus disclaimer gdpr masthead nav navbar navigation newsletter pagination respond sidebar subscribe".split()
+)
+NEUTRAL = set(
+    "area bar block bottom box button buttons container cta embed fixed form global group icons inline inner item items "
+    "js left link links list module outer overlay page panel primary right row secondary section site slot sticky sub "
+    "tools top unit widgets wrap wrapper".split()
+)
 ARTICLE_WORDS = set("article articlebody content entry main post story text body".split())
 CONTAINERS = {"article", "main"}
 PARAGRAPHS = {"p", "pre", "blockquote", "td", "th", "li", "dd", "dt", "h1", "h2", "h3", "h4", "h5", "h6", "figcaption"}
 WORD = re.compile(r"[a-z]+")
+#: Characters outside links from which an element holds running text, and mean characters of a menu's links.
+PROSE = 140
+MENU_LINK = 30
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "parent", "children", "score", "chars", "link_chars")
+    __slots__ = ("tag", "attrs", "parent", "children", "score", "chars", "link_chars", "links", "within")
 
     def __init__(self, tag: str, attrs: str, parent: Element | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list[Element | str] = []
         self.score = 0.0
-        self.chars = self.link_chars = 0
+        self.chars = self.link_chars = self.links = 0
+        self.within = parent is not None and (parent.within or parent.tag in CONTAINERS)
 
     def has_no_text(self) -> bool:
         """Whether it holds nothing of an article, by tag, role or name."""
         if self.tag in NO_TEXT_TAGS:
             return True
         if self.tag == "header":
-            return not self._within_article()
+            return not self.within
         if not self.attrs or self.tag in ("html", "body"):
             return False
         given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(self.attrs)}
@@ -96,18 +114,28 @@ class Element:
         words = set(WORD.findall(named))
         if words & ARTICLE_WORDS and not words & {"comment", "comments", "sidebar", "ad", "ads", "related"}:
             return False
-        return bool(words & NO_TEXT_WORDS)
+        if words & ALWAYS:
+            return True
+        return bool(words & NO_TEXT_WORDS) and (words <= NO_TEXT_WORDS | NEUTRAL or not self.is_prose())
 
-    def _within_article(self) -> bool:
-        above = self.parent
-        while above is not None and above.tag not in CONTAINERS:
-            above = above.parent
-        return above is not None
+    def is_prose(self) -> bool:
+        """Whether running text outweighs its links."""
+        return self.chars - self.link_chars >= PROSE and link_density(self) < 0.3
 
 
-def parse(page: str) -> Element:
+def parse(page: str) -> list[Element]:
+    """All elements, parents first, in page order."""
     root = Element("html", "", None)
-    at, place = root, 0
+    every, at, place, opened = [root], root, 0, Counter()
+
+    def close(top: Element) -> Element:
+        """Ends all open elements below `top`, which is open."""
+        one = at
+        while one is not top:
+            opened[one.tag] -= 1
+            one = one.parent
+        return top
+
     for token in iter(lambda: TOKEN.search(page, place), None):
         start = token.start()
         if start > place:
@@ -120,30 +148,32 @@ def parse(page: str) -> Element:
         name = token["name"].lower()
         if token["end"]:
             if name == "br":
-                at.children.append(Element("br", "", at))
-                continue
-            found = at
-            while found is not root and found.tag != name:
-                if name in INLINE and found.tag not in INLINE:
-                    found = root
-                    break
-                found = found.parent
-            if found is not root:
-                at = found.parent
+                every.append(Element("br", "", at))
+                at.children.append(every[-1])
+            elif opened[name] > 0:
+                found = at
+                while found.tag != name and not (name in INLINE and found.tag not in INLINE):
+                    found = found.parent
+                if found.tag == name:
+                    at = close(found.parent)
             continue
         if name in ("html", "body"):
             continue
         if name not in INLINE:
             closing = ENDS_BEFORE.get(name)
             if closing or at.tag == "p" or at.tag in INLINE:
-                found, stops = at, HOLDS.get(name, set())
+                found, stops, until = at, HOLDS.get(name, set()), at
                 while found is not root and found.tag not in stops:
                     if found.tag == "p" or closing and found.tag in closing:
-                        at = found.parent
+                        until = found.parent
+                        if found.tag == name and name != "p":
+                            break
                     elif not closing and found.tag not in INLINE:
                         break
                     found = found.parent
+                at = close(until)
         own = Element(name, token["attrs"] or "", at)
+        every.append(own)
         at.children.append(own)
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)[^>]*>?", re.I).search(page, place)
@@ -151,9 +181,10 @@ def parse(page: str) -> Element:
             place = end.end() if end else len(page)
         elif name not in VOID and not (token["attrs"] or "").rstrip().endswith("/"):
             at = own
+            opened[name] += 1
     if place < len(page):
         at.children.append(page[place:])
-    return root
+    return every
 
 
 def walk(root: Element) -> Iterator[Element]:
@@ -172,24 +203,29 @@ def text_of(one: Element, dropped: set[int]) -> str:
     while todo:
         item = todo.pop()
         if isinstance(item, str):
-            parts.append(item)
+            parts.append(unescape(item))
         elif id(item) not in dropped:
             if item.tag not in INLINE or item.tag in ("br", "img"):
                 parts.append(" ")
                 todo.append(" ")
             todo += reversed(item.children)
-    return " ".join(unescape("".join(parts)).split())
+    return " ".join("".join(parts).split())
 
 
 def measure(elements: list[Element]) -> None:
     """Characters of text, and of text in links, for each element with all below it."""
+    for one in elements:
+        one.chars = one.link_chars = one.links = 0
     for one in reversed(elements):
+        if one.tag in NO_TEXT_TAGS:
+            continue
         one.chars += sum(len(c.strip()) for c in one.children if isinstance(c, str))
         if one.tag == "a":
-            one.link_chars = one.chars
+            one.link_chars, one.links = one.chars, 1
         if one.parent is not None:
             one.parent.chars += one.chars
             one.parent.link_chars += one.link_chars
+            one.parent.links += one.links
 
 
 def link_density(one: Element) -> float:
@@ -197,7 +233,7 @@ def link_density(one: Element) -> float:
 
 
 def score(elements: list[Element]) -> None:
-    """Points of each text holder to its ancestors: all to the first, half to the next, then less."""
+    """Points of each text holder to its ancestors: all to the first, half as many to each next one."""
     for one in elements:
         own = "".join(
             c if isinstance(c, str) else "".join(x for x in c.children if isinstance(x, str))
@@ -207,16 +243,26 @@ def score(elements: list[Element]) -> None:
             continue
         points = (1 + own.count(",") + own.count("，") + min(len(own) / 100, 3.0)) * (1 - link_density(one))
         above = one.parent if one.tag in PARAGRAPHS else one
-        level = 0
-        while above is not None:
-            above.score += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
-            above, level = above.parent, level + 1
+        if above is not None:
+            above.score += points
+    for one in reversed(elements):
+        if one.parent is not None:
+            one.parent.score += one.score / 2
     for one in elements:
         one.score *= 1 - link_density(one)
 
 
-def containers(root: Element) -> tuple[list[Element], set[int]]:
+def is_menu(one: Element) -> bool:
+    """A block of several short links."""
+    return one.tag in ("ul", "ol", "div", "section", "table") and one.links > 2 and (
+        link_density(one) > 0.6 and one.link_chars < MENU_LINK * one.links
+    )
+
+
+def containers(every: list[Element]) -> tuple[list[Element], set[int]]:
     """Kept elements in page order, and those inside them to leave out."""
+    root = every[0]
+    measure(every)
     elements = list(walk(root))
     measure(elements)
     score(elements)
@@ -244,8 +290,7 @@ def containers(root: Element) -> tuple[list[Element], set[int]]:
             for child in one.children:
                 if isinstance(child, str):
                     continue
-                linked = child.tag in ("ul", "ol", "div", "section", "table") and link_density(child) > 0.6
-                if id(child) not in inside or linked:
+                if id(child) not in inside or is_menu(child):
                     dropped.add(id(child))
                 else:
                     todo.append(child)

@@ -2,6 +2,11 @@ from __future__ import annotations
 
 from llm_support import documents, sf_dir, workers  # noqa: F401
 
+import random
+
+import pytest
+
+from pitlake.llm import html
 from pitlake.llm.html import extract, main_text, report
 
 ARTICLE = "Once, there was a long paragraph, with commas, and enough text to count as prose, more or less. " * 3
@@ -49,3 +54,73 @@ def test_frames(spark):
     assert sorted(got, key=str) == sorted([(1, "u", "x, y", 4), (None, None, "", 0), (1, "u", "x, y", 4)], key=str)
     assert report(pages.limit(0)).count() == 0
     assert extract(pages).columns == [*pages.columns, "main_text"]
+    with pytest.raises(ValueError):
+        extract(pages, out="text")
+
+
+def test_references_are_decoded_within_their_text():
+    assert main_text("<article><p>&am<b>p;</b> &lt;b&gt; &am<!-- x -->p;") == "&amp; <b> &amp;"
+
+
+def test_link_lists_and_prose_are_not_dropped_by_looks_or_part_of_a_name():
+    prose = "Then people lived here, and worked, and left again. " * 5
+    page = f"""<article><p>{ARTICLE}</p><ul><li><a href=1>Smith, a paper on long matters</a><li><a href=2>Jones, another</a></ul>
+      <div class="social-history">{prose}</div><div class="social-share">Share this</div><ul><li><a href=3>One</a><li><a
+      href=4>Two</a><li><a href=5>Three</a></ul><div class="cookie-history">{prose}</div><p>End, at last.</p></article>"""
+    assert main_text(page) == f"{ARTICLE.strip()} Smith, a paper on long matters Jones, another {prose.strip()} End, at last."
+
+
+@pytest.mark.parametrize("page", [
+    "<div>some text, with commas, and enough of it to count" * 50_000, "<div>" * 50_000 + "</p>" * 50_000 + "x",
+    "<ul><li>" * 20_000 + "<p>deep", "<li><div>" * 20_000 + "y", "<header>" * 20_000 + "z", "<b>" * 50_000 + "</i>" * 50_000 + "w",
+])
+def test_nesting_of_any_depth_takes_linear_time(page):
+    import time
+
+    start = time.process_time()
+    main_text(page)
+    assert time.process_time() - start < 20
+
+
+def test_scores_equal_their_definition():
+    """Points are counted for every pair of a holder and an ancestor."""
+    rng = random.Random(4)
+    for _ in range(60):
+        page = ""
+        for _ in range(rng.randrange(1, 60)):
+            page += rng.choice(["<div>", "</div>", "<p>", "</p>", "<section>", "<a href=1>", "</a>", "<b>", "</b>", "<li>"])
+            page += rng.choice(["", "a few words, or so", "more, words, of text, " * rng.randrange(1, 20)])
+        every = html.parse(page)
+        html.measure(every)
+        elements = list(html.walk(every[0]))
+        html.measure(elements)
+        html.score(elements)
+
+        def texts(one, linked=False):
+            for c in one.children:
+                if isinstance(c, str):
+                    yield linked or one.tag == "a", len(c.strip())
+                else:
+                    yield from texts(c, linked or one.tag == "a")
+
+        def density(one):
+            told = list(texts(one))
+            return sum(n for by_link, n in told if by_link) / (sum(n for _, n in told) or 1)
+
+        def points(one):
+            own = "".join(
+                c if isinstance(c, str) else "".join(x for x in c.children if isinstance(x, str))
+                for c in one.children if isinstance(c, str) or c.tag in html.INLINE
+            ).strip()
+            if not own or one.tag in html.INLINE or not (one.tag in html.PARAGRAPHS or len(own) >= 25):
+                return 0
+            return (1 + own.count(",") + min(len(own) / 100, 3)) * (1 - density(one))
+
+        want = {id(e): 0.0 for e in elements}
+        for one in elements:
+            above, share = one.parent if one.tag in html.PARAGRAPHS else one, 1
+            while above is not None:
+                want[id(above)] += points(one) * share
+                above, share = above.parent, share / 2
+        for one in elements:
+            assert one.score == pytest.approx(want[id(one)] * (1 - density(one)))
