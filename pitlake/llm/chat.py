@@ -9,7 +9,7 @@ the two apart.
 A conversation is a row of ids and mask; one beyond PART_TOKENS continues in further parts, cut between
 turns, so that no task holds a conversation of any length. Rows of a turn are ordered by turn, role and
 text, nulls first. A null text is empty, a null role is a role without a name, a null conversation is a
-conversation like any other. Columns other than the four are not read.
+conversation like any other. An empty table gives no rows. Columns other than the four are not read.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ LEARNT = "assistant"
 ESCAPED = re.compile(r"\\|#(?=##)|</turn>")
 ESCAPE = re.compile(r"\\(.)", re.DOTALL)
 PART_TOKENS = 1_000_000
+ENCODED_TURNS = 2000
 
 FORMATTED = T.StructType([
     T.StructField("conv_id", T.LongType()), T.StructField("part", T.IntegerType()),
@@ -85,42 +86,48 @@ def assemble(
 
 
 def format_conversations(turns: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(conv_id, part, ids, loss), the parts of a conversation in order within one partition."""
-    rows = turns.select("conv_id", "turn", "role", "text").repartition("conv_id").sortWithinPartitions(
-        "conv_id", "turn", "role", "text"
-    )
+    """(conv_id, part, ids, loss), the parts of a conversation in order within one partition.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Turns are encoded where they lie, so a conversation that holds many of them is not encoded in one task;
+    behind the shuffle their ids are only put on end.
+    """
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path, pattern)
-        key, part, held = None, 0, []
-
-        def row() -> tuple:
-            return key, part, np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                out = []
-                keys = batch.column(0).slice(at, 2000).to_pylist()
-                roles = [r or "" for r in batch.column(2).slice(at, 2000).to_pylist()]
-                texts = [t or "" for t in batch.column(3).slice(at, 2000).to_pylist()]
+            for at in range(0, batch.num_rows, ENCODED_TURNS):
+                rows = batch.slice(at, ENCODED_TURNS)
+                roles, texts = ([t or "" for t in rows.column(c).to_pylist()] for c in (2, 3))
                 ids, loss, starts = assemble(encoder, roles, texts)
-                for k, own in enumerate(keys):
-                    if held and own != key:
-                        out.append(row())
-                        part, held = 0, []
-                    elif held and sum(len(h[0]) for h in held) > PART_TOKENS:
-                        out.append(row())
-                        part, held = part + 1, []
-                    if own != key:
-                        part = 0
-                    key = own
-                    held.append((ids[starts[k] : starts[k + 1]], loss[starts[k] : starts[k + 1]]))
-                if out:
-                    yield _formatted(out)
+                offsets = pa.array(starts, pa.int32())
+                yield pa.RecordBatch.from_arrays([
+                    *rows.columns, pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32())),
+                    pa.ListArray.from_arrays(offsets, pa.array(loss, pa.int8())),
+                ], names=[*rows.schema.names, "ids", "loss"])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, part, held, size = None, 0, [], 0
+        for batch in batches:
+            ids, loss = batch.column(1), batch.column(2)
+            starts = ids.offsets.to_numpy()
+            ids, loss = ids.values.to_numpy(), loss.values.to_numpy()
+            out = []
+            for k, own in enumerate(batch.column(0).to_pylist()):
+                if held and (own != key or size > PART_TOKENS):
+                    out.append((key, part, *map(np.concatenate, zip(*held))))
+                    part, held, size = part + 1, [], 0
+                if own != key:
+                    key, part = own, 0
+                held.append((ids[starts[k] : starts[k + 1]], loss[starts[k] : starts[k + 1]]))
+                size += int(starts[k + 1] - starts[k])
+            if out:
+                yield _formatted(out)
         if held:
-            yield _formatted([row()])
+            yield _formatted([(key, part, *map(np.concatenate, zip(*held)))])
 
-    return rows.mapInArrow(run, FORMATTED)
+    rows = turns.select("conv_id", "turn", "role", "text")
+    coded = rows.mapInArrow(encode, T.StructType([*rows.schema.fields, *FORMATTED.fields[2:]]))
+    ordered = coded.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    return ordered.select("conv_id", "ids", "loss").mapInArrow(join, FORMATTED)
 
 
 def _formatted(rows: list[tuple]) -> pa.RecordBatch:

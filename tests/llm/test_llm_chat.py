@@ -79,3 +79,26 @@ def test_escape_round_trip():
     for text in ("", "\\", "\\\\#", "####", "</turn></turn>", TRICKY, "\\\n"):
         assert chat.unescape(chat.escape(text)) == text
         assert not chat.re.search(r"(?<!\\)(?:\\\\)*###", chat.escape(text))
+
+
+def test_a_long_conversation_takes_time_in_proportion(spark):
+    import time
+
+    rows = spark.range(100_000).selectExpr(
+        "id div 99000 AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "concat('turn ', id) AS text"
+    )
+    start = time.time()
+    got = {r.conv_id: r for r in chat.report(rows, PATH, PATTERN).collect()}
+    assert time.time() - start < 60
+    learnt = "".join(f"turn {k}" for k in range(1, 99_000, 2))
+    assert (got[0].n_turns, got[0].loss_chars) == (99_000, len(learnt)) and got[1].n_turns == 1000
+    assert got[0].loss_sha256 == hashlib.sha256(learnt.encode()).hexdigest()
+
+
+def test_turns_are_encoded_before_the_shuffle_and_other_columns_do_not_matter(spark):
+    rows = frame(spark, ROWS).selectExpr("*", "'x' AS ids", "1 AS loss", "text AS part")
+    formatted = chat.format_conversations(rows, PATH, PATTERN)
+    plan = formatted._jdf.queryExecution().executedPlan().toString()
+    shuffle = plan.rindex("Exchange hashpartitioning")
+    assert plan.count("MapInArrow") == 2 and plan.index("MapInArrow") < shuffle < plan.rindex("MapInArrow")
+    assert result(chat.read_back(formatted, PATH)) == brute(ROWS)
