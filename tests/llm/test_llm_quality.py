@@ -2,7 +2,10 @@ from __future__ import annotations
 
 from llm_support import documents, sf_dir, workers  # noqa: F401
 
+import math
 import random
+import re
+import unicodedata
 import zlib
 
 from pyspark.sql import functions as F
@@ -66,3 +69,50 @@ def test_bounded_fit_uses_a_share(spark, documents):
     labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, quality int")
     ensemble = quality.fit_on(docs, labels, max_rows=100)
     assert ensemble.weighted
+
+
+def plain_statistics(text):
+    text = text or ""
+    w = [x for x in re.split("[\x20\x09-\x0d]+", text) if x]
+    lines = [x for x in text.split("\n") if re.search("[^\x20\x09-\x0d]", x)]
+    kinds = [unicodedata.category(c) for c in text]
+    counts = {
+        "upper": kinds.count("Lu"), "symbols": len(re.findall(r"[#*$%&|<>]", text)), "bangs": text.count("!"),
+        "pipes": text.count("|"), "digits": sum(k[0] == "N" for k in kinds),
+        "stops": len(re.findall("[.?](?=[\x20\x09-\x0d]|\\Z)", text)), "lines": text.count("\n"),
+    }
+
+    def ratio(a, b):
+        return a / b if b else 0.0
+
+    out = {
+        "words": math.log1p(len(w)), "word_length": ratio(sum(map(len, w)), len(w)),
+        "distinct_words": ratio(len(set(w)), len(w)), "long_words": ratio(sum(len(x) > 20 for x in w), len(w)),
+        "distinct_lines": ratio(len(set(lines)), len(lines)), "words_per_line": ratio(len(w), len(lines)),
+        "spread": ratio(math.log1p(len(set(w))), math.log1p(len(w))),
+    }
+    out |= {f"{n}_per_char": ratio(c, len(text)) for n, c in counts.items()}
+    return out | {f"{n}_per_word": ratio(c, len(w)) for n, c in counts.items()}
+
+
+def test_scores_equal_the_rules_applied_one_by_one(spark, documents, monkeypatch):
+    random.seed(6)
+
+    def text(k):
+        words = ["".join(random.choices("abcdeÄé7", k=random.randrange(1, 30 if k % 5 == 0 else 9))) for _ in range(random.randrange(90))]
+        marks = ["!", " | ", ". ", "?\n", " #"] if k % 3 else [" ", " ", ", ", "\n", ".\n"]
+        return "".join(w.upper() + random.choice(marks) if k % 4 == 0 else w + random.choice(marks) for w in words)
+
+    rows = [(k, text(k)) for k in range(300)] + [(400, None), (401, ""), (402, "Word. " * 20_000), (None, "x y")]
+    labels = spark.createDataFrame([(k, int(k % 3 == 0 and k % 4 != 0)) for k in range(300)], "doc_id long, quality int")
+    fitted, fit = [], quality.fit
+    monkeypatch.setattr(quality, "fit", lambda *a, **k: fitted.append(fit(*a, **k)) or fitted[-1])
+    got = {r.doc_id: r.score for r in quality.scored(documents(rows), labels).collect()}
+    assert fitted[0].weighted and any(len(rule.terms) > 1 for _, rule in fitted[0].weighted)
+    for key, one in rows:
+        values = plain_statistics(one)
+        margin = fitted[0].intercept + sum(
+            weight for weight, rule in fitted[0].weighted
+            if all(values[n] <= t if at_most else values[n] > t for n, at_most, t in rule.terms)
+        )
+        assert abs(got[key] - 1 / (1 + math.exp(-margin))) < 1e-9
