@@ -12,6 +12,11 @@ A list beyond a bound is not paired at all: its fingerprints are expanded into a
 and two fingerprints are within 4 bits exactly when they share such a value. That is linear in the
 list, so there is no cap: links are complete whatever the size of a list.
 
+Texts of a similarity are found the same way at that distance: fingerprints of 1,024 bits, lists keyed by
+positions and the bytes there, tally of shared positional bytes, minimum, differing bits; then the texts
+decide. No number of shared bytes is certain there, so an exact completion follows: an index over shingles
+compares what the byte index has not brought into one component.
+
 Links become components by alternating stars over stored tables. Nulls and empty texts have fingerprint
 zero and link like any other; a null identifier never names a component unless all of it is null.
 """
@@ -243,7 +248,20 @@ SPREAD = np.cumprod(np.full(WIDE, 0xD1342543DE82EF95, np.uint64)) | np.uint64(1)
 #: independent, so this loses no pair. Smaller sets than FEWEST differ from the mean's formula and all pass.
 LOOSE = 8
 FEWEST = 64
-#: Lists up to this size are paired in place.
+#: Byte index over it: each list is keyed by three positions and their bytes. Positions are dealt five times to all
+#: lists, so a pair at 0.8, which shares some 34 of the 128 bytes, meets in four of the 210 lists on average.
+PLACES = np.concatenate([
+    np.random.default_rng([SEED, k]).permutation(8 * WIDE)[: 8 * WIDE // 3 * 3].reshape(-1, 3) for k in range(5)
+])
+#: Deviations that shared bytes and differing bits of the byte index's pairs may lie off the mean at the limit, and those
+#: of the 64 bits that go along with a posting.
+NEAR = 2.5
+LOOSE_WORD = 4
+#: Lists of the byte index up to this size are compared all at once, longer ones cluster by cluster, and so many members of
+#: one list are held at a time.
+SHORT = 16
+HELD = 1 << 16
+#: Lists of shingles up to this size are paired in place.
 LISTED = 256
 #: Members of a longer list that are compared together, and shingles looked at at a time.
 BLOCK = 256
@@ -253,15 +271,26 @@ SAMPLED = 20_000
 FREQUENT = 8
 #: Most frequent shingles known. This and the sample decide on the order of shingles, not on results.
 MOST_FREQUENT = 1 << 19
+PLACED = T.StructType([T.StructField(n, T.LongType()) for n in ("list", "node", "bits")])
 POSTING = T.StructType([T.StructField(n, T.LongType()) for n in ("list", "node", "n", "at")])
 FOUND = T.StructType([T.StructField(n, T.LongType()) for n in ("list", "a", "n", "at", "b")])
 
 
-def most_bits(similarity: float) -> int:
-    """Differing bits of two texts whose shingle sets have this Jaccard similarity, plus LOOSE deviations."""
-    cosine = 2 * similarity / (1 + similarity)
-    share = float(np.arccos(cosine) / np.pi)
-    return int(64 * WIDE * share + LOOSE * np.sqrt(64 * WIDE * share * (1 - share)))
+def differing(similarity: float) -> float:
+    """Share of bits in which two texts differ whose shingle sets have this Jaccard similarity."""
+    return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+
+
+def most_bits(similarity: float, bits: int = 64 * WIDE, deviations: float = LOOSE) -> int:
+    """Differing bits at this similarity, plus deviations."""
+    share = differing(similarity)
+    return int(bits * share + deviations * np.sqrt(bits * share * (1 - share)))
+
+
+def least_bytes(similarity: float) -> int:
+    """Positional bytes that two wide fingerprints share at this similarity, less NEAR deviations."""
+    share = (1 - differing(similarity)) ** 8
+    return int(8 * WIDE * share - NEAR * np.sqrt(8 * WIDE * share * (1 - share)))
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
@@ -365,12 +394,15 @@ def pairs_in_lists(batches: Iterator[pa.RecordBatch], share: Fraction, bound: in
                     yield told([None, ends[0], None, None, ends[1]])
 
 
-def similar_pairs(pairs: DataFrame, nodes: DataFrame, words: int, share: Fraction) -> DataFrame:
+def similar_pairs(pairs: DataFrame, nodes: DataFrame, words: int, share: Fraction, tallied: bool = False) -> DataFrame:
     """Of the pairs (a < b) those whose shingle sets have at least this similarity; stored.
 
-    The fingerprints of `nodes` (node, n, fp, text) are a loose filter, so texts are fetched for few others.
+    The fingerprints of `nodes` (node, n, fp, text) are a loose filter, so texts are fetched for few others. With
+    `tallied` it is the byte index's own: shared positional bytes are tallied, pairs below the minimum go, then those
+    with too many differing bits.
     """
-    limit = most_bits(float(share))
+    limit = most_bits(float(share), deviations=NEAR) if tallied else most_bits(float(share))
+    least = least_bytes(float(share))
 
     def ends(pairs: DataFrame, *columns: str) -> DataFrame:
         for side in ("a", "b"):
@@ -382,9 +414,12 @@ def similar_pairs(pairs: DataFrame, nodes: DataFrame, words: int, share: Fractio
         for batch in batches:
             if not batch.num_rows:
                 continue
-            bits = np.bitwise_count(_grid(batch.column(4)) ^ _grid(batch.column(5))).sum(axis=1, dtype=np.int64)
-            few = np.minimum(np.asarray(batch.column(2)), np.asarray(batch.column(3))) < FEWEST
-            near = few | (bits <= limit)
+            diff = _grid(batch.column(4)) ^ _grid(batch.column(5))
+            near = np.bitwise_count(diff).sum(axis=1, dtype=np.int64) <= limit
+            if tallied:
+                near &= (diff == 0).sum(axis=1) >= least
+            else:
+                near |= np.minimum(np.asarray(batch.column(2)), np.asarray(batch.column(3))) < FEWEST
             yield _pairs(np.asarray(batch.column(0))[near], np.asarray(batch.column(1))[near])
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -401,6 +436,91 @@ def similar_pairs(pairs: DataFrame, nodes: DataFrame, words: int, share: Fractio
     return staged(ends(loose, "text").mapInArrow(similar, PAIR), "similar-pairs")
 
 
+def byte_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(list, node, bits) from (node, fp): the lists of each wide fingerprint, and 64 of its bits."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        node, grid = batch.column(0), _grid(batch.column(1))
+        place, bits = grid.astype(np.int64), grid.view("<i8")
+        for n, (p, q, r) in enumerate(PLACES.tolist()):
+            lists = n << 24 | place[:, p] << 16 | place[:, q] << 8 | place[:, r]
+            yield pa.RecordBatch.from_arrays([pa.array(lists), node, pa.array(bits[:, n % WIDE])], names=PLACED.names)
+
+
+def _clustered(members: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Members (list, node, bits) of one list paired with the first of each cluster in reach; and those firsts."""
+    pairs, firsts = [np.zeros((0, 2), np.int64)], []
+    while len(members):
+        first, members = members[0], members[1:]
+        near = np.bitwise_count((members[:, 2] ^ first[2]).view(np.uint64)) <= limit
+        pairs.append(np.column_stack([np.full(near.sum(), first[1]), members[near, 1]]))
+        firsts.append(first)
+        members = members[~near]
+    return np.concatenate(pairs), np.array(firsts, np.int64).reshape(-1, 3)
+
+
+def pairs_by_bytes(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """From postings sorted by list: (a, b), a < b, each member with the first one in its list from which its `bits`
+    differ in no more than `limit`; in long lists, with the first of its cluster.
+
+    So rows grow with the postings, not with the square of a group.
+    """
+    held = np.zeros((0, 3), np.int64)
+    for batch in chain(batches, [None]):
+        rows = held if batch is None else np.concatenate([held, np.column_stack([np.asarray(c) for c in batch.columns])])
+        if not len(rows):
+            continue
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(rows[:, 0])) + 1])
+        size = np.diff(np.append(starts, len(rows)))
+        found, held = [], rows[:0]
+        if batch is not None:
+            held, starts, size = rows[starts[-1] :], starts[:-1], size[:-1]
+            if len(held) > HELD:
+                pairs, held = _clustered(held, limit)
+                found.append(pairs)
+        for k in np.flatnonzero(size > SHORT).tolist():
+            found.append(_clustered(rows[starts[k] : starts[k] + size[k]], limit)[0])
+        for s in np.unique(size[(size > 1) & (size <= SHORT)]).tolist():
+            place = starts[size == s][:, None] + np.arange(s)
+            bits = rows[place, 2]
+            near = np.bitwise_count((bits[:, :, None] ^ bits[:, None, :]).view(np.uint64)) <= limit
+            near &= np.triu(np.ones((s, s), bool), 1)
+            k, two = np.nonzero(near.any(axis=1))
+            found.append(np.column_stack([rows[place[k, near.argmax(axis=1)[k, two]], 1], rows[place[k, two], 1]]))
+        if sum(map(len, found)):
+            yield _pairs(*np.sort(np.concatenate(found), axis=1).T)
+
+
+def links_by_bytes(nodes: DataFrame, words: int, share: Fraction) -> DataFrame:
+    """Links (a < b) between similar texts that the byte index over the wide fingerprints of `nodes` finds.
+
+    Of the pairs that meet in its lists the most often met partner of each text comes first, and what this brings
+    into one component is not looked at again.
+    """
+    p, q = share.numerator, share.denominator
+    limit = most_bits(float(share), 64, LOOSE_WORD)
+    postings = nodes.filter(F.col("n") * (q - p) >= p).select("node", "fp").mapInArrow(byte_postings, PLACED)  # smaller sets have no other near
+    lists = postings.repartition("list").sortWithinPartitions("list", "node")
+    met = lists.mapInArrow(lambda batches: pairs_by_bytes(batches, limit), PAIR).groupBy("a", "b").agg(F.count("*").alias("lists"))
+    met = staged(met, "met-by-bytes")
+    best = met.groupBy("b").agg(F.max(F.struct("lists", (-F.col("a")).alias("a"))).alias("most")).select((-F.col("most.a")).alias("a"), "b")
+    links = similar_pairs(best, nodes, words, share, tallied=True)
+    left = apart(met.select("a", "b"), staged(components(links), "roots")).join(best, ["a", "b"], "left_anti")
+    return links.unionByName(similar_pairs(left, nodes, words, share, tallied=True))
+
+
+def rooted(df: DataFrame, roots: DataFrame, side: str) -> DataFrame:
+    """`df` with the component of its column `side`; what has no links is its own."""
+    got = roots.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
+    return df.join(got, side, "left").withColumn(f"{side}_root", F.coalesce(f"{side}_root", side))
+
+
+def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components."""
+    return rooted(rooted(pairs, roots, "a"), roots, "b").filter("a_root <> b_root").select("a", "b")
+
+
 def _overlaps(some: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
     """Shingles that each set of `some` has in common with each of `others`."""
     every, at = np.unique(np.concatenate([*some, *others]), return_inverse=True)
@@ -507,18 +627,51 @@ def links_across(members: DataFrame, nodes: DataFrame, words: int, share: Fracti
     )
 
 
+def completed(known: DataFrame, nodes: DataFrame, words: int, share: Fraction) -> DataFrame:
+    """`known` links (a < b) between similar texts, and links for every similar pair that they leave apart.
+
+    Shingles have one order everywhere, rare ones before frequent ones, and two sets of this similarity have one of
+    their first shingles in common. So lists keyed by one of a text's first shingles hold all pairs. All members of a
+    list are paired; what the known links or a first round of comparisons, one per text, have brought into one
+    component is not compared again. Of a list too long to be paired in place, members outside its largest
+    component are compared with those of other components block by block, and only similar pairs are written.
+    """
+    known = staged(known, "links-by-bytes")
+    roots = staged(components(known), "roots")
+    frequent = frequent_shingles(nodes, words)
+
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, one in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                hashes = shingle_set(one.as_py(), words)
+                lists = prefix(hashes, frequent, share)
+                columns = lists.view(np.int64), np.full(len(lists), node), np.full(len(lists), len(hashes)), np.arange(len(lists))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=POSTING.names)
+
+    bound = LISTED
+    lists = nodes.select("node", "text").mapInArrow(post, POSTING).repartition("list").sortWithinPartitions("list", "node")
+    found = staged(lists.mapInArrow(lambda batches: pairs_in_lists(batches, share, bound), FOUND), "found")
+    candidates = staged(found.filter("list IS NULL").select("a", "b").distinct(), "candidates")
+    long = found.filter("list IS NOT NULL")
+    open_pairs = staged(apart(candidates, roots), "candidates-apart")
+    told = long.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    firsts = open_pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").unionByName(apart(told, roots)).distinct()
+    links = known.unionByName(similar_pairs(firsts, nodes, words, share))
+    roots = staged(components(links), "roots")
+    members = staged(rooted(long.select("list", "a"), roots, "a"), "members")
+    left = apart(open_pairs, roots).join(firsts, ["a", "b"], "left_anti")
+    return links.unionByName(links_across(members, nodes, words, share)).unionByName(similar_pairs(left, nodes, words, share))
+
+
 def similar_groups(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8
 ) -> DataFrame:
     """One row per document: `id`, `component` over links between texts of at least this similarity.
 
-    Similarity is the Jaccard similarity of the sets of shingles (64-bit hashes), decided on the texts. Every
-    such pair is a candidate, at any size of corpus: shingles have one order everywhere, rare ones before
-    frequent ones, and two sets of this similarity have one of their first shingles in common. So lists keyed
-    by one of a text's first shingles hold all pairs. All members of a list are paired; what a first round of
-    comparisons, one per text, has brought into one component is not compared again, so a group of near copies
-    costs about a comparison a text. Of a list too long to be paired in place, members outside its largest
-    component are compared with those of other components block by block, and only similar pairs are written.
+    Similarity is the Jaccard similarity of the sets of shingles (64-bit hashes), decided on the texts. Candidates
+    come from the byte index over wide fingerprints (`links_by_bytes`). It finds a pair at the limit with a chance of
+    nine in ten, not for certain, so what it leaves in different components is completed exactly
+    (`completed`), and no such pair is lost.
 
     Texts of one set are one node. Texts without a word are alike.
     """
@@ -543,36 +696,7 @@ def similar_groups(
     named = prints.select("digest", F.col("node").alias("copy")).join(distinct.select("digest", "node"), "digest")
     copies = staged(named.filter("copy <> node").select("copy"), "copies")
     nodes = prints.join(copies, F.col("node") == F.col("copy"), "left_anti").filter("n > 0")
-    frequent = frequent_shingles(nodes, words)
-
-    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for node, one in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                hashes = shingle_set(one.as_py(), words)
-                lists = prefix(hashes, frequent, share)
-                columns = lists.view(np.int64), np.full(len(lists), node), np.full(len(lists), len(hashes)), np.arange(len(lists))
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=POSTING.names)
-
-    bound = LISTED
-    lists = nodes.select("node", "text").mapInArrow(post, POSTING).repartition("list").sortWithinPartitions("list", "node")
-    found = staged(lists.mapInArrow(lambda batches: pairs_in_lists(batches, share, bound), FOUND), "found")
-    candidates = staged(found.filter("list IS NULL").select("a", "b").distinct(), "candidates")
-    long = found.filter("list IS NOT NULL")
-    firsts = candidates.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").unionByName(
-        long.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    ).distinct()
-    links = similar_pairs(firsts, nodes, words, share)
-    roots = staged(components(links).withColumnRenamed("node", "of"), "roots")
-
-    def rooted(df: DataFrame, side: str) -> DataFrame:
-        got = roots.select(F.col("of").alias(side), F.col("root").alias(f"{side}_root"))
-        return df.join(got, side, "left").withColumn(f"{side}_root", F.coalesce(f"{side}_root", side))
-
-    members = staged(rooted(long.select("list", "a"), "a"), "members")
-    left = rooted(rooted(candidates, "a"), "b").filter("a_root <> b_root").select("a", "b").join(firsts, ["a", "b"], "left_anti")
-    labels = components(
-        links.unionByName(links_across(members, nodes, words, share)).unionByName(similar_pairs(left, nodes, words, share))
-    )
+    labels = components(completed(links_by_bytes(nodes, words, share), nodes, words, share))
     labels = distinct.join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select(
         "digest", "least", F.coalesce("root", "node").alias("root")
     )

@@ -256,3 +256,46 @@ def test_a_forest_joins_what_all_links_join():
             return [root.index(r) for r in root]
 
         assert classes(zip(x.tolist(), y.tolist())) == classes(zip(a.tolist(), b.tolist()))
+
+
+def test_the_byte_index_finds_near_copies_by_itself(documents, monkeypatch):
+    """Without the completion: nine of ten pairs at exactly 0.8, nearly all at 0.85 and more, none below 0.8."""
+    monkeypatch.setattr(simhash, "completed", lambda known, *rest: known)
+    random.seed(23)
+    rows, many = [], [f"w{k}" for k in range(100_000)]
+    changes = {10: 300, 7: 100, 4: 100, 11: 100}  # of 94 words: similarity 0.8, 0.856, 0.915, 0.782
+    for i, changed in enumerate(c for c, n in changes.items() for _ in range(n)):
+        own = random.sample(many, 94)
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join(own[changed:] + random.sample(many, changed)))]
+    got = {r.id: r.component for r in simhash.similar_groups(documents(rows)).collect()}
+    want = brute_similar(dict(rows))
+    found = {i for i in got if got[i] != i}
+    assert found <= {i for i in want if want[i] != i}
+    assert len([i for i in found if i < 600]) >= 0.9 * 300 and len([i for i in found if i >= 600]) >= 0.98 * 200
+
+
+def test_lists_of_bytes_lose_no_member(monkeypatch):
+    """Members in reach hang together in short and long lists, in whatever batches they come, by a row a member."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(simhash, "HELD", 40)
+    rng = np.random.default_rng(3)
+    rows = []
+    for n, size in enumerate([1, 2, 5, simhash.SHORT, simhash.SHORT + 1, 1, 70, 2, 130]):
+        far = rng.integers(-(2**62), 2**62, 3)
+        rows += [(n, 1000 * n + m, int(far[m % 3]) ^ (1 << m % 5)) for m in range(size)]
+    near = {(x[1], y[1]) for x in rows for y in rows if x[0] == y[0] and x[1] < y[1] and (x[2] ^ y[2]).bit_count() <= 2}
+    firsts = {1000 * n + m for n in range(9) for m in range(3)}
+    for chunk in (1, 7, 50, 1000):
+        parts = [rows[k : k + chunk] for k in range(0, len(rows), chunk)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*p)], names=simhash.PLACED.names) for p in parts]
+        got = {(r["a"], r["b"]) for b in simhash.pairs_by_bytes(iter(batches), 2) for r in b.to_pylist()}
+        assert got <= near and len(got) == len({b for _, b in got})
+        assert {b for _, b in got} == {r[1] for r in rows} - firsts
+
+
+def test_minimum_of_shared_bytes_and_bits_at_the_limit():
+    assert simhash.most_bits(0.8) == 246 and simhash.most_bits(0.8, deviations=simhash.NEAR) == 183
+    assert simhash.least_bytes(0.8) == 21 and simhash.least_bytes(0.9) > 30
+    dealt = np.bincount(simhash.PLACES.ravel(), minlength=128)
+    assert len(simhash.PLACES) == 210 and dealt.min() >= 3 and dealt.max() == 5
