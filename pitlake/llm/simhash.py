@@ -253,6 +253,9 @@ FEWEST = 64
 PLACES = np.concatenate([
     np.random.default_rng([SEED, k]).permutation(8 * WIDE)[: 8 * WIDE // 3 * 3].reshape(-1, 3) for k in range(5)
 ])
+#: Its lists are searched in turns, up to these numbers: the members of what one turn has joined are not paired again in the
+#: next one, so a large group of near copies is joined from few lists.
+TURNS = (21, len(PLACES))
 #: Deviations that shared bytes and differing bits of the byte index's pairs may lie off the mean at the limit, and those
 #: of the 64 bits that go along with a posting.
 NEAR = 2.5
@@ -272,6 +275,8 @@ FREQUENT = 8
 #: Most frequent shingles known. This and the sample decide on the order of shingles, not on results.
 MOST_FREQUENT = 1 << 19
 PLACED = T.StructType([T.StructField(n, T.LongType()) for n in ("list", "node", "bits")])
+TURN = T.StructType([*PLACED.fields, T.StructField("root", T.LongType())])
+MET = T.StructType([T.StructField(n, T.LongType()) for n in ("a", "b", "low", "high", "differing")])
 POSTING = T.StructType([T.StructField(n, T.LongType()) for n in ("list", "node", "n", "at")])
 FOUND = T.StructType([T.StructField(n, T.LongType()) for n in ("list", "a", "n", "at", "b")])
 
@@ -436,39 +441,52 @@ def similar_pairs(pairs: DataFrame, nodes: DataFrame, words: int, share: Fractio
     return staged(ends(loose, "text").mapInArrow(similar, PAIR), "similar-pairs")
 
 
-def byte_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(list, node, bits) from (node, fp): the lists of each wide fingerprint, and 64 of its bits."""
+def byte_postings(batches: Iterator[pa.RecordBatch], turn: range) -> Iterator[pa.RecordBatch]:
+    """(list, node, bits, root) from (node, root, fp): this turn's lists of each wide fingerprint, and 64 of its bits."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        node, grid = batch.column(0), _grid(batch.column(1))
+        node, root, grid = batch.column(0), batch.column(1), _grid(batch.column(2))
         place, bits = grid.astype(np.int64), grid.view("<i8")
-        for n, (p, q, r) in enumerate(PLACES.tolist()):
+        for n in turn:
+            p, q, r = PLACES[n].tolist()
             lists = n << 24 | place[:, p] << 16 | place[:, q] << 8 | place[:, r]
-            yield pa.RecordBatch.from_arrays([pa.array(lists), node, pa.array(bits[:, n % WIDE])], names=PLACED.names)
+            yield pa.RecordBatch.from_arrays([pa.array(lists), node, pa.array(bits[:, n % WIDE]), root], names=TURN.names)
 
 
-def _clustered(members: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Members (list, node, bits) of one list paired with the first of each cluster in reach; and those firsts."""
-    pairs, firsts = [np.zeros((0, 2), np.int64)], []
+def _off(bits: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """In how many bits they differ."""
+    return np.bitwise_count((bits ^ others).view(np.uint64))
+
+
+def _clustered(members: np.ndarray, limit: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """Members (list, node, bits, root) of one list beside the first of each cluster in reach; and those firsts."""
+    pairs, firsts = [], []
     while len(members):
         first, members = members[0], members[1:]
-        near = np.bitwise_count((members[:, 2] ^ first[2]).view(np.uint64)) <= limit
-        pairs.append(np.column_stack([np.full(near.sum(), first[1]), members[near, 1]]))
+        near = _off(members[:, 2], first[2]) <= limit
+        other = members[near & (members[:, 3] != first[3])]
+        pairs.append((np.broadcast_to(first, other.shape), other))
         firsts.append(first)
         members = members[~near]
-    return np.concatenate(pairs), np.array(firsts, np.int64).reshape(-1, 3)
+    return pairs, np.array(firsts, np.int64).reshape(-1, 4)
 
 
 def pairs_by_bytes(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
-    """From postings sorted by list: (a, b), a < b, each member with the first one in its list from which its `bits`
-    differ in no more than `limit`; in long lists, with the first of its cluster.
+    """From postings sorted by list: (a, b, low, high, differing), a < b, each member with the first one in its list, of
+    another component, from which its `bits` differ in no more than `limit`; in long lists, with the first of its
+    cluster.
 
-    So rows grow with the postings, not with the square of a group.
+    So rows grow with the postings, not with the square of a group. Without a column `root` each node is a component;
+    low < high are the components' smallest nodes.
     """
-    held = np.zeros((0, 3), np.int64)
+    held = np.zeros((0, 4), np.int64)
     for batch in chain(batches, [None]):
-        rows = held if batch is None else np.concatenate([held, np.column_stack([np.asarray(c) for c in batch.columns])])
+        if batch is None:
+            rows = held
+        else:
+            columns = [np.asarray(c) for c in batch.columns]
+            rows = np.concatenate([held, np.column_stack(columns if len(columns) == 4 else [*columns, columns[1]])])
         if not len(rows):
             continue
         starts = np.concatenate([[0], np.flatnonzero(np.diff(rows[:, 0])) + 1])
@@ -477,37 +495,44 @@ def pairs_by_bytes(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa
         if batch is not None:
             held, starts, size = rows[starts[-1] :], starts[:-1], size[:-1]
             if len(held) > HELD:
-                pairs, held = _clustered(held, limit)
-                found.append(pairs)
+                found, held = _clustered(held, limit)
         for k in np.flatnonzero(size > SHORT).tolist():
-            found.append(_clustered(rows[starts[k] : starts[k] + size[k]], limit)[0])
+            found += _clustered(rows[starts[k] : starts[k] + size[k]], limit)[0]
         for s in np.unique(size[(size > 1) & (size <= SHORT)]).tolist():
             place = starts[size == s][:, None] + np.arange(s)
-            bits = rows[place, 2]
-            near = np.bitwise_count((bits[:, :, None] ^ bits[:, None, :]).view(np.uint64)) <= limit
+            bits, root = rows[place, 2], rows[place, 3]
+            near = (_off(bits[:, :, None], bits[:, None, :]) <= limit) & (root[:, :, None] != root[:, None, :])
             near &= np.triu(np.ones((s, s), bool), 1)
             k, two = np.nonzero(near.any(axis=1))
-            found.append(np.column_stack([rows[place[k, near.argmax(axis=1)[k, two]], 1], rows[place[k, two], 1]]))
-        if sum(map(len, found)):
-            yield _pairs(*np.sort(np.concatenate(found), axis=1).T)
+            found.append((rows[place[k, near.argmax(axis=1)[k, two]]], rows[place[k, two]]))
+        if sum(len(x) for x, _ in found):
+            x, y = (np.concatenate(side) for side in zip(*found, strict=True))
+            ends, tops = np.sort([x[:, 1], y[:, 1]], axis=0), np.sort([x[:, 3], y[:, 3]], axis=0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in (*ends, *tops, _off(x[:, 2], y[:, 2]))], names=MET.names
+            )
 
 
-def links_by_bytes(nodes: DataFrame, words: int, share: Fraction) -> DataFrame:
-    """Links (a < b) between similar texts that the byte index over the wide fingerprints of `nodes` finds.
+def roots_by_bytes(nodes: DataFrame, words: int, share: Fraction) -> DataFrame:
+    """Components (node, root) of what the byte index over the wide fingerprints of `nodes` links, without the roots.
 
-    Of the pairs that meet in its lists the most often met partner of each text comes first, and what this brings
-    into one component is not looked at again.
+    Of the pairs that two components have in a turn's lists the nearest one is looked at: what it joins needs no other,
+    and what it does not join comes again in the next turn, or to `completed`.
     """
     p, q = share.numerator, share.denominator
     limit = most_bits(float(share), 64, LOOSE_WORD)
-    postings = nodes.filter(F.col("n") * (q - p) >= p).select("node", "fp").mapInArrow(byte_postings, PLACED)  # smaller sets have no other near
-    lists = postings.repartition("list").sortWithinPartitions("list", "node")
-    met = lists.mapInArrow(lambda batches: pairs_by_bytes(batches, limit), PAIR).groupBy("a", "b").agg(F.count("*").alias("lists"))
-    met = staged(met, "met-by-bytes")
-    best = met.groupBy("b").agg(F.max(F.struct("lists", (-F.col("a")).alias("a"))).alias("most")).select((-F.col("most.a")).alias("a"), "b")
-    links = similar_pairs(best, nodes, words, share, tallied=True)
-    left = apart(met.select("a", "b"), staged(components(links), "roots")).join(best, ["a", "b"], "left_anti")
-    return links.unionByName(similar_pairs(left, nodes, words, share, tallied=True))
+    prints = nodes.filter(F.col("n") * (q - p) >= p).select("node", "fp")  # smaller sets have no other near
+    roots = nodes.sparkSession.createDataFrame([], "node long, root long")
+    for first, last in zip((0, *TURNS), TURNS):
+        turn = range(first, last)
+        known = rooted(prints, roots, "node").select("node", F.col("node_root").alias("root"), "fp")
+        postings = known.mapInArrow(lambda batches, turn=turn: byte_postings(batches, turn), TURN)
+        lists = postings.repartition("list").sortWithinPartitions("list", "node")
+        met = lists.mapInArrow(lambda batches: pairs_by_bytes(batches, limit), MET)
+        nearest = met.groupBy("low", "high").agg(F.min(F.struct("differing", "a", "b")).alias("pair"))
+        pairs = staged(nearest.select("pair.a", "pair.b"), "met-by-bytes")
+        roots = merged(roots, similar_pairs(pairs, nodes, words, share, tallied=True))
+    return roots
 
 
 def rooted(df: DataFrame, roots: DataFrame, side: str) -> DataFrame:
@@ -521,6 +546,18 @@ def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return rooted(rooted(pairs, roots, "a"), roots, "b").filter("a_root <> b_root").select("a", "b")
 
 
+def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, root), without the roots, after further links (a, b); stored.
+
+    Only links between components are followed, as links of their roots.
+    """
+    ends = rooted(rooted(links, roots, "a"), roots, "b").filter("a_root <> b_root")
+    between = ends.select(F.least("a_root", "b_root").alias("a"), F.greatest("a_root", "b_root").alias("b")).distinct()
+    above = components(between).filter("node <> root")
+    moved = rooted(roots.withColumnRenamed("root", "a"), above, "a").select("node", F.col("a_root").alias("root"))
+    return staged(moved.unionByName(above), "roots")
+
+
 def _overlaps(some: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
     """Shingles that each set of `some` has in common with each of `others`."""
     every, at = np.unique(np.concatenate([*some, *others]), return_inverse=True)
@@ -627,17 +664,15 @@ def links_across(members: DataFrame, nodes: DataFrame, words: int, share: Fracti
     )
 
 
-def completed(known: DataFrame, nodes: DataFrame, words: int, share: Fraction) -> DataFrame:
-    """`known` links (a < b) between similar texts, and links for every similar pair that they leave apart.
+def completed(roots: DataFrame, nodes: DataFrame, words: int, share: Fraction) -> DataFrame:
+    """Components (node, root) of similar texts, without the roots, joined by every similar pair that they leave apart.
 
     Shingles have one order everywhere, rare ones before frequent ones, and two sets of this similarity have one of
     their first shingles in common. So lists keyed by one of a text's first shingles hold all pairs. All members of a
-    list are paired; what the known links or a first round of comparisons, one per text, have brought into one
+    list are paired; what the given components or a first round of comparisons, one per text, have brought into one
     component is not compared again. Of a list too long to be paired in place, members outside its largest
     component are compared with those of other components block by block, and only similar pairs are written.
     """
-    known = staged(known, "links-by-bytes")
-    roots = staged(components(known), "roots")
     frequent = frequent_shingles(nodes, words)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -656,11 +691,10 @@ def completed(known: DataFrame, nodes: DataFrame, words: int, share: Fraction) -
     open_pairs = staged(apart(candidates, roots), "candidates-apart")
     told = long.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     firsts = open_pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").unionByName(apart(told, roots)).distinct()
-    links = known.unionByName(similar_pairs(firsts, nodes, words, share))
-    roots = staged(components(links), "roots")
+    roots = merged(roots, similar_pairs(firsts, nodes, words, share))
     members = staged(rooted(long.select("list", "a"), roots, "a"), "members")
     left = apart(open_pairs, roots).join(firsts, ["a", "b"], "left_anti")
-    return links.unionByName(links_across(members, nodes, words, share)).unionByName(similar_pairs(left, nodes, words, share))
+    return merged(roots, links_across(members, nodes, words, share).unionByName(similar_pairs(left, nodes, words, share)))
 
 
 def similar_groups(
@@ -669,7 +703,7 @@ def similar_groups(
     """One row per document: `id`, `component` over links between texts of at least this similarity.
 
     Similarity is the Jaccard similarity of the sets of shingles (64-bit hashes), decided on the texts. Candidates
-    come from the byte index over wide fingerprints (`links_by_bytes`). It finds a pair at the limit with a chance of
+    come from the byte index over wide fingerprints (`roots_by_bytes`). It finds a pair at the limit with a chance of
     nine in ten, not for certain, so what it leaves in different components is completed exactly
     (`completed`), and no such pair is lost.
 
@@ -696,7 +730,7 @@ def similar_groups(
     named = prints.select("digest", F.col("node").alias("copy")).join(distinct.select("digest", "node"), "digest")
     copies = staged(named.filter("copy <> node").select("copy"), "copies")
     nodes = prints.join(copies, F.col("node") == F.col("copy"), "left_anti").filter("n > 0")
-    labels = components(completed(links_by_bytes(nodes, words, share), nodes, words, share))
+    labels = completed(roots_by_bytes(nodes, words, share), nodes, words, share)
     labels = distinct.join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select(
         "digest", "least", F.coalesce("root", "node").alias("root")
     )

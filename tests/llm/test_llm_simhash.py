@@ -299,3 +299,36 @@ def test_minimum_of_shared_bytes_and_bits_at_the_limit():
     assert simhash.least_bytes(0.8) == 21 and simhash.least_bytes(0.9) > 30
     dealt = np.bincount(simhash.PLACES.ravel(), minlength=128)
     assert len(simhash.PLACES) == 210 and dealt.min() >= 3 and dealt.max() == 5
+
+
+def test_members_of_one_component_are_not_paired_again():
+    import pyarrow as pa
+
+    root = [0, 0, 0, 3, 0, 5, 3]
+    rows = [(9, m, 7, r) for m, r in enumerate(root)] + [(10, m, 7, 0) for m in range(40)] + [(11, 1, 7, 0), (11, 50, 6, 50)]
+    for chunk in (1, 3, 100):
+        parts = [rows[k : k + chunk] for k in range(0, len(rows), chunk)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*p)], names=simhash.TURN.names) for p in parts]
+        got = sorted(tuple(r.values()) for b in simhash.pairs_by_bytes(iter(batches), 2) for r in b.to_pylist())
+        assert got == [(0, 3, 0, 3, 0), (0, 5, 0, 5, 0), (0, 6, 0, 3, 0), (1, 50, 0, 50, 1), (3, 4, 0, 3, 0)]
+
+
+def test_a_group_of_near_copies_is_joined_from_few_pairs(documents, monkeypatch):
+    """Texts with a passage in common, many of them near copies: the byte index compares and links few pairs a text."""
+    monkeypatch.setattr(simhash, "completed", lambda known, *rest: known)
+    random.seed(24)
+    many, passage = [f"w{k}" for k in range(5000)], [f"p{k}" for k in range(200)]
+    rows = []
+    for i in range(300):
+        words = list(passage)
+        for at in random.sample(range(200), 2 if i % 2 else random.randrange(3, 9)):
+            words[at] = random.choice(many)
+        rows.append((i, " ".join(words)))
+    random.shuffle(rows)
+    written, plain = [], simhash.staged
+    monkeypatch.setattr(simhash, "staged", lambda df, name: written.append((name, plain(df, name))) or written[-1][1])
+    got = {r.id: r.component for r in simhash.similar_groups(documents(rows)).collect()}
+    want = brute_similar(dict(rows))
+    assert all(want[i] == want[c] for i, c in got.items()) and len(set(got.values())) <= 1.1 * len(set(want.values())) < 200
+    counts = [(name, df.count()) for name, df in written if name in ("met-by-bytes", "loose-pairs", "similar-pairs")]
+    assert sum(n for _, n in counts) < 30 * 300, counts
