@@ -254,8 +254,8 @@ PLACES = np.concatenate([
     np.random.default_rng([SEED, k]).permutation(8 * WIDE)[: 8 * WIDE // 3 * 3].reshape(-1, 3) for k in range(5)
 ])
 #: Its lists are searched in turns, up to these numbers: the members of what one turn has joined are not paired again in the
-#: next one, so a large group of near copies is joined from few lists.
-TURNS = (21, len(PLACES))
+#: next one, so a large group of near copies is joined from few lists. And no more than a turn's postings lie on disk at once.
+TURNS = (21, 115, len(PLACES))
 #: Deviations that shared bytes and differing bits of the byte index's pairs may lie off the mean at the limit, and those
 #: of the 64 bits that go along with a posting.
 NEAR = 2.5
@@ -266,9 +266,16 @@ SHORT = 16
 HELD = 1 << 16
 #: Lists of shingles up to this size are paired in place.
 LISTED = 256
-#: Members of a longer list that are compared together, and shingles looked at at a time.
+#: Members of a longer list that are compared together, at least; times the root of its members, at most, so that their
+#: copies for all blocks grow with the power 1.5 of them. And shingles looked at at a time.
 BLOCK = 256
+GROWN = 4
 COLUMNS = 8192
+#: Rounds in which longer lists of nearly the same members are put together.
+GATHERED = 2
+#: Counts of a set's shingles by their hash, at most MANY each.
+COUNTS = 256
+MANY = 255
 #: Which shingles are frequent is told from about this many texts; frequent in so many of them.
 SAMPLED = 20_000
 FREQUENT = 8
@@ -279,6 +286,7 @@ TURN = T.StructType([*PLACED.fields, T.StructField("root", T.LongType())])
 MET = T.StructType([T.StructField(n, T.LongType()) for n in ("a", "b", "low", "high", "differing")])
 POSTING = T.StructType([T.StructField(n, T.LongType()) for n in ("list", "node", "n", "at")])
 FOUND = T.StructType([T.StructField(n, T.LongType()) for n in ("list", "a", "n", "at", "b")])
+MEMBER = T.StructType([T.StructField(n, T.LongType()) for n in ("list", "a", "a_root")])
 
 
 def differing(similarity: float) -> float:
@@ -315,8 +323,14 @@ def wide_fingerprint(hashes: np.ndarray) -> bytes:
     return np.packbits(ones * 2 > len(hashes), bitorder="little").tobytes()
 
 
-def _grid(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 8 * WIDE)
+def counted(hashes: np.ndarray) -> bytes:
+    """How many shingles of a set have each value of their hash's first byte; MANY stands for as many or more."""
+    first = (hashes >> np.uint64(56)).astype(np.int64)
+    return np.minimum(np.bincount(first, minlength=COUNTS), MANY).astype(np.uint8).tobytes()
+
+
+def _grid(column: pa.Array, width: int = 8 * WIDE) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, width)
 
 
 def frequent_shingles(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -563,6 +577,10 @@ def _overlaps(some: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
     every, at = np.unique(np.concatenate([*some, *others]), return_inverse=True)
     ends = np.cumsum([len(x) for x in (*some, *others)])
     owner = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+    both = np.zeros((2, len(every)), bool)
+    both[(owner >= len(some)).astype(int), at] = True
+    both = both.all(axis=0)  # others count for no pair
+    at, owner, every = (np.cumsum(both) - 1)[at[both[at]]], owner[both[at]], every[both]
     order = np.argsort(at, kind="stable")
     at, owner = at[order], owner[order]
     out = np.zeros((len(some), len(others)), np.float32)
@@ -629,39 +647,100 @@ def similar_in_blocks(batches: Iterator[pa.RecordBatch], words: int, share: Frac
                 held.append(r)
 
 
-def links_across(members: DataFrame, nodes: DataFrame, words: int, share: Fraction) -> DataFrame:
-    """Links (a < b) between the roots of components that similar members of one list join; stored.
+def alike_in_blocks(batches: Iterator[pa.RecordBatch], share: Fraction) -> Iterator[pa.RecordBatch]:
+    """From rows (list, left, right, side, a, a_root, n, counts) sorted by block: (list, a, a_root) of each member that has
+    one of another component on the other side of its block with which it can be similar.
+
+    Two sets have no more shingles in common than the lesser of their counts, summed up; so this drops no similar pair.
+    """
+    p, q = share.numerator, share.denominator
+
+    def alike(rows: pa.Table) -> np.ndarray:
+        side, root, n = (np.asarray(rows.column(k)) for k in (3, 5, 6))
+        counts = _grid(rows.column(7), COUNTS)
+        full, hit = (counts == MANY).any(axis=1), np.zeros(len(side), bool)
+        one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        for k in range(0, len(one) if len(two) else 0, 32):
+            some = one[k : k + 32]
+            both = np.minimum(counts[some, None], counts[None, two]).sum(axis=2, dtype=np.int64)
+            near = (both * (p + q) >= p * (n[some, None] + n[two])) | full[some, None] | full[two]
+            near &= root[some, None] != root[two]
+            hit[some] |= near.any(axis=1)
+            hit[two] |= near.any(axis=0)
+        return hit
+
+    held = None
+    for batch in chain(batches, [None]):
+        parts = [x for x in (held, None if batch is None else pa.Table.from_batches([batch])) if x is not None]
+        if not parts or not sum(x.num_rows for x in parts):
+            continue
+        rows = pa.concat_tables(parts)
+        key = np.column_stack([np.asarray(rows.column(k)) for k in range(3)])
+        starts = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, [len(key)]]).tolist()
+        held = None
+        if batch is not None:
+            held, starts = rows.slice(starts[-2]), starts[:-1]
+        for start, end in zip(starts, starts[1:]):
+            block = rows.slice(start, end - start)
+            if (hit := alike(block)).any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.asarray(block.column(k))[hit]) for k in (0, 4, 5)], names=MEMBER.names
+                )
+
 
-    members: (list, a, a_root). A pair of different components has a member outside the list's largest one. Lists are
-    cut into blocks of about BLOCK members, and blocks compared in place: a text is joined once for all its lists
-    (no more than its own first shingles) and travels once per block that it meets, pairs not at all unless they
-    are similar. So a long list of texts that are alike, but not enough, costs its members times its blocks in
-    rows.
+def gathered(members: DataFrame, seed: int) -> DataFrame:
+    """Members (list, a, a_root) of lists put together that have the same least member by hash; a pair of one list stays in one.
+
+    Lists have it in common as often as their members are the same ones, so a group whose members meet in many lists is
+    left in a few, and lists of different members stay apart.
+    """
+    least = members.groupBy("list").agg(F.min(F.struct(F.xxhash64(F.lit(seed), "a").alias("at"), "a")).alias("least"))
+    return members.join(least, "list").select(F.col("least.a").alias("list"), "a", "a_root").distinct()
+
+
+def in_blocks(members: DataFrame, nodes: DataFrame, *columns: str) -> DataFrame:
+    """Rows (list, left, right, side, a, a_root, and `columns` of `nodes`) sorted by block (list, left, right).
+
+    A pair of different components has a member outside the list's largest one. Lists are cut into blocks, and of each
+    such pair one is on side 0 of a block and the other one on side 1. `nodes` are joined once for all lists of a member.
     """
     sizes = members.groupBy("list", "a_root").agg(F.count("*").alias("size"))
     lists = sizes.groupBy("list").agg(
         F.max(F.struct("size", "a_root")).alias("most"), F.sum("size").alias("all"), F.count("*").alias("roots")
-    ).filter("roots > 1").select(
+    ).filter("roots > 1").withColumn("block", F.greatest(F.lit(float(BLOCK)), GROWN * F.sqrt("all"))).select(
         "list", F.col("most.a_root").alias("largest"),
-        F.ceil((F.col("all") - F.col("most.size")) / BLOCK).cast("int").alias("lefts"), F.ceil(F.col("all") / BLOCK).cast("int").alias("rights"),
+        F.ceil((F.col("all") - F.col("most.size")) / F.col("block")).cast("int").alias("lefts"),
+        F.ceil(F.col("all") / F.col("block")).cast("int").alias("rights"),
     )
     mixed = members.join(staged(lists, "mixed-lists"), "list").groupBy("a").agg(
         F.collect_list(F.struct("list", "a_root", "largest", "lefts", "rights")).alias("places")
     )
-    told = mixed.join(nodes.select(F.col("node").alias("a"), "text"), "a").select("a", "text", F.inline("places"))
+    told = mixed.join(nodes.select(F.col("node").alias("a"), *columns), "a").select("a", *columns, F.inline("places"))
     at = F.xxhash64("a")
     rows = told.filter("a_root <> largest").select(
         "list", F.pmod(at, F.col("lefts")).cast("int").alias("left"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("right"),
-        F.lit(0).alias("side"), "a", "a_root", "text",
+        F.lit(0).alias("side"), "a", "a_root", *columns,
     ).unionByName(told.select(
         "list", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("left"), F.pmod(at, F.col("rights")).cast("int").alias("right"),
-        F.lit(1).alias("side"), "a", "a_root", "text",
+        F.lit(1).alias("side"), "a", "a_root", *columns,
     ))
     block = ["list", "left", "right"]
-    return staged(
-        rows.repartition(*block).sortWithinPartitions(*block).mapInArrow(lambda b: similar_in_blocks(b, words, share), PAIR).distinct(),
-        "links-across",
-    )
+    return rows.repartition(*block).sortWithinPartitions(*block)
+
+
+def links_across(members: DataFrame, nodes: DataFrame, words: int, share: Fraction) -> DataFrame:
+    """Links (a < b) between the roots of components that similar members of one list join; stored.
+
+    members: (list, a, a_root). Lists of nearly the same members are compared as one (`gathered`). In blocks of a list first
+    the counts of its members' shingles are compared, and who is in reach of nobody is left out: texts that have little
+    more than the list in common. The texts of the others travel once per block that they meet, pairs not at all unless
+    they are similar. So a group of texts that are alike, but not enough, costs its members times its blocks in rows, once.
+    """
+    for seed in range(GATHERED):
+        members = staged(gathered(members, seed), "gathered-lists")
+    alike = in_blocks(members, nodes, "n", "counts").mapInArrow(lambda b: alike_in_blocks(b, share), MEMBER)
+    rows = in_blocks(staged(alike.distinct(), "alike-in-lists"), nodes, "text")
+    return staged(rows.mapInArrow(lambda b: similar_in_blocks(b, words, share), PAIR).distinct(), "links-across")
 
 
 def completed(roots: DataFrame, nodes: DataFrame, words: int, share: Fraction) -> DataFrame:
@@ -671,7 +750,8 @@ def completed(roots: DataFrame, nodes: DataFrame, words: int, share: Fraction) -
     their first shingles in common. So lists keyed by one of a text's first shingles hold all pairs. All members of a
     list are paired; what the given components or a first round of comparisons, one per text, have brought into one
     component is not compared again. Of a list too long to be paired in place, members outside its largest
-    component are compared with those of other components block by block, and only similar pairs are written.
+    component are compared with those of other components block by block, by counts and then by texts, and only similar
+    pairs are written.
     """
     frequent = frequent_shingles(nodes, words)
 
@@ -718,12 +798,12 @@ def similar_groups(
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(s.tobytes(), SEED) for s in sets], pa.binary()),
-                pa.array([wide_fingerprint(s) for s in sets], pa.binary()),
-            ], names=["id", "text", "n", "digest", "fp"])
+                pa.array([wide_fingerprint(s) for s in sets], pa.binary()), pa.array([counted(s) for s in sets], pa.binary()),
+            ], names=["id", "text", "n", "digest", "fp", "counts"])
 
     shape = T.StructType([
         rows.schema["id"], rows.schema["text"], T.StructField("n", T.LongType()),
-        T.StructField("digest", T.BinaryType()), T.StructField("fp", T.BinaryType()),
+        T.StructField("digest", T.BinaryType()), T.StructField("fp", T.BinaryType()), T.StructField("counts", T.BinaryType()),
     ])
     prints = staged(rows.mapInArrow(read, shape).withColumn("node", F.monotonically_increasing_id()), "shingled")
     distinct = staged(prints.groupBy("digest").agg(F.min("id").alias("least"), F.min("node").alias("node")), "distinct-sets")

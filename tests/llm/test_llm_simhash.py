@@ -332,3 +332,89 @@ def test_a_group_of_near_copies_is_joined_from_few_pairs(documents, monkeypatch)
     assert all(want[i] == want[c] for i, c in got.items()) and len(set(got.values())) <= 1.1 * len(set(want.values())) < 200
     counts = [(name, df.count()) for name, df in written if name in ("met-by-bytes", "loose-pairs", "similar-pairs")]
     assert sum(n for _, n in counts) < 30 * 300, counts
+
+
+def test_texts_of_long_lists_travel_a_few_times_each(spark, documents, monkeypatch):
+    """Texts at 0.77 that meet in many long lists, and texts with little more than a list in common."""
+    monkeypatch.setattr(simhash, "LISTED", 20)
+    monkeypatch.setattr(simhash, "BLOCK", 32)
+    random.seed(25)
+    many, template, passage = [f"w{k}" for k in range(50_000)], [f"t{k}" for k in range(200)], [f"p{k}" for k in range(12)]
+    rows = []
+    for i in range(100):
+        words = list(template)
+        for at in range(i % 10, 200, 40):
+            words[at] = f"own{i}x{at}"
+        rows.append((i, " ".join(words)))
+    rows += [(200 + i, rows[i][1] + " tail") for i in range(0, 100, 10)]
+    rows += [(300 + i, " ".join(passage + random.sample(many, 30))) for i in range(100)]
+    rows += [(500, rows[-1][1] + " tail")]
+    random.shuffle(rows)
+    kind, travelled = type(spark.range(0)), []
+    plain = kind.mapInArrow
+
+    def seen(df, *args, **options):
+        if {"side", "text"} <= set(df.columns):
+            travelled.append(df.count())
+        return plain(df, *args, **options)
+
+    monkeypatch.setattr(kind, "mapInArrow", seen)
+    got = {r.id: r.component for r in simhash.similar_groups(documents(rows)).collect()}
+    assert got == brute_similar(dict(rows))
+    assert travelled and sum(travelled) < 4 * len(rows), travelled
+
+
+def test_counts_leave_every_similar_pair_in_its_block():
+    import pyarrow as pa
+    from fractions import Fraction
+
+    rng = np.random.default_rng(8)
+    sets, blocks = [], []
+    for block, size in enumerate([1, 2, 30, 90, 5]):
+        base = rng.integers(0, 2**64, 100, "u8")
+        for _ in range(size):
+            changed = int(rng.choice([2, 10, 11, 20, 100]))
+            sets.append(np.unique(np.concatenate([base[changed:], rng.integers(0, 2**64, changed, "u8")])))
+            blocks.append(block)
+    sets += [np.unique(rng.integers(0, 2**64, 90_000, "u8"))] * 2  # counts beyond the most that is kept
+    blocks += [5, 5]
+    roots = [k if k % 7 else 0 for k in range(len(sets))]
+    rows = [
+        (7, 0, b, k % 2, k, r, len(s), simhash.counted(s)) for k, (b, r, s) in enumerate(zip(blocks, roots, sets, strict=True))
+    ]
+    want = set()
+    for x in rows:
+        for y in rows:
+            both = len(np.intersect1d(sets[x[4]], sets[y[4]])) if x[2] == y[2] and x[3] < y[3] and x[5] != y[5] else 0
+            if both and 5 * both >= 4 * (x[6] + y[6] - both):
+                want |= {x[4], y[4]}
+    found = []
+    for chunk in (1, 7, 50, 1000):
+        parts = [rows[k : k + chunk] for k in range(0, len(rows), chunk)]
+        names = ["list", "left", "right", "side", "a", "a_root", "n", "counts"]
+        batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*p)], names=names) for p in parts]
+        out = [tuple(r.values()) for b in simhash.alike_in_blocks(iter(batches), Fraction(4, 5)) for r in b.to_pylist()]
+        assert len(out) == len(set(out)) and set(out) <= {(7, x[4], x[5]) for x in rows}
+        found.append(sorted(out))
+    assert found[1:] == found[:-1] and want <= {a for _, a, _ in found[0]} and {len(sets) - 2, len(sets) - 1} <= want
+    far = [(7, 0, 0, k % 2, k, k, 100, simhash.counted(rng.integers(0, 2**64, 100, "u8"))) for k in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*far)], names=names)
+    assert not list(simhash.alike_in_blocks(iter([batch]), Fraction(4, 5)))
+
+
+def test_lists_of_the_same_members_are_put_together(spark):
+    alike = [(n, m, 0) for n in range(40) for m in range(300) if (m * 31 + n * 17) % 10]
+    apart = [(100 + n, 1000 * n + m, m) for n in range(1, 20) for m in range(40)] + [(100 + n, 5, 0) for n in range(1, 20)]
+    members = spark.createDataFrame(alike + apart, "list long, a long, a_root long")
+    for seed in range(simhash.GATHERED):
+        members = simhash.gathered(members, seed)
+    rows = [tuple(r) for r in members.collect()]
+    assert len(rows) == len(set(rows))
+    lists = {}
+    for n, a, _ in rows:
+        lists.setdefault(n, set()).add(a)
+    before = {}
+    for n, a, _ in alike + apart:
+        before.setdefault(n, set()).add(a)
+    assert all(any(x <= y for y in lists.values()) for x in before.values())  # no pair comes apart
+    assert len([x for x in lists.values() if 200 < len(x)]) <= 5 and len(lists) >= 19
